@@ -45,4 +45,4 @@ def matches_any(col: Column, patterns) -> Column:
 
 def matches_whole(col: Column, pattern_col: Column) -> Column:
     """Row-wise whole-string match against a pattern held in a column (join form)."""
-    return col.rlike(F.concat(F.lit(r"\A(?:"), pattern_col, F.lit(r")\z")))
+    return F.call_function("rlike", col, F.concat(F.lit(r"\A(?:"), pattern_col, F.lit(r")\z")))

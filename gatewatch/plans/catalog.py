@@ -162,3 +162,302 @@ def blacklist_entries(spark, sf_dir):
 def score_job_q(spark, sf_dir):
     """H7 flagship: events -> enrich -> indicators -> flow scores -> blacklist entries."""
     return _entries(Ctx(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ A / C: ingest, clean, label, extract
+
+from gatewatch.functions import classify as C  # noqa: E402
+from gatewatch.functions import masking as M  # noqa: E402
+from gatewatch.functions import params as P  # noqa: E402
+from gatewatch.functions import text as T  # noqa: E402
+from gatewatch.operators import blacklist as B  # noqa: E402
+from gatewatch.operators import ingest as I  # noqa: E402
+from gatewatch.operators import lookup as L  # noqa: E402
+from gatewatch.operators import monitor as MO  # noqa: E402
+from gatewatch.plans import enrich_job as EJ  # noqa: E402
+
+# Pattern parameters for the documents table (FIXTURES.md section 2: its phones are
+# ``+1 (743) 555-3824`` style and its long numbers have 16 digits).
+DOC_PHONE_PATTERN = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+DOC_NUMBER_PATTERN = r"[0-9]{16}"
+
+
+@query("src_raw_log")
+def src_raw_log(spark, sf_dir):
+    return Ctx(spark, sf_dir).raw_lines()
+
+
+@query("parse_access_log")
+def parse_access_log(spark, sf_dir):
+    a = Ctx(spark, sf_dir).access()
+    return a.select("event_id", "request", "request_method", "content_type", "remote_addr",
+                    "http_user_agent", "server_addr", "connection_active", _us("ts"))
+
+
+@query("reject_rows")
+def reject_rows(spark, sf_dir):
+    return I.reject_rows(Ctx(spark, sf_dir).raw_lines()).select("event_id", "n_fields")
+
+
+@query("cookie_fields")
+def cookie_fields(spark, sf_dir):
+    return Ctx(spark, sf_dir).access().select("event_id", "jsession_id", "cookie_user_id")
+
+
+@query("url_decode_params")
+def url_decode_params(spark, sf_dir):
+    a = Ctx(spark, sf_dir).access()
+    return a.select("event_id", T.url_decode(F.substring_index("request_body", "=", -1)).alias("decoded"))
+
+
+@query("url_clean_filter")
+def url_clean_filter(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return EJ.url_filter(c.access(), c.tables).select("event_id", "request")
+
+
+@query("url_clean_antijoin")
+def url_clean_antijoin(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    rules = R.url_filter_rules(c.tables.filter_rule)
+    return L.regex_anti_join(c.access(), rules).select("event_id", "request")
+
+
+@query("mask_phone")
+def mask_phone(spark, sf_dir):
+    d = Ctx(spark, sf_dir).table("documents")
+    return d.select("doc_id", M.mask_phones(F.col("text"), DOC_PHONE_PATTERN).alias("masked"))
+
+
+@query("mask_id_number")
+def mask_id_number(spark, sf_dir):
+    d = Ctx(spark, sf_dir).table("documents")
+    return d.select("doc_id", M.mask_ids(F.col("text"), DOC_NUMBER_PATTERN).alias("masked"))
+
+
+@query("strip_whitespace")
+def strip_whitespace(spark, sf_dir):
+    d = Ctx(spark, sf_dir).table("documents")
+    return d.select("doc_id", T.strip_whitespace(F.col("text")).alias("stripped"))
+
+
+@query("hash_ids")
+def hash_ids(spark, sf_dir):
+    d = Ctx(spark, sf_dir).table("documents")
+    return d.select("doc_id", T.md5_upper(F.col("text")).alias("text_md5"))
+
+
+@query("classify_request")
+def classify_request(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    cls = C.classify_request(F.col("request"), EJ.class_patterns(c.tables.classify_rule))
+    return c.access().select("event_id", "request", cls["flight_type"].alias("flight_type"),
+                             cls["behavior_type"].alias("behavior_type"))
+
+
+@query("classify_trip")
+def classify_trip(spark, sf_dir):
+    a = Ctx(spark, sf_dir).access()
+    return a.select("event_id", C.travel_type(F.col("http_referer")).alias("travel_type"))
+
+
+@query("flag_listed_ip")
+def flag_listed_ip(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    f = L.flag_listed_ip(c.access(), R.high_frequency_ips(c.tables.ip_blacklist))
+    return f.select("event_id", "remote_addr", "high_freq")
+
+
+@query("listed_ip_semi")
+def listed_ip_semi(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return L.listed_ip_semi(c.access(), R.all_listed_ips(c.tables.ip_blacklist)).select("event_id", "remote_addr")
+
+
+@query("get_params")
+def get_params(spark, sf_dir):
+    p = Ctx(spark, sf_dir).table("pages")
+    return p.select("page_id", F.explode(P.get_params(F.col("url"))).alias("kv")).select(
+        "page_id", F.col("kv.k").alias("k"), F.col("kv.v").alias("v"))
+
+
+@query("form_params")
+def form_params(spark, sf_dir):
+    a = Ctx(spark, sf_dir).access()
+    return a.select("event_id", F.explode(P.form_params(F.col("request_body"))).alias("kv")).select(
+        "event_id", F.col("kv.k").alias("k"), F.col("kv.v").alias("v"))
+
+
+@query("json_fields")
+def json_fields(spark, sf_dir):
+    e = Ctx(spark, sf_dir).events
+    return e.select("event_id", P.json_field(F.col("props"), "$.k").alias("k"),
+                    P.json_field(F.col("props"), "$.missing").alias("missing"))
+
+
+@query("json_to_map")
+def json_to_map(spark, sf_dir):
+    e = Ctx(spark, sf_dir).events
+    return e.select("event_id", F.explode(P.json_to_map(F.col("props"))).alias("key", "value"))
+
+
+@query("json_in_form")
+def json_in_form(spark, sf_dir):
+    a = Ctx(spark, sf_dir).access()
+    j = P.json_in_form(F.col("request_body"), F.lit("q"))
+    return a.select("event_id", j.alias("json"), P.json_field(j, "$.k").alias("k"))
+
+
+def _proc(c: Ctx) -> DataFrame:
+    return c.processed()
+
+
+@query("match_parse_rule")
+def match_parse_rule(spark, sf_dir):
+    return _proc(Ctx(spark, sf_dir)).select("event_id", "matched_rule")
+
+
+@query("parse_query_request")
+def parse_query_request(spark, sf_dir):
+    p = _proc(Ctx(spark, sf_dir)).filter(F.col("query").isNotNull())
+    return p.select("event_id", "query.*")
+
+
+@query("parse_book_request")
+def parse_book_request(spark, sf_dir):
+    p = _proc(Ctx(spark, sf_dir)).filter(F.col("book").isNotNull())
+    return p.select("event_id", F.col("book.flight_type").alias("flight_type"),
+                    F.col("book.travel_type").alias("travel_type"),
+                    F.array_join("book.flightno", ",").alias("flightno"),
+                    F.array_join("book.depcity", ",").alias("depcity"),
+                    F.col("book.contractphone").alias("contractphone"),
+                    F.size(F.coalesce("book.idcard", F.array())).alias("n_idcard"))
+
+
+@query("processed_records")
+def processed_records(spark, sf_dir):
+    p = _proc(Ctx(spark, sf_dir))
+    return p.select("event_id", "ip", "request", "request_method", "flight_type", "behavior_type",
+                    "travel_type", "flight_date", "dep_city", "arr_city", "session_hash", "user_hash",
+                    "high_freq", "matched_rule", _us("ts"))
+
+
+@query("enrich_job")
+def enrich_job(spark, sf_dir):
+    """H6: raw lines -> processed records (not materialised: the whole data job)."""
+    c = Ctx(spark, sf_dir)
+    p = EJ.enrich_lines(c.raw_lines(), c.tables)
+    return p.select("event_id", "ip", "request", "flight_type", "behavior_type", "travel_type",
+                    "dep_city", "arr_city", "session_hash", "high_freq", "matched_rule")
+
+
+@query("roundtrip_record")
+def roundtrip_record(spark, sf_dir):
+    from gatewatch.functions import wire as W
+    p = _proc(Ctx(spark, sf_dir))
+    back = W.parse(W.serialize(p.select("*")).select("value"))
+    return back.select("request", "ip", "user_agent", "flight_type", "behavior_type", "travel_type",
+                       "dep_city", "arr_city", "session_hash", "user_hash", "high_freq", _us("ts"))
+
+
+@query("serialize_record")
+def serialize_record(spark, sf_dir):
+    from gatewatch.functions import wire as W
+    return W.serialize(_proc(Ctx(spark, sf_dir))).select("value")
+
+
+@query("route_records")
+def route_records(spark, sf_dir):
+    p = _proc(Ctx(spark, sf_dir))
+    topic = F.when(F.col("behavior_type") == "Query", "query").when(F.col("behavior_type") == "Book", "book")
+    return p.select("event_id", topic.alias("topic")).filter(F.col("topic").isNotNull())
+
+
+# ------------------------------------------------------------------ D: monitoring
+
+@query("link_counts")
+def link_counts(spark, sf_dir):
+    return MO.link_counts(Ctx(spark, sf_dir).access())
+
+
+@query("link_active_latest")
+def link_active_latest(spark, sf_dir):
+    return MO.link_active_latest(Ctx(spark, sf_dir).access())
+
+
+@query("link_snapshot")
+def link_snapshot(spark, sf_dir):
+    return MO.link_snapshot(Ctx(spark, sf_dir).access())
+
+
+@query("batch_throughput")
+def batch_throughput(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    a = c.access().withColumn("batch_id", fe._floor_div(F.unix_micros("ts"), c.window.slide_us))
+    return MO.batch_throughput(a)
+
+
+# ------------------------------------------------------------------ blacklist tables
+
+def _history(c: Ctx) -> DataFrame:
+    e = score_job.blacklist(c.processed(), c.tables, c.window)
+    return B.history_rows(e)
+
+
+@query("latest_expiry")
+def latest_expiry(spark, sf_dir):
+    h = _history(Ctx(spark, sf_dir))
+    return B.latest_expiry(h).select("key", _us("expire_at"))
+
+
+@query("blacklist_latest")
+def blacklist_latest(spark, sf_dir):
+    h = _history(Ctx(spark, sf_dir))
+    return B.latest_per_key(h).select("key", _us("expire_at"), "value")
+
+
+def _now(h: DataFrame):
+    """Reference clock of the fixture, taken from the data: the latest expiry minus
+    90 minutes. One scalar comes back to the driver and becomes a literal, so the
+    partition filter below is static and prunes folders at planning time."""
+    return F.lit(h.agg((F.max("expire_at") - F.expr("INTERVAL 90 MINUTES")).alias("now")).first()["now"])
+
+
+@query("blacklist_restore")
+def blacklist_restore(spark, sf_dir):
+    """Latest live entries (at ``now``) whose key the store lacks; the store
+    holds the entries written in the hour of ``now``."""
+    h = _history(Ctx(spark, sf_dir))
+    now = _now(h)
+    store = h.filter(F.col("hour") == B.hour_of(now)).select("key")
+    return B.restore(h, store, now).select("key", _us("expire_at"), "value")
+
+
+@query("blacklist_recent_partitions")
+def blacklist_recent_partitions(spark, sf_dir):
+    """Read the hourly history back from parquet, keeping this hour and the one
+    before (partition pruning on ``hour``)."""
+    import uuid
+
+    from gatewatch.session import checkpoint_dir
+    c = Ctx(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/bl_history-{uuid.uuid4().hex}"
+    B.append_history(score_job.blacklist(c.processed(), c.tables, c.window), path)
+    h = spark.read.parquet(path)
+    return B.recent_partitions(h, _now(h)).select("key", "value", _us("expire_at"), "hour")
+
+
+@query("hourly_partition_counts")
+def hourly_partition_counts(spark, sf_dir):
+    """Rows per hour partition of the blacklist history."""
+    return _history(Ctx(spark, sf_dir)).groupBy("hour").agg(F.count(F.lit(1)).alias("n_entries"))
+
+
+@query("archive_union")
+def archive_union(spark, sf_dir):
+    """F8: archive lines plus a new batch, duplicates kept (here the new batch is the
+    rejected lines, so those appear twice)."""
+    c = Ctx(spark, sf_dir)
+    old = c.raw_lines()
+    new = I.reject_rows(c.raw_lines()).select("event_id", "value")
+    return old.unionByName(new).groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))

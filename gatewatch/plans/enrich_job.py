@@ -56,7 +56,9 @@ def enrich(access: DataFrame, tables: Tables, id_pattern: str = ID_PATTERN,
     a = flag_listed_ip(a, R.high_frequency_ips(tables.ip_blacklist), "remote_addr", "high_freq")
     passthrough = [c for c in ("event_id",) if c in access.columns]
     return a.select(
-        *passthrough, "source", "request_method", "request",
+        # the reference leaves the source field empty: the raw line itself holds the
+        # field separator and would break the wire format
+        *passthrough, F.lit(None).cast("string").alias("source"), "request_method", "request",
         F.col("remote_addr").alias("ip"), F.col("http_user_agent").alias("user_agent"),
         "time_iso8601", "ts", "server_addr", "high_freq", "flight_type", "behavior_type",
         "travel_type",

@@ -207,3 +207,161 @@ ENTRIES = _with(SCORED, f"""SELECT we AS window_end_us, ip, flow_id, round(flow_
   we + CAST({TTL} AS BIGINT) * 1000000 AS expire_at_us FROM dedup""")
 ORACLES["blacklist_entries"] = ENTRIES
 ORACLES["score_job"] = ENTRIES
+
+
+# ------------------------------------------------------------------ C: ingest, clean, label, extract
+
+RAW = """
+raw AS (
+  SELECT event_id, ts, user_id, event_type, props, value,
+    concat_ws('#CS#',
+      strftime(ts, '%d/%b/%Y:%H:%M:%S'),
+      CASE event_type WHEN 'view' THEN '/air/search' WHEN 'click' THEN '/air/intl/search'
+           WHEN 'purchase' THEN '/air/book' WHEN 'signup' THEN '/air/intl/book'
+           WHEN 'error' THEN '/static/err.js' ELSE '/' END
+        || '?dep=C' || CAST(user_id % 5 AS VARCHAR) || '&arr=C' || CAST(event_id % 7 AS VARCHAR),
+      CASE WHEN event_id % 3 = 0 THEN 'POST' ELSE 'GET' END,
+      CASE WHEN event_id % 3 = 0 THEN 'application/x-www-form-urlencoded' ELSE 'text/html' END,
+      'q=' || props,
+      CASE WHEN event_id % 5 = 0 THEN 'http://h.example/p'
+           ELSE 'http://h.example/p?go=2024-02-01' || CASE WHEN event_id % 2 = 0 THEN '&back=2024-02-09' ELSE '' END END,
+      '10.' || CAST(user_id % 16 AS VARCHAR) || '.' || CAST(user_id % 7 AS VARCHAR) || '.' || CAST(user_id AS VARCHAR),
+      'UA' || CAST(event_id % 11 AS VARCHAR),
+      strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00'),
+      '192.168.1.' || CAST(event_id % 4 AS VARCHAR),
+      'JSESSIONID=s' || CAST(event_id % 13 AS VARCHAR) || ';userId4logCookie=u' || CAST(user_id AS VARCHAR)
+    ) || CASE WHEN event_id % 50 = 0 THEN '' ELSE '#CS#' || CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) END AS line
+  FROM events)
+"""
+
+ORACLES["src_raw_log"] = _with(RAW, "SELECT event_id, line AS value FROM raw")
+ORACLES["reject_rows"] = _with(RAW, """SELECT event_id, len(string_split(line, '#CS#')) AS n_fields
+  FROM raw WHERE len(string_split(line, '#CS#')) <> 12""")
+ORACLES["archive_union"] = _with(RAW, """SELECT event_id,
+  CASE WHEN len(string_split(line, '#CS#')) <> 12 THEN 2 ELSE 1 END AS copies FROM raw""")
+ORACLES["parse_access_log"] = _with(ACCESS, """SELECT event_id, request, request_method, content_type,
+  ip AS remote_addr, user_agent AS http_user_agent, server_addr, connection_active, epoch_us(ts) AS ts_us FROM access""")
+ORACLES["cookie_fields"] = _with(ACCESS, "SELECT event_id, jsession_id, cookie_user_id FROM access")
+ORACLES["url_decode_params"] = _with(ACCESS, "SELECT event_id, url_decode(replace(props, '+', ' ')) AS decoded FROM access")
+ORACLES["url_clean_filter"] = _with(ACCESS, "SELECT event_id, request FROM access WHERE NOT regexp_full_match(request, '/static/.*')")
+ORACLES["url_clean_antijoin"] = ORACLES["url_clean_filter"]
+
+DOC_PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+DOC_NUMBER = r"[0-9]{16}"
+
+
+def _mask_sql(pattern: str) -> str:
+    p = pattern.replace("'", "''")
+    return (f"list_reduce(list_prepend(text, list_distinct(regexp_extract_all(text, '{p}'))), "
+            f"lambda acc, m: replace(acc, m, upper(md5(m))))")
+
+
+ORACLES["mask_phone"] = f"SELECT doc_id, {_mask_sql(DOC_PHONE)} AS masked FROM documents"
+ORACLES["mask_id_number"] = f"SELECT doc_id, {_mask_sql(DOC_NUMBER)} AS masked FROM documents"
+ORACLES["strip_whitespace"] = r"SELECT doc_id, regexp_replace(text, '[\x00\s]+', '', 'g') AS stripped FROM documents"
+ORACLES["hash_ids"] = "SELECT doc_id, upper(md5(text)) AS text_md5 FROM documents"
+ORACLES["classify_request"] = _with(PROC.split(",\nkept AS")[0] + """,
+proc AS (SELECT * FROM access)""", """SELECT event_id, request,
+    CASE WHEN regexp_full_match(request, '/air/intl/book.*') OR regexp_full_match(request, '/air/intl/search.*')
+         THEN 'International'
+         WHEN regexp_full_match(request, '/air/book.*') OR regexp_full_match(request, '/air/search.*')
+         THEN 'National' ELSE 'Other' END AS flight_type,
+    CASE WHEN regexp_full_match(request, '/air/intl/book.*') THEN 'Book'
+         WHEN regexp_full_match(request, '/air/intl/search.*') THEN 'Query'
+         WHEN regexp_full_match(request, '/air/book.*') THEN 'Book'
+         WHEN regexp_full_match(request, '/air/search.*') THEN 'Query' ELSE 'Other' END AS behavior_type
+  FROM access""")
+
+TRAVEL = """CASE WHEN NOT contains(referer, '?') THEN 'Unknown'
+     WHEN len(list_filter(string_split(split_part(referer, '?', 2), '&'),
+              lambda p: regexp_full_match(split_part(p, '=', 2), '(\\d{4})-(0\\d{1}|1[0-2])-(0\\d{1}|[12]\\d{1}|3[01])'))) = 1 THEN 'OneWay'
+     WHEN len(list_filter(string_split(split_part(referer, '?', 2), '&'),
+              lambda p: regexp_full_match(split_part(p, '=', 2), '(\\d{4})-(0\\d{1}|1[0-2])-(0\\d{1}|[12]\\d{1}|3[01])'))) = 2 THEN 'RoundTrip'
+     ELSE 'Unknown' END"""
+ORACLES["classify_trip"] = _with(ACCESS, f"SELECT event_id, {TRAVEL} AS travel_type FROM access")
+
+LISTED_HF = "('" + "', '".join(ip for ip, f in R.FIXTURE_IP_BLACKLIST if f == 0) + "')"
+LISTED_ALL = "('" + "', '".join(ip for ip, _ in R.FIXTURE_IP_BLACKLIST) + "')"
+ORACLES["flag_listed_ip"] = _with(ACCESS, f"SELECT event_id, ip AS remote_addr, ip IN {LISTED_HF} AS high_freq FROM access")
+ORACLES["listed_ip_semi"] = _with(ACCESS, f"SELECT event_id, ip AS remote_addr FROM access WHERE ip IN {LISTED_ALL}")
+
+ORACLES["get_params"] = """
+SELECT page_id, split_part(p, '=', 1) AS k, split_part(p, '=', 2) AS v FROM (
+  SELECT page_id, unnest(string_split(split_part(url, '?', 2), '&')) AS p FROM pages WHERE contains(url, '?'))
+WHERE regexp_matches(p, '=.*[^=]')"""
+ORACLES["form_params"] = _with(ACCESS, "SELECT event_id, 'q' AS k, url_decode(replace(props, '+', ' ')) AS v FROM access")
+ORACLES["json_fields"] = "SELECT event_id, json_extract(props, '$.k')::VARCHAR AS k, NULL::VARCHAR AS missing FROM events"
+ORACLES["json_to_map"] = """SELECT event_id, key, json_extract(props, '$.' || key)::VARCHAR AS value
+  FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)"""
+ORACLES["json_in_form"] = _with(ACCESS, """SELECT event_id, url_decode(replace(props, '+', ' ')) AS json,
+  json_extract(props, '$.k')::VARCHAR AS k FROM access""")
+
+# processed records with the fixture parse rules: GET queries -> rule q-get-any (GET
+# parameters), POST queries -> q-post (JSON in form field q), POST books -> b-post.
+PROC2 = PROC + f""",
+proc2 AS (
+  SELECT *,
+    CASE WHEN behavior_type = 'Query' AND request_method = 'GET' THEN 'q-get-any'
+         WHEN behavior_type = 'Query' AND request_method = 'POST' THEN 'q-post'
+         WHEN behavior_type = 'Book' AND request_method = 'POST' THEN 'b-post' END AS matched_rule,
+    {TRAVEL} AS travel_type,
+    ip IN {LISTED_HF} AS high_freq
+  FROM proc)
+"""
+ORACLES["match_parse_rule"] = _with(PROC2, "SELECT event_id, matched_rule FROM proc2")
+ORACLES["processed_records"] = _with(PROC2, """SELECT event_id, ip, request, request_method, flight_type,
+  behavior_type, travel_type, NULL::VARCHAR AS flight_date, dep_city, arr_city, session_hash, user_hash,
+  high_freq, matched_rule, epoch_us(ts) AS ts_us FROM proc2""")
+ORACLES["enrich_job"] = _with(PROC2, """SELECT event_id, ip, request, flight_type, behavior_type, travel_type,
+  dep_city, arr_city, session_hash, high_freq, matched_rule FROM proc2""")
+ORACLES["roundtrip_record"] = _with(PROC2, """SELECT request, ip, user_agent, flight_type, behavior_type,
+  travel_type, dep_city, arr_city, session_hash, user_hash, high_freq, epoch_us(ts) AS ts_us FROM proc2""")
+ORACLES["route_records"] = _with(PROC2, """SELECT event_id, lower(behavior_type) AS topic FROM proc2
+  WHERE behavior_type IN ('Query', 'Book')""")
+ORACLES["parse_query_request"] = _with(PROC2, """SELECT event_id,
+  FALSE AS is_empty,
+  CASE flight_type WHEN 'National' THEN 0 WHEN 'International' THEN 1 ELSE -1 END AS flight_type,
+  CASE WHEN request_method = 'GET' THEN dep_city ELSE '' END AS depcity,
+  CASE WHEN request_method = 'GET' THEN arr_city ELSE '' END AS arrcity,
+  '' AS flightdate,
+  CASE WHEN request_method = 'POST' THEN json_extract(props, '$.k')::VARCHAR ELSE '' END AS adultnum,
+  '' AS childnum, '' AS infantnum, '' AS country,
+  CASE travel_type WHEN 'OneWay' THEN 0 WHEN 'RoundTrip' THEN 1 ELSE -1 END AS travel_type
+  FROM proc2 WHERE matched_rule IN ('q-get-any', 'q-post')""")
+ORACLES["parse_book_request"] = _with(PROC2, """SELECT event_id, 0 AS flight_type,
+  CASE travel_type WHEN 'OneWay' THEN 0 WHEN 'RoundTrip' THEN 1 ELSE -1 END AS travel_type,
+  json_extract(props, '$.k')::VARCHAR AS flightno, NULL::VARCHAR AS depcity, NULL::VARCHAR AS contractphone, 0 AS n_idcard
+  FROM proc2 WHERE matched_rule = 'b-post'""")
+
+# ------------------------------------------------------------------ D: monitoring
+ORACLES["link_counts"] = _with(ACCESS, "SELECT server_addr, count(*) AS n_requests FROM access GROUP BY ALL")
+ORACLES["link_active_latest"] = _with(ACCESS, """SELECT server_addr, connection_active FROM (
+  SELECT server_addr, connection_active, row_number() OVER (PARTITION BY server_addr ORDER BY ts DESC, event_id DESC) rn
+  FROM access) WHERE rn = 1""")
+ORACLES["batch_throughput"] = _with(ACCESS, f"""SELECT epoch_us(ts) // {H} AS batch_id, count(*) AS n_rows,
+  min(epoch_us(ts)) AS start_us, max(epoch_us(ts)) AS end_us,
+  round(CASE WHEN max(epoch_us(ts)) = min(epoch_us(ts)) THEN NULL
+        ELSE count(*) / ((max(epoch_us(ts)) - min(epoch_us(ts))) / 1000.0) END, 6) AS rows_per_ms
+  FROM access GROUP BY ALL""")
+
+# ------------------------------------------------------------------ blacklist tables
+HIST = SCORED + f""",
+hist AS (SELECT make_timestamp(we + CAST({TTL} AS BIGINT) * 1000000) AS expire_at,
+                'CSANTI_ANTI_BLACK' || ip || ':' || flow_id AS key,
+                printf('%.6f', flow_score) || '|' || printf('%.6f', flow_limit) || '|' || hit_rules || '|'
+                  || strftime(make_timestamp(we), '%Y-%m-%d %H:%M:%S') AS value,
+                strftime(make_timestamp(we), '%Y%m%d%H') AS hour
+         FROM dedup),
+hn AS (SELECT *, (SELECT max(expire_at) - INTERVAL 90 MINUTES FROM hist) AS now FROM hist),
+latest AS (SELECT key, expire_at, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY expire_at DESC, value DESC) rn FROM hist) WHERE rn = 1)
+"""
+ORACLES["latest_expiry"] = _with(HIST, "SELECT key, epoch_us(max(expire_at)) AS expire_at_us FROM hist GROUP BY key")
+ORACLES["blacklist_latest"] = _with(HIST, "SELECT key, epoch_us(expire_at) AS expire_at_us, value FROM latest")
+ORACLES["blacklist_restore"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at) AS expire_at_us, l.value
+  FROM latest l, (SELECT DISTINCT now FROM hn) n
+  WHERE l.expire_at > n.now
+    AND l.key NOT IN (SELECT key FROM hn WHERE hour = strftime(now, '%Y%m%d%H'))""")
+ORACLES["blacklist_recent_partitions"] = _with(HIST, """SELECT key, value, epoch_us(expire_at) AS expire_at_us, hour
+  FROM hn WHERE hour IN (strftime(now, '%Y%m%d%H'), strftime(now - INTERVAL 1 HOUR, '%Y%m%d%H'))""")
+ORACLES["hourly_partition_counts"] = _with(HIST, "SELECT hour, count(*) AS n_entries FROM hist GROUP BY hour")
