@@ -14,6 +14,7 @@ TRAVEL = {"OneWay": 0, "RoundTrip": 1, "Unknown": -1}
 
 # Date form counted in referer query values (month and day 00 accepted, 2.J-39).
 REFERER_DATE = r"^(\d{4})-(0\d{1}|1[0-2])-(0\d{1}|[12]\d{1}|3[01])$"
+REFERER_VALUE_DATE = r"(?:^|&)[^&=]*=(\d{4})-(0\d{1}|1[0-2])-(0\d{1}|[12]\d{1}|3[01])(?=&|$)"
 
 
 def label_to_id(label: Column, mapping: dict) -> Column:
@@ -54,8 +55,7 @@ def travel_type(referer: Column) -> Column:
     """C11: count referer query values of the form yyyy-MM-dd; 1 -> OneWay,
     2 -> RoundTrip, else Unknown."""
     q = referer_query(referer)
-    vals = F.transform(F.split(q, "&"), lambda p: F.try_url_decode(
-        F.when(F.instr(p, "=") > 0, F.substring(p, F.instr(p, "=") + 1, 1 << 30))))
-    n = F.coalesce(F.size(F.filter(vals, lambda v: v.rlike(REFERER_DATE))), F.lit(0))
-    n = F.when(q.isNull(), F.lit(0)).otherwise(n)
+    # a value is the text after a parameter's first '=' up to the next '&'; count the
+    # values that are a whole date (no array, one regex scan)
+    n = F.coalesce(F.regexp_count(q, F.lit(REFERER_VALUE_DATE)), F.lit(0))
     return F.when(n == 1, F.lit("OneWay")).when(n == 2, F.lit("RoundTrip")).otherwise(F.lit("Unknown"))

@@ -20,7 +20,9 @@ ID_PATTERN = r"(?<![0-9])(?:[0-9]{18}|[0-9]{17}[Xx]|[0-9]{15})(?![0-9Xx])"
 
 def mask_matches(c: Column, pattern: str) -> Column:
     matches = F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)))
-    return F.aggregate(matches, c, lambda acc, m: F.replace(acc, m, md5_upper(m)))
+    # the array fold only runs on rows holding a match; the rest pass through
+    return F.when(c.rlike(pattern), F.aggregate(matches, c, lambda acc, m: F.replace(acc, m, md5_upper(m)))
+                  ).otherwise(c)
 
 
 def mask_ids(c: Column, pattern: str = ID_PATTERN) -> Column:

@@ -45,9 +45,7 @@ def cookie_pairs(cookie: Column) -> Column:
         F.trim(F.substring_index(p, "=", 1)).alias("k"),
         F.when(F.instr(p, "=") > 0, F.substring(p, F.instr(p, "=") + 1, 1 << 30)).alias("raw")))
     decoded = F.transform(pairs, lambda s: F.struct(
-        s["k"].alias("k"),
-        F.when(s["raw"].rlike("u[0-9a-fA-F]{4}"), unescape(s["raw"]))
-         .otherwise(url_decode(s["raw"])).alias("v")))
+        s["k"].alias("k"), decode_cookie_value(s["raw"]).alias("v")))
     return F.filter(decoded, lambda s: s["v"].isNotNull() & (F.length(s["v"]) > 0))
 
 
@@ -58,14 +56,31 @@ def lookup(pairs: Column, key) -> Column:
     return F.try_element_at(hit, F.lit(-1))["v"]
 
 
+def decode_cookie_value(raw: Column) -> Column:
+    """C2 value decoding: ``unescape`` when the value holds ``u`` + 4 hex digits,
+    else URL-decoding."""
+    return F.when(raw.rlike("u[0-9a-fA-F]{4}"), unescape(raw)).otherwise(url_decode(raw))
+
+
+def cookie_value(cookie: Column, key: str) -> Column:
+    """C2 + C5 for one literal key, without building the pair list: the last
+    ``key=value`` pair with a non-empty value (key trimmed, value up to the next
+    ``;``), decoded. One regex per row, inside whole-stage codegen."""
+    import re as _re
+    # the greedy prefix backtracks to the last ';' followed by a matching pair
+    pat = r"^(?:.*;)?\s*" + _re.escape(key) + r"\s*=([^;]+)"
+    raw = F.regexp_extract(cookie, pat, 1)
+    return F.when(F.length(raw) > 0, decode_cookie_value(raw))
+
+
 def session_id(cookie: Column) -> Column:
     """JSESSIONID from the cookie (NULL when absent)."""
-    return lookup(cookie_pairs(cookie), SESSION_COOKIE)
+    return cookie_value(cookie, SESSION_COOKIE)
 
 
 def user_id(cookie: Column) -> Column:
     """userId4logCookie from the cookie (NULL when absent)."""
-    return lookup(cookie_pairs(cookie), USER_COOKIE)
+    return cookie_value(cookie, USER_COOKIE)
 
 
 def strip_whitespace(c: Column) -> Column:

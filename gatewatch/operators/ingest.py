@@ -24,12 +24,11 @@ def parse_access_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     cols = [F.col("__p")[i].alias(name) for i, name in enumerate(RAW_FIELDS[:-1])]
     cols.append(F.col("__p")[len(RAW_FIELDS) - 1].try_cast("int").alias("connection_active"))
     out = s.select(*keep, F.col(value_col).alias("source"), *cols)
-    pairs = text.cookie_pairs(F.col("http_cookie"))
-    return (out.withColumn("ts", F.try_to_timestamp(F.col("time_iso8601")))
-               .withColumn("__c", pairs)
-               .withColumn("jsession_id", text.lookup(F.col("__c"), text.SESSION_COOKIE))
-               .withColumn("cookie_user_id", text.lookup(F.col("__c"), text.USER_COOKIE))
-               .drop("__c"))
+    return out.withColumns({
+        "ts": F.try_to_timestamp(F.col("time_iso8601")),
+        "jsession_id": text.session_id(F.col("http_cookie")),
+        "cookie_user_id": text.user_id(F.col("http_cookie")),
+    })
 
 
 def reject_rows(lines: DataFrame, value_col: str = "value") -> DataFrame:

@@ -18,13 +18,22 @@ from gatewatch.functions.text import md5_upper
 from gatewatch.operators import extract as X
 from gatewatch.operators.ingest import parse_access_log
 from gatewatch.operators.lookup import flag_listed_ip
+from gatewatch.session import spread
 from gatewatch.sources import rules as R
 
 
 def class_patterns(classify_rule: DataFrame) -> dict:
     """A5, collected: class -> regex list (configuration rows, size checked)."""
-    rows = R.rules_by_class(classify_rule).limit(10).collect()
-    return {r["class"]: list(r["expressions"]) for r in rows}
+    rows = classify_rule.limit(10_001).collect()
+    if len(rows) > 10_000:
+        raise ValueError("classification rule table too large to fold")
+    names = {(0, 0): "nq", (0, 1): "nb", (1, 0): "iq", (1, 1): "ib"}
+    out: dict = {}
+    for r in rows:
+        cls = names.get((r["flight_type"], r["operation_type"]))
+        if cls and r["expression"]:
+            out.setdefault(cls, []).append(r["expression"])
+    return {k: sorted(v) for k, v in out.items()}
 
 
 def url_filter(df: DataFrame, tables: Tables, col: str = "request") -> DataFrame:
@@ -73,4 +82,4 @@ def enrich(access: DataFrame, tables: Tables, id_pattern: str = ID_PATTERN,
 def enrich_lines(lines: DataFrame, tables: Tables, **kw) -> DataFrame:
     """Wire lines (``value``) -> processed records; malformed lines are left to
     ``operators.ingest.reject_rows``."""
-    return enrich(parse_access_log(lines), tables, **kw)
+    return enrich(parse_access_log(spread(lines)), tables, **kw)

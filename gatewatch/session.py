@@ -70,3 +70,14 @@ def materialize(df, name: str):
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a DataFrame whose input has fewer partitions than the cluster has
+    cores (a single small file), before expensive per-row work. At scale the input
+    already has many splits and this is a no-op: no shuffle is added."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
