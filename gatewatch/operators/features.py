@@ -27,6 +27,11 @@ from gatewatch.config import WindowSpec
 US_PER_S = 1_000_000
 
 
+def duration_us_of(text: str) -> int:
+    from gatewatch.config import duration_us
+    return duration_us(text)
+
+
 def trip_key(dep: Column, arr: Column) -> Column:
     """E7 key: the (departure, arrival) pair as one value."""
     return F.concat(F.coalesce(dep, F.lit("")), F.lit("\u0001"), F.coalesce(arr, F.lit("")))
