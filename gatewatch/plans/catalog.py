@@ -461,3 +461,85 @@ def archive_union(spark, sf_dir):
     old = c.raw_lines()
     new = I.reject_rows(c.raw_lines()).select("event_id", "value")
     return old.unionByName(new).groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+# ------------------------------------------------------------------ XML (C20, C22, C26-C28), C3, C16, C19, C23, C33
+
+from gatewatch.functions import xml as X  # noqa: E402
+
+
+def _nav(pages: DataFrame) -> DataFrame:
+    """The XML-safe slice of a page: its ``<nav>`` element (the rest of the HTML is not
+    well-formed XML; the guard in functions.xml returns NULL for it)."""
+    return pages.select("page_id", F.regexp_extract("html", r"<nav>.*?</nav>", 0).alias("xml"))
+
+
+@query("xml_nodes")
+def xml_nodes(spark, sf_dir):
+    """Node texts at a path, in document order, as (name + index -> value)."""
+    n = _nav(Ctx(spark, sf_dir).table("pages"))
+    return n.select("page_id", F.posexplode(X.xml_nodes(F.col("xml"), "//a/text()")).alias("idx", "value"))
+
+
+@query("xml_fields")
+def xml_fields(spark, sf_dir):
+    """C20: scalar reads at literal paths, guarded against malformed documents
+    (the whole page HTML is malformed and yields NULL, the nav slice parses)."""
+    p = Ctx(spark, sf_dir).table("pages")
+    n = p.select("page_id", "html", F.regexp_extract("html", r"<nav>.*?</nav>", 0).alias("xml"))
+    return n.select("page_id",
+                    X.xml_text(F.col("xml"), "//li[1]/a/text()").alias("first_link"),
+                    X.xml_text(F.col("xml"), "//li[2]/a/@href").alias("second_href"),
+                    X.xml_text(F.col("html"), "//title/text()").alias("title_if_xml"))
+
+
+@query("book_xml")
+def book_xml(spark, sf_dir):
+    """List and scalar reads with the contact cuts (name before '|', phone before '/')."""
+    n = _nav(Ctx(spark, sf_dir).table("pages"))
+    hrefs = X.xml_nodes(F.col("xml"), "//a/@href")
+    return n.select("page_id", F.array_join(hrefs, ",").alias("hrefs"),
+                    X.contact_name(X.xml_text(F.col("xml"), "//li[1]/a/text()")).alias("contractname"),
+                    X.contact_phone(F.element_at(hrefs, 1)).alias("contractphone"),
+                    X.xml_travel_type(F.col("xml")).alias("travel_type"))
+
+
+@query("cookie_unescape")
+def cookie_unescape(spark, sf_dir):
+    """C3 over whole page titles (``%`` runs that are not escapes stay as they are)."""
+    p = Ctx(spark, sf_dir).table("pages")
+    title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    return p.select("page_id", title.alias("title"), T.unescape(title).alias("unescaped"))
+
+
+@query("query_fields_from_params")
+def query_fields_from_params(spark, sf_dir):
+    """Query fields read from GET parameters by the rule's keys."""
+    p = _proc(Ctx(spark, sf_dir)).filter(F.col("matched_rule") == "q-get-any")
+    return p.select("event_id", F.col("query.depcity").alias("depcity"), F.col("query.arrcity").alias("arrcity"),
+                    F.col("query.adultnum").alias("adultnum"), F.col("query.travel_type").alias("travel_type"))
+
+
+@query("json_body_fields")
+def json_body_fields(spark, sf_dir):
+    """JSON body read with rule paths (the event props as the body)."""
+    e = Ctx(spark, sf_dir).events
+    paths = F.lit("$.k")
+    return e.select("event_id", P.json_field(F.col("props"), paths).alias("adultnum"),
+                    F.coalesce(P.json_field(F.col("props"), F.lit("$.dep")), F.lit("")).alias("depcity"))
+
+
+@query("book_json")
+def book_json(spark, sf_dir):
+    """Book lists from JSON in the form field (flight numbers from ``$.k``)."""
+    p = _proc(Ctx(spark, sf_dir)).filter(F.col("book").isNotNull())
+    return p.select("event_id", F.array_join("book.flightno", ",").alias("flightno"),
+                    F.size(F.coalesce("book.psgname", F.array())).alias("n_passengers"))
+
+
+@query("book_hash_pii")
+def book_hash_pii(spark, sf_dir):
+    """MD5 of each id-like number in the whole document."""
+    d = Ctx(spark, sf_dir).table("documents")
+    ids = F.regexp_extract_all("text", F.lit(DOC_NUMBER_PATTERN), F.lit(0))
+    return d.select("doc_id", F.array_join(M.hash_list(ids), ",").alias("hashed_ids"))

@@ -365,3 +365,23 @@ ORACLES["blacklist_restore"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at
 ORACLES["blacklist_recent_partitions"] = _with(HIST, """SELECT key, value, epoch_us(expire_at) AS expire_at_us, hour
   FROM hn WHERE hour IN (strftime(now, '%Y%m%d%H'), strftime(now - INTERVAL 1 HOUR, '%Y%m%d%H'))""")
 ORACLES["hourly_partition_counts"] = _with(HIST, "SELECT hour, count(*) AS n_entries FROM hist GROUP BY hour")
+
+# ------------------------------------------------------------------ XML slice, C16, C19, C23, C33
+ORACLES["xml_nodes"] = """SELECT page_id, CAST(i - 1 AS INTEGER) AS idx, v AS value FROM (
+  SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<nav>.*?</nav>', 0), '<a href="[^"]*">([^<]*)</a>', 1)) AS v,
+         unnest(range(1, 1 + len(regexp_extract_all(regexp_extract(html, '<nav>.*?</nav>', 0), '<a href="[^"]*">([^<]*)</a>', 1)))) AS i
+  FROM pages)"""
+ORACLES["xml_fields"] = """SELECT page_id,
+  regexp_extract(regexp_extract(html, '<nav>.*?</nav>', 0), '<li><a href="[^"]*">([^<]*)</a>', 1) AS first_link,
+  regexp_extract(regexp_extract(html, '<nav>.*?</nav>', 0), '<li><a href="[^"]*">[^<]*</a></li><li><a href="([^"]*)"', 1) AS second_href,
+  NULL::VARCHAR AS title_if_xml
+  FROM pages"""
+ORACLES["query_fields_from_params"] = _with(PROC2, """SELECT event_id, dep_city AS depcity, arr_city AS arrcity,
+  '' AS adultnum, CASE travel_type WHEN 'OneWay' THEN 0 WHEN 'RoundTrip' THEN 1 ELSE -1 END AS travel_type
+  FROM proc2 WHERE matched_rule = 'q-get-any'""")
+ORACLES["json_body_fields"] = "SELECT event_id, json_extract(props, '$.k')::VARCHAR AS adultnum, '' AS depcity FROM events"
+ORACLES["book_json"] = _with(PROC2, """SELECT event_id, json_extract(props, '$.k')::VARCHAR AS flightno, 0 AS n_passengers
+  FROM proc2 WHERE matched_rule = 'b-post'""")
+ORACLES["book_hash_pii"] = f"""SELECT doc_id,
+  array_to_string(list_transform(regexp_extract_all(text, '{DOC_NUMBER}'), lambda x: upper(md5(x))), ',') AS hashed_ids
+  FROM documents"""
