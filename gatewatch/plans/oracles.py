@@ -385,3 +385,11 @@ ORACLES["book_json"] = _with(PROC2, """SELECT event_id, json_extract(props, '$.k
 ORACLES["book_hash_pii"] = f"""SELECT doc_id,
   array_to_string(list_transform(regexp_extract_all(text, '{DOC_NUMBER}'), lambda x: upper(md5(x))), ',') AS hashed_ids
   FROM documents"""
+ORACLES["link_snapshot"] = _with(ACCESS + """,
+per AS (
+  SELECT server_addr, count(*) AS n,
+         arg_max(connection_active, (ts, event_id)) AS active
+  FROM access GROUP BY server_addr)
+""", """SELECT to_json(map_from_entries(list_sort(list((server_addr, n))))) AS link_counts,
+       to_json(map_from_entries(list_sort(list((server_addr, active))))) AS active_connections
+FROM per""")
