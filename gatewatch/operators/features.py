@@ -84,13 +84,21 @@ def gap_summary(df: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) ->
     is ``first - previous last``, found with a ``lag`` at bucket grain, whose row count
     per key is bounded by time span / bucket, not by traffic."""
     bu = w.bucket_us
-    rows = df.withColumn("bucket", _floor_div(F.col("t_us"), bu))
+    rows = df if "bucket" in df.columns else df.withColumn("bucket", _floor_div(F.col("t_us"), bu))
     in_bucket = Window.partitionBy(*keys, "bucket").orderBy("t_s")
     rows = rows.withColumn("gap", (F.col("t_s") - F.lag("t_s").over(in_bucket)) * 1000)
     b = rows.groupBy(*keys, "bucket").agg(
         F.min("t_s").alias("first_s"), F.max("t_s").alias("last_s"),
         F.min("gap").alias("gmin"),
         F.count_if(F.col("gap") < fast_ms).alias("gfast"))
+    return merge_buckets(b, keys, w, fast_ms)
+
+
+def merge_buckets(b: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) -> DataFrame:
+    """Bucket summaries (keys, bucket, first_s, last_s, gmin, gfast) -> per (window end,
+    keys): min gap and fast count, adding the gap that crosses consecutive non-empty
+    buckets when both lie in the window."""
+    bu = w.bucket_us
     across = Window.partitionBy(*keys).orderBy("bucket")
     b = (b.withColumn("prev_bucket", F.lag("bucket").over(across))
           .withColumn("cross", (F.col("first_s") - F.lag("last_s").over(across)) * 1000)
@@ -104,6 +112,30 @@ def gap_summary(df: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) ->
         (F.sum("gfast") + F.count_if(cross < fast_ms)).cast("long").alias("fast_count"))
 
 
+def gap_summaries_ip_and_request(crit: DataFrame, w: WindowSpec, fast_ms: int):
+    """E5 (per ip) and E6 (per ip, request) from ONE shuffle of the critical rows on
+    (ip, time bucket): both row-level gap sorts run on that partitioning, the
+    (ip, request, bucket) summary is built first and the (ip, bucket) summary is
+    derived from it (min of mins, first of firsts, last of lasts)."""
+    rows = (crit.select("ip", "request", "t_s",
+                        _floor_div(F.col("t_us"), w.bucket_us).alias("bucket"))
+            .repartition("ip", "bucket"))
+    w_ip = Window.partitionBy("ip", "bucket").orderBy("t_s")
+    w_rq = Window.partitionBy("ip", "request", "bucket").orderBy("t_s")
+    rows = (rows.withColumn("g_ip", (F.col("t_s") - F.lag("t_s").over(w_ip)) * 1000)
+                .withColumn("g_rq", (F.col("t_s") - F.lag("t_s").over(w_rq)) * 1000))
+    s1 = rows.groupBy("ip", "request", "bucket").agg(
+        F.min("t_s").alias("first_s"), F.max("t_s").alias("last_s"),
+        F.min("g_ip").alias("gmin_ip"), F.min("g_rq").alias("gmin"),
+        F.count_if(F.col("g_rq") < fast_ms).alias("gfast"))
+    s2 = s1.groupBy("ip", "bucket").agg(
+        F.min("first_s").alias("first_s"), F.max("last_s").alias("last_s"),
+        F.min("gmin_ip").alias("gmin"), F.lit(0).cast("long").alias("gfast"))
+    per_ip = merge_buckets(s2, ["ip"], w, fast_ms)
+    per_req = merge_buckets(s1.drop("gmin_ip"), ["ip", "request"], w, fast_ms)
+    return per_ip, per_req
+
+
 def gap_summary_direct(df: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) -> DataFrame:
     """Reference form of ``gap_summary``: expand rows into windows, ``lag`` over
     (window, keys) ordered by time, then ``min`` and ``count_if``."""
@@ -219,3 +251,52 @@ def request_gaps(records: DataFrame, keys=("ip",)) -> DataFrame:
     b = b.join(days.select(*keys, "d", "prev_day_last"), [*keys, "d"], "left")
     prev = F.coalesce(F.col("prev"), F.col("prev_day_last"))
     return b.select(*keys, "ts", ((F.col("t_s") - prev) * 1000).alias("gap_ms"))
+
+
+def window_features(records: DataFrame, w: WindowSpec) -> DataFrame:
+    """All eight indicators for every (window_end, ip, request) a record is scored on,
+    in pane form, sharing work between indicators:
+
+    * one ``(pane, ip, request)`` aggregate gives the score keys (each record's own
+      pane end), E2 and E3 (summed over requests) and E1 (summed over a block);
+    * one ``(pane, ip, kind, value)`` de-duplication gives E4, E7, E8;
+    * critical rows are hash-partitioned once on ``(ip, time bucket)``; that
+      partitioning serves both gap sorts, E5 per ip and E6 per (ip, request), and
+      the identical exchange is reused by both branches.
+
+    Three scans of the records instead of one per indicator."""
+    b = _prepared(records, w)
+    s = w.slide_us
+    p = b.groupBy("pane", "ip", "request").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("critical").cast("long")).alias("c"))
+    keys = p.select(((F.col("pane") + 1) * F.lit(s)).alias("we_us"), "ip", "request")
+    per_ip = expand_panes(p, w).groupBy("we_us", "ip").agg(
+        F.sum("n").alias("ip_count"), F.sum("c").alias("critical_count"))
+    per_block = expand_panes(p.withColumn("ip_block", ip_block(F.col("ip"))), w).groupBy(
+        "we_us", "ip_block").agg(F.sum("n").alias("block_count"))
+    vals = b.select("pane", "ip", F.expr(_KINDS)).filter(F.col("v").isNotNull()).distinct()
+    distinct = expand_panes(vals, w).select("we_us", "ip", "kind", "v").distinct().groupBy(
+        "we_us", "ip").agg(
+        F.count_if(F.col("kind") == "u").alias("ua_distinct"),
+        F.count_if(F.col("kind") == "t").alias("trip_distinct"),
+        F.count_if(F.col("kind") == "s").alias("session_distinct"))
+    gap_ip, gap_req = gap_summaries_ip_and_request(b.filter("critical"), w, w.fast_repeat_ms)
+    gap_ip = gap_ip.select("we_us", "ip", "min_gap_ms")
+    gap_req = gap_req.select("we_us", "ip", "request", F.col("fast_count").alias("fast_repeats"))
+    out = (keys.withColumn("ip_block", ip_block(F.col("ip")))
+           .join(per_ip, ["we_us", "ip"], "left")
+           .join(distinct, ["we_us", "ip"], "left")
+           .join(gap_ip, ["we_us", "ip"], "left")
+           .join(per_block, ["we_us", "ip_block"], "left")
+           .join(gap_req, ["we_us", "ip", "request"], "left"))
+    zero = F.lit(0)
+    return out.select(
+        F.timestamp_micros("we_us").alias("window_end"), "ip", "request",
+        F.coalesce("block_count", zero).cast("long").alias("block_count"),
+        F.coalesce("ip_count", zero).cast("long").alias("ip_count"),
+        F.coalesce("critical_count", zero).cast("long").alias("critical_count"),
+        F.coalesce("ua_distinct", zero).cast("long").alias("ua_distinct"),
+        F.coalesce("min_gap_ms", zero).cast("long").alias("min_interval_ms"),
+        F.coalesce("trip_distinct", zero).cast("long").alias("trip_distinct"),
+        F.coalesce("session_distinct", zero).cast("long").alias("session_distinct"),
+        F.coalesce("fast_repeats", zero).cast("long").alias("fast_repeats"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gatewatch.config import Tables, WindowSpec
 from gatewatch.functions.regex import collect_patterns, matches_any
+from gatewatch.operators import features as fe
 from gatewatch.operators import scoring as S
 from gatewatch.sources import rules as R
 
@@ -26,8 +27,10 @@ def scored(processed: DataFrame, tables: Tables, w: WindowSpec, form: str = "pan
     """One row per (window_end, ip, request, flow) with the eight indicators, the flow
     score, the limit, the over-limit flag and the hit rules."""
     recs = indicator_records(processed, tables)
-    keys = S.score_keys(recs, w)
-    feats = S.attach_features(keys, recs, w, form)
+    if form == "pane":
+        feats = fe.window_features(recs, w)
+    else:
+        feats = S.attach_features(S.score_keys(recs, w), recs, w, form)
     return S.flow_scores(feats, R.flow_config(tables, n))
 
 

@@ -106,8 +106,32 @@ def _parse_rule_rows():
     return rows
 
 
+def _sql_literal(v, typ: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {typ})"
+    if typ == "boolean":
+        return "TRUE" if v else "FALSE"
+    if typ in ("int", "bigint", "double"):
+        return f"CAST({v!r} AS {typ})"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small literal table as a ``VALUES`` relation: it lives in the plan (a local
+    relation), so reading, collecting or broadcasting it needs no Python worker and
+    no task."""
+    fields = [f.strip().rsplit(" ", 1) for f in schema.split(",")]
+    names = [n.strip() for n, _ in fields]
+    types = [t.strip() for _, t in fields]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    body = ", ".join("(" + ", ".join(_sql_literal(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def fixture_rules(spark: SparkSession) -> Tables:
-    c = spark.createDataFrame
+    def c(rows, schema):
+        return local_table(spark, rows, schema)
     return Tables(
         filter_rule=c(FIXTURE_FILTER_RULES, FILTER_RULE_SCHEMA),
         classify_rule=c(FIXTURE_CLASSIFY_RULES, CLASSIFY_RULE_SCHEMA),

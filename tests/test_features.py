@@ -71,3 +71,15 @@ def test_request_gaps_across_days(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     gaps = sorted((r["gap_ms"] for r in fe.request_gaps(df).collect()), key=lambda x: (x is not None, x))
     assert gaps == [None, 2 * 3600 * 1000, 23 * 3600 * 1000]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(row, min_size=1, max_size=40))
+def test_shared_window_features_equal_direct(spark, items):
+    from gatewatch.operators import scoring as S
+    w = WindowSpec("60 seconds", "20 seconds", fast_repeat_ms=10_000, gap_bucket="5 seconds")
+    df = spark.createDataFrame(_rows(items), SCHEMA)
+    shared = fe.window_features(df, w)
+    direct = S.attach_features(S.score_keys(df, w), df, w, "direct")
+    cols = ["window_end", "ip", "request", *S.FEATURE_COLUMNS]
+    assert _sorted(shared.select(*cols)) == _sorted(direct.select(*cols))
