@@ -97,12 +97,13 @@ def with_query_request(df: DataFrame, rules: list, request: str = "request",
     the query struct; NULL unless a query rule matched (fix 2.J-13)."""
     ct, b = F.col(content_type), F.col(body)
     d = df.withColumn("__qb", F.when(_pr("behavior_type") == BEHAVIOR["Query"], query_branch(ct, b)))
-    d = d.withColumn("__qpairs", F.when(F.col("__qb") == "get", P.get_params(F.col(request)))
-                     .when(F.col("__qb") == "form", P.form_params(b)))
-    d = d.withColumn("__qjson", F.when(F.col("__qb") == "json_form",
-                                       P.json_in_form(b, _pr("form_data_field")))
-                     .when(F.col("__qb") == "json_body", b))
-    d = d.withColumn("__qxml", F.when(F.col("__qb") == "xml", X.from_page(b)))
+    d = d.withColumns({
+        "__qpairs": F.when(F.col("__qb") == "get", P.get_params(F.col(request)))
+                     .when(F.col("__qb") == "form", P.form_params(b)),
+        "__qjson": F.when(F.col("__qb") == "json_form", P.json_in_form(b, _pr("form_data_field")))
+                    .when(F.col("__qb") == "json_body", b),
+        "__qxml": F.when(F.col("__qb") == "xml", X.from_page(b)),
+    })
 
     def read(f):
         key = _pr(f"query_{f}")
@@ -112,8 +113,7 @@ def with_query_request(df: DataFrame, rules: list, request: str = "request",
                       _xml_case(rules, BEHAVIOR["Query"], f"query_{f}", F.col("__qxml"), X.xml_text)))
 
     fields = [f for f in QUERY_FIELDS if f != "traveltype"]
-    for f in fields:
-        d = d.withColumn(f"__q_{f}", F.coalesce(read(f).cast("string"), F.lit("")))
+    d = d.withColumns({f"__q_{f}": F.coalesce(read(f).cast("string"), F.lit("")) for f in fields})
     tkey = _pr("query_traveltype")
     travel_req = F.when(F.length(F.trim(tkey)) > 0,
                         F.coalesce(F.trim(read("traveltype")).try_cast("int"), F.lit(-1)))
@@ -153,8 +153,7 @@ def with_book_request(df: DataFrame, rules: list, content_type: str = "content_t
 
     lists = ("flightno", "depcity", "arrcity", "flightdate", "cabin", "psgname", "psgfirname",
              "psgtype", "idtype", "idcard")
-    for f in lists:
-        d = d.withColumn(f"__b_{f}", read_list(f))
+    d = d.withColumns({f"__b_{f}": read_list(f) for f in lists})
     last, first = F.col("__b_psgname"), F.col("__b_psgfirname")
     psgname = F.when(first.isNull(), last).otherwise(
         F.zip_with(first, last, lambda a, c: F.concat(F.coalesce(a, F.lit("")), F.coalesce(c, F.lit("")))))

@@ -48,11 +48,13 @@ def enrich(access: DataFrame, tables: Tables, id_pattern: str = ID_PATTERN,
     classes = class_patterns(tables.classify_rule)
     prules = X.collect_parse_rules(tables.parse_rule)
     a = url_filter(access, tables)
-    a = a.withColumn("masked_cookie", mask_pii(F.col("http_cookie"), id_pattern, phone_pattern))
-    a = a.withColumn("__cls", C.classify_request(F.col("request"), classes))
-    a = (a.withColumn("flight_type", F.col("__cls.flight_type"))
-          .withColumn("behavior_type", F.col("__cls.behavior_type"))
-          .withColumn("travel_type", C.travel_type(F.col("http_referer"))).drop("__cls"))
+    cls = C.classify_request(F.col("request"), classes)
+    a = a.withColumns({
+        "masked_cookie": mask_pii(F.col("http_cookie"), id_pattern, phone_pattern),
+        "flight_type": cls["flight_type"],
+        "behavior_type": cls["behavior_type"],
+        "travel_type": C.travel_type(F.col("http_referer")),
+    })
     flight_id = C.label_to_id(F.col("flight_type"), C.FLIGHT)
     behavior_id = C.label_to_id(F.col("behavior_type"), C.BEHAVIOR)
     travel_id = C.label_to_id(F.col("travel_type"), C.TRAVEL)
