@@ -43,11 +43,18 @@ def matched_rule(rules: list, method: Column, behavior_id: Column, request: Colu
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def attach_rule(df: DataFrame, parse_rule: DataFrame, rule_col: str = "matched_rule") -> DataFrame:
+def rule_side(parse_rule: DataFrame) -> DataFrame:
+    """The parse-rule table as the (size-checked) broadcast side of ``attach_rule``."""
+    r = parse_rule.select(*[F.col(c).alias(f"pr_{c}") for c in parse_rule.columns])
+    return checked_broadcast(r, 100_000)
+
+
+def attach_rule(df: DataFrame, parse_rule: DataFrame, rule_col: str = "matched_rule",
+                side: DataFrame | None = None) -> DataFrame:
     """Join the matched rule's row (columns prefixed ``pr_``) by id, broadcast after a
     size check; unmatched records keep NULL rule columns."""
-    r = parse_rule.select(*[F.col(c).alias(f"pr_{c}") for c in parse_rule.columns])
-    return df.join(checked_broadcast(r, 100_000), df[rule_col] == F.col("pr_id"), "left")
+    r = side if side is not None else rule_side(parse_rule)
+    return df.join(r, df[rule_col] == r["pr_id"], "left")
 
 
 def _pr(name: str) -> Column:
@@ -89,71 +96,86 @@ def _xml_case(rules: list, behavior: int, field: str, doc: Column, read) -> Colu
     return expr if expr is not None else F.lit(None)
 
 
-def with_query_request(df: DataFrame, rules: list, request: str = "request",
-                       content_type: str = "content_type", body: str = "request_body",
-                       flight_id: Column = None, referer_travel_id: Column = None,
-                       out: str = "query") -> DataFrame:
-    """C13 + C16/C17/C19/C20 over records joined to their rule (``attach_rule``):
-    the query struct; NULL unless a query rule matched (fix 2.J-13)."""
+def apply_steps(df: DataFrame, steps) -> DataFrame:
+    """Apply a list of ``{name: Column}`` projections, then drop helper columns."""
+    cols, drop = steps
+    for st in cols:
+        df = df.withColumns(st)
+    return df.drop(*drop)
+
+
+def query_steps(rules: list, request: str = "request", content_type: str = "content_type",
+                body: str = "request_body", flight_id: Column = None,
+                referer_travel_id: Column = None, out: str = "query"):
+    """The projections of ``with_query_request``; Columns reference input columns by
+    name only, so the steps are built once per rule version and reused per batch."""
     ct, b = F.col(content_type), F.col(body)
-    d = df.withColumn("__qb", F.when(_pr("behavior_type") == BEHAVIOR["Query"], query_branch(ct, b)))
-    d = d.withColumns({
-        "__qpairs": F.when(F.col("__qb") == "get", P.get_params(F.col(request)))
-                     .when(F.col("__qb") == "form", P.form_params(b)),
-        "__qjson": F.when(F.col("__qb") == "json_form", P.json_in_form(b, _pr("form_data_field")))
-                    .when(F.col("__qb") == "json_body", b),
-        "__qxml": F.when(F.col("__qb") == "xml", X.from_page(b)),
+    qb = F.col("__qb")
+    steps = [{"__qb": F.when(_pr("behavior_type") == BEHAVIOR["Query"], query_branch(ct, b))}]
+    steps.append({
+        "__qpairs": F.when(qb == "get", P.get_params(F.col(request))).when(qb == "form", P.form_params(b)),
+        "__qjson": F.when(qb == "json_form", P.json_in_form(b, _pr("form_data_field")))
+                    .when(qb == "json_body", b),
+        "__qxml": F.when(qb == "xml", X.from_page(b)),
     })
 
     def read(f):
         key = _pr(f"query_{f}")
-        return (F.when(F.col("__qb").isin("get", "form"), P.param(F.col("__qpairs"), key))
-                .when(F.col("__qb").isin("json_form", "json_body"), P.json_field(F.col("__qjson"), key))
-                .when(F.col("__qb") == "xml",
+        return (F.when(qb.isin("get", "form"), P.param(F.col("__qpairs"), key))
+                .when(qb.isin("json_form", "json_body"), P.json_field(F.col("__qjson"), key))
+                .when(qb == "xml",
                       _xml_case(rules, BEHAVIOR["Query"], f"query_{f}", F.col("__qxml"), X.xml_text)))
 
     fields = [f for f in QUERY_FIELDS if f != "traveltype"]
-    d = d.withColumns({f"__q_{f}": F.coalesce(read(f).cast("string"), F.lit("")) for f in fields})
+    steps.append({f"__q_{f}": F.coalesce(read(f).cast("string"), F.lit("")) for f in fields})
     tkey = _pr("query_traveltype")
     travel_req = F.when(F.length(F.trim(tkey)) > 0,
                         F.coalesce(F.trim(read("traveltype")).try_cast("int"), F.lit(-1)))
     travel = F.when(travel_req >= 0, travel_req).otherwise(referer_travel_id)
-    filled = (F.when(F.col("__qb").isin("get", "form"), F.size(F.col("__qpairs")) > 0)
-              .otherwise(F.lit(True)))
+    filled = F.when(qb.isin("get", "form"), F.size(F.col("__qpairs")) > 0).otherwise(F.lit(True))
     any_value = F.greatest(*[F.length(F.col(f"__q_{f}")) for f in fields]) > 0
     st = F.struct((~(filled & any_value)).alias("is_empty"), flight_id.alias("flight_type"),
                   *[F.col(f"__q_{f}").alias(f) for f in fields],
                   travel.cast("int").alias("travel_type"))
-    d = d.withColumn(out, F.when(F.col("__qb").isNotNull() | (_pr("behavior_type") == BEHAVIOR["Query"]), st))
-    return d.drop("__qb", "__qpairs", "__qjson", "__qxml", *[f"__q_{f}" for f in fields])
+    steps.append({out: F.when(qb.isNotNull() | (_pr("behavior_type") == BEHAVIOR["Query"]), st)})
+    return steps, ["__qb", "__qpairs", "__qjson", "__qxml", *[f"__q_{f}" for f in fields]]
 
 
-def with_book_request(df: DataFrame, rules: list, content_type: str = "content_type",
-                      body: str = "request_body", referer_travel_id: Column = None,
-                      out: str = "book") -> DataFrame:
-    """C21-C24 + C33: the book struct; contact phone and id numbers hashed (NULL stays
-    NULL, fix 2.J-17); NULL unless a book rule matched."""
+def with_query_request(df: DataFrame, rules: list, request: str = "request",
+                       content_type: str = "content_type", body: str = "request_body",
+                       flight_id: Column = None, referer_travel_id: Column = None,
+                       out: str = "query") -> DataFrame:
+    """C13 + C16/C17/C19/C20 over records joined to their rule (``attach_rule``):
+    the query struct; NULL unless a query rule matched (fix 2.J-13)."""
+    return apply_steps(df, query_steps(rules, request, content_type, body, flight_id,
+                                       referer_travel_id, out))
+
+
+def book_steps(rules: list, content_type: str = "content_type", body: str = "request_body",
+               referer_travel_id: Column = None, out: str = "book"):
+    """The projections of ``with_book_request`` (built once per rule version)."""
     ct, b = F.col(content_type), F.col(body)
-    d = df.withColumn("__bb", F.when(_pr("behavior_type") == BEHAVIOR["Book"], book_branch(ct, b)))
-    d = d.withColumn("__bdoc", F.when(F.col("__bb") == "json_body", P.strip_escaped_quotes(b))
-                     .when(F.col("__bb") == "json_form", P.strip_escaped_quotes(
-                         P.strip_brackets(P.json_in_form(b, _pr("form_data_field")))))
-                     .when(F.col("__bb") == "xml", b))
+    bb = F.col("__bb")
+    steps = [{"__bb": F.when(_pr("behavior_type") == BEHAVIOR["Book"], book_branch(ct, b))}]
+    steps.append({"__bdoc": F.when(bb == "json_body", P.strip_escaped_quotes(b))
+                  .when(bb == "json_form", P.strip_escaped_quotes(
+                      P.strip_brackets(P.json_in_form(b, _pr("form_data_field")))))
+                  .when(bb == "xml", b)})
     doc = F.col("__bdoc")
 
     def read_list(f):
-        return (F.when(F.col("__bb") == "xml", _xml_case(rules, BEHAVIOR["Book"], f"book_{f}", doc, X.xml_nodes))
+        return (F.when(bb == "xml", _xml_case(rules, BEHAVIOR["Book"], f"book_{f}", doc, X.xml_nodes))
                 .otherwise(P.json_list(doc, _pr(f"book_{f}"))).cast("array<string>"))
 
     def read_one(f, post=None):
         x = _xml_case(rules, BEHAVIOR["Book"], f"book_{f}", doc, X.xml_text)
         if post is not None:
             x = post(x)
-        return F.when(F.col("__bb") == "xml", x).otherwise(P.json_field(doc, _pr(f"book_{f}"))).cast("string")
+        return F.when(bb == "xml", x).otherwise(P.json_field(doc, _pr(f"book_{f}"))).cast("string")
 
     lists = ("flightno", "depcity", "arrcity", "flightdate", "cabin", "psgname", "psgfirname",
              "psgtype", "idtype", "idcard")
-    d = d.withColumns({f"__b_{f}": read_list(f) for f in lists})
+    steps.append({f"__b_{f}": read_list(f) for f in lists})
     last, first = F.col("__b_psgname"), F.col("__b_psgfirname")
     psgname = F.when(first.isNull(), last).otherwise(
         F.zip_with(first, last, lambda a, c: F.concat(F.coalesce(a, F.lit("")), F.coalesce(c, F.lit("")))))
@@ -167,8 +189,16 @@ def with_book_request(df: DataFrame, rules: list, content_type: str = "content_t
         read_one("contractname", X.contact_name).alias("contractname"),
         md5_upper(read_one("contractphone", X.contact_phone)).alias("contractphone"),
         read_one("bookagent").alias("bookagent"))
-    d = d.withColumn(out, F.when(_pr("behavior_type") == BEHAVIOR["Book"], st))
-    return d.drop("__bb", "__bdoc", *[f"__b_{f}" for f in lists])
+    steps.append({out: F.when(_pr("behavior_type") == BEHAVIOR["Book"], st)})
+    return steps, ["__bb", "__bdoc", *[f"__b_{f}" for f in lists]]
+
+
+def with_book_request(df: DataFrame, rules: list, content_type: str = "content_type",
+                      body: str = "request_body", referer_travel_id: Column = None,
+                      out: str = "book") -> DataFrame:
+    """C21-C24 + C33: the book struct; contact phone and id numbers hashed (NULL stays
+    NULL, fix 2.J-17); NULL unless a book rule matched."""
+    return apply_steps(df, book_steps(rules, content_type, body, referer_travel_id, out))
 
 
 def core_field(query: Column, book: Column, f: str) -> Column:

@@ -22,10 +22,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
 
 def flag_listed_ip(df: DataFrame, listed: DataFrame, ip_col: str = "remote_addr",
-                   out: str = "high_freq") -> DataFrame:
-    """Flag rows whose address is listed (value equality, fix 2.J-10)."""
-    keys = checked_broadcast(listed.select(F.col("ip_name").alias("__ip")).distinct()
-                             .withColumn("__hit", F.lit(True)))
+                   out: str = "high_freq", keys: DataFrame | None = None) -> DataFrame:
+    """Flag rows whose address is listed (value equality, fix 2.J-10).
+    ``keys`` may carry an already size-checked side (ip_name as ``__ip``, ``__hit``)."""
+    if keys is None:
+        keys = checked_broadcast(listed.select(F.col("ip_name").alias("__ip")).distinct()
+                                 .withColumn("__hit", F.lit(True)))
     return (df.join(keys, df[ip_col] == keys["__ip"], "left")
             .withColumn(out, F.coalesce(F.col("__hit"), F.lit(False)))
             .drop("__ip", "__hit"))

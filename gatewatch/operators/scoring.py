@@ -117,11 +117,11 @@ def flow_score_expr(rules: list) -> Column:
                     F.array_compact(F.array(*hits)).alias("hit_rules"))
 
 
-def flow_scores(features: DataFrame, flow_config: DataFrame) -> DataFrame:
+def flow_scores(features: DataFrame, flow_config: DataFrame, rows: list | None = None) -> DataFrame:
     """One row per (input row, flow). The rule rows (configuration, size
     checked) are compiled into column expressions, so scoring is one narrow,
     codegen'd projection over the features: no join, no shuffle."""
-    rows = _collect_flow_rules(flow_config)
+    rows = rows if rows is not None else _collect_flow_rules(flow_config)
     by_flow: dict = {}
     for r in rows:
         by_flow.setdefault(r["flow_id"], []).append(r)

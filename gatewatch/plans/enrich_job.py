@@ -36,17 +36,38 @@ def class_patterns(classify_rule: DataFrame) -> dict:
     return {k: sorted(v) for k, v in out.items()}
 
 
+def compiled(tables: Tables) -> dict:
+    """Rule artifacts derived from one version of the rule tables, built once and kept
+    on the Tables object: folded patterns, ordered parse rules and the size-checked
+    broadcast sides. A micro-batch job reuses them until the rule version changes."""
+    c = tables.extra.get("compiled")
+    if c is None:
+        from gatewatch.operators.lookup import checked_broadcast
+        c = {
+            "classes": class_patterns(tables.classify_rule),
+            "prules": X.collect_parse_rules(tables.parse_rule),
+            "url_patterns": collect_patterns(R.url_filter_rules(tables.filter_rule)),
+            "critical_patterns": collect_patterns(tables.critical_page),
+            "parse_rule_side": X.rule_side(tables.parse_rule),
+            "listed_side": checked_broadcast(R.high_frequency_ips(tables.ip_blacklist)
+                                             .select(F.col("ip_name").alias("__ip")).distinct()
+                                             .withColumn("__hit", F.lit(True))),
+        }
+        tables.extra["compiled"] = c
+    return c
+
+
 def url_filter(df: DataFrame, tables: Tables, col: str = "request") -> DataFrame:
     """Drop rows whose request matches any type-0 filter rule (whole string)."""
-    pats = collect_patterns(R.url_filter_rules(tables.filter_rule))
+    pats = compiled(tables)["url_patterns"]
     return df.filter(~F.coalesce(matches_any(F.col(col), pats), F.lit(False)))
 
 
 def enrich(access: DataFrame, tables: Tables, id_pattern: str = ID_PATTERN,
            phone_pattern: str = PHONE_PATTERN) -> DataFrame:
     """Parsed access-log rows (``operators.ingest.parse_access_log``) -> processed records."""
-    classes = class_patterns(tables.classify_rule)
-    prules = X.collect_parse_rules(tables.parse_rule)
+    comp = compiled(tables)
+    classes, prules = comp["classes"], comp["prules"]
     a = url_filter(access, tables)
     cls = C.classify_request(F.col("request"), classes)
     a = a.withColumns({
@@ -60,11 +81,15 @@ def enrich(access: DataFrame, tables: Tables, id_pattern: str = ID_PATTERN,
     travel_id = C.label_to_id(F.col("travel_type"), C.TRAVEL)
     a = a.withColumn("matched_rule", X.matched_rule(prules, F.col("request_method"), behavior_id,
                                                    F.col("request")))
-    a = X.attach_rule(a, tables.parse_rule)
-    a = X.with_query_request(a, prules, flight_id=flight_id, referer_travel_id=travel_id)
-    a = X.with_book_request(a, prules, referer_travel_id=travel_id)
+    a = X.attach_rule(a, tables.parse_rule, side=comp["parse_rule_side"])
+    if "steps" not in comp:
+        comp["steps"] = (X.query_steps(prules, flight_id=flight_id, referer_travel_id=travel_id),
+                         X.book_steps(prules, referer_travel_id=travel_id))
+    a = X.apply_steps(a, comp["steps"][0])
+    a = X.apply_steps(a, comp["steps"][1])
     a = X.drop_rule(a)
-    a = flag_listed_ip(a, R.high_frequency_ips(tables.ip_blacklist), "remote_addr", "high_freq")
+    a = flag_listed_ip(a, R.high_frequency_ips(tables.ip_blacklist), "remote_addr", "high_freq",
+                       keys=comp["listed_side"])
     passthrough = [c for c in ("event_id",) if c in access.columns]
     return a.select(
         # the reference leaves the source field empty: the raw line itself holds the

@@ -15,7 +15,8 @@ from gatewatch.sources import rules as R
 def indicator_records(processed: DataFrame, tables: Tables) -> DataFrame:
     """The columns the indicators read, with the critical-page flag (E13) computed
     once as a column from the folded page regexes (refreshable, fix 2.J-29)."""
-    pats = collect_patterns(tables.critical_page)
+    from gatewatch.plans.enrich_job import compiled
+    pats = compiled(tables)["critical_patterns"]
     return processed.select(
         "ip", "request", "user_agent", F.col("session_hash").alias("session_id"),
         "dep_city", "arr_city", "ts",

@@ -33,9 +33,8 @@ from gatewatch.operators import blacklist as B
 from gatewatch.operators import features as fe
 from gatewatch.operators import scoring as S
 from gatewatch.operators.ingest import parse_access_log, reject_rows
-from gatewatch.operators.monitor import link_active_latest, link_counts
 from gatewatch.plans import enrich_job, score_job
-from gatewatch.session import checkpoint_dir, prepare
+from gatewatch.session import checkpoint_dir, prepare, spread
 from gatewatch.sources import rules as R
 
 DEFAULT_TRIGGER = "3 seconds"  # H1: the reference's micro-batch interval
@@ -75,9 +74,14 @@ class StaticRules:
         return self.tables
 
 
-def _overwrite_partitions(df: DataFrame, path: str, *parts: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*parts).parquet(path))
+def _write_batch(df: DataFrame, root: str, batch_id: int, *parts: str) -> None:
+    """Write one micro-batch to ``root/batch_id=<id>/`` (overwriting that folder only),
+    so a retried batch replaces its own files and readers of ``root`` see
+    ``batch_id`` as a partition column."""
+    w = df.write.mode("overwrite")
+    if parts:
+        w = w.partitionBy(*parts)
+    w.parquet(f"{root.rstrip('/')}/batch_id={int(batch_id)}")
 
 
 # ------------------------------------------------------------------ data job (H6)
@@ -93,23 +97,23 @@ class EnrichSink:
         spark = batch.sparkSession
         prepare(spark)
         tables = self.rules.get()
-        batch = batch.select("value").persist()
+        batch = spread(batch.select("value")).persist()
         try:
             if self.rejects:
-                _overwrite_partitions(reject_rows(batch).withColumn("batch_id", F.lit(batch_id)),
-                                      self.rejects, "batch_id")
+                _write_batch(reject_rows(batch), self.rejects, batch_id)
             parsed = parse_access_log(batch)
             if self.monitor:
-                counts = link_counts(parsed).join(link_active_latest(parsed, ("ts",)), "server_addr", "full")
-                _overwrite_partitions(counts.withColumn("batch_id", F.lit(batch_id))
-                                      .withColumn("snapshot_at", F.current_timestamp())
-                                      .withColumn("expire_at", F.current_timestamp() + F.expr("INTERVAL 86400 SECONDS")),
-                                      self.monitor, "batch_id")
+                counts = parsed.groupBy("server_addr").agg(
+                    F.count(F.lit(1)).alias("n_requests"),
+                    F.max_by("connection_active", "ts").alias("connection_active"))
+                _write_batch(counts.withColumn("snapshot_at", F.current_timestamp())
+                             .withColumn("expire_at", F.current_timestamp() + F.expr("INTERVAL 86400 SECONDS")),
+                             self.monitor, batch_id)
             processed = enrich_job.enrich(parsed, tables)
             topic = (F.when(F.col("behavior_type") == "Query", "query")
                      .when(F.col("behavior_type") == "Book", "book"))
             routed = processed.withColumn("topic", topic).filter(F.col("topic").isNotNull())
-            _overwrite_partitions(routed.withColumn("batch_id", F.lit(batch_id)), self.out, "topic", "batch_id")
+            _write_batch(routed, self.out, batch_id, "topic")
         finally:
             batch.unpersist()
 
@@ -162,16 +166,14 @@ class ScoreSink:
                              .alias("late")).first()
             self.late_rows.append((batch_id, stats["late"]))
             on_time = recs if prev_wm is None else recs.filter(F.unix_micros("ts") >= F.lit(prev_wm))
-            _overwrite_partitions(on_time.withColumn("batch_id", F.lit(batch_id)), self.records_path,
-                                  "pane", "batch_id")
+            _write_batch(on_time, self.records_path, batch_id, "pane")
             lateness_us = fe.duration_us_of(self.lateness)
             max_seen = stats["max_us"]
             if prev_wm is not None and max_seen is not None:
                 max_seen = max(max_seen, prev_wm + lateness_us)
             wm = (max_seen - lateness_us) if max_seen is not None else prev_wm
-            spark.createDataFrame([(batch_id, wm)], "batch_id long, watermark_us long").write.mode(
-                "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
-                self.progress_path)
+            spark.sql(f"SELECT CAST({'NULL' if wm is None else int(wm)} AS BIGINT) AS watermark_us") \
+                .write.mode("overwrite").parquet(f"{self.progress_path}/batch_id={int(batch_id)}")
             if wm is None:
                 return
             self.score_closed(spark, tables, prev_wm, wm, batch_id)
@@ -198,9 +200,8 @@ class ScoreSink:
             (F.unix_micros("window_end") > lo) & (F.unix_micros("window_end") <= hi))
         feats = S.attach_features(keys, recs, w)
         scored = S.flow_scores(feats, R.flow_config(tables))
-        entries = S.blacklist_entries(scored).withColumn("batch_id", F.lit(batch_id))
-        _overwrite_partitions(B.history_rows(entries).withColumn("batch_id", F.lit(batch_id)),
-                              self.history, "hour", "batch_id")
+        entries = S.blacklist_entries(scored)
+        _write_batch(B.history_rows(entries), self.history, batch_id, "hour")
 
 
 def flush(sink: "ScoreSink", spark: SparkSession) -> None:
