@@ -235,68 +235,25 @@ def fast_repeats(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataF
                     F.col("fast_count").cast("long").alias("fast_repeats"))
 
 
-def request_gaps(records: DataFrame, keys=("ip",)) -> DataFrame:
-    """Gap in ms to the previous access of the same key (whole seconds, E9).
-
-    Row grain over the whole history: rows are ordered inside (key, day) partitions,
-    and the first row of each day takes its gap from the previous non-empty day's
-    last access, found at day grain, so no single key's history sorts in one task."""
-    day = 86_400
-    b = records.select(*keys, "ts").filter(F.col("ts").isNotNull()).withColumn(
-        "t_s", _floor_div(F.unix_micros("ts"), US_PER_S)).withColumn("d", _floor_div(F.col("t_s"), day))
-    w_in = Window.partitionBy(*keys, "d").orderBy("t_s")
+def request_gaps(records: DataFrame, keys=("ip",), bucket: str = "1 minute") -> DataFrame:
+    """Gap in ms to the previous access of the same key (whole seconds, E9),
+    over the whole history.
+
+    Skew-safe: rows are ordered only inside (key, time bucket); the first row of a
+    bucket takes its gap from the previous non-empty bucket's last access, found with
+    a ``lag`` at bucket grain (rows per key bounded by time span / bucket, not by
+    traffic), joined back on (key, bucket)."""
+    from gatewatch.config import duration_us
+    bu_s = max(1, duration_us(bucket) // US_PER_S)
+    keys = list(keys)
+    b = (records.select(*keys, "ts").filter(F.col("ts").isNotNull())
+         .withColumn("t_s", _floor_div(F.unix_micros("ts"), US_PER_S))
+         .withColumn("bk", _floor_div(F.col("t_s"), bu_s)))
+    w_in = Window.partitionBy(*keys, "bk").orderBy("t_s")
     b = b.withColumn("prev", F.lag("t_s").over(w_in))
-    days = b.groupBy(*keys, "d").agg(F.max("t_s").alias("dl"))
-    days = days.withColumn("prev_day_last", F.lag("dl").over(Window.partitionBy(*keys).orderBy("d")))
-    b = b.join(days.select(*keys, "d", "prev_day_last"), [*keys, "d"], "left")
-    prev = F.coalesce(F.col("prev"), F.col("prev_day_last"))
+    per_bucket = b.groupBy(*keys, "bk").agg(F.max("t_s").alias("bl"))
+    per_bucket = per_bucket.withColumn(
+        "prev_bucket_last", F.lag("bl").over(Window.partitionBy(*keys).orderBy("bk")))
+    b = b.join(per_bucket.select(*keys, "bk", "prev_bucket_last"), [*keys, "bk"], "left")
+    prev = F.coalesce(F.col("prev"), F.col("prev_bucket_last"))
     return b.select(*keys, "ts", ((F.col("t_s") - prev) * 1000).alias("gap_ms"))
-
-
-def window_features(records: DataFrame, w: WindowSpec) -> DataFrame:
-    """All eight indicators for every (window_end, ip, request) a record is scored on,
-    in pane form, sharing work between indicators:
-
-    * one ``(pane, ip, request)`` aggregate gives the score keys (each record's own
-      pane end), E2 and E3 (summed over requests) and E1 (summed over a block);
-    * one ``(pane, ip, kind, value)`` de-duplication gives E4, E7, E8;
-    * critical rows are hash-partitioned once on ``(ip, time bucket)``; that
-      partitioning serves both gap sorts, E5 per ip and E6 per (ip, request), and
-      the identical exchange is reused by both branches.
-
-    Three scans of the records instead of one per indicator."""
-    b = _prepared(records, w)
-    s = w.slide_us
-    p = b.groupBy("pane", "ip", "request").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("critical").cast("long")).alias("c"))
-    keys = p.select(((F.col("pane") + 1) * F.lit(s)).alias("we_us"), "ip", "request")
-    per_ip = expand_panes(p, w).groupBy("we_us", "ip").agg(
-        F.sum("n").alias("ip_count"), F.sum("c").alias("critical_count"))
-    per_block = expand_panes(p.withColumn("ip_block", ip_block(F.col("ip"))), w).groupBy(
-        "we_us", "ip_block").agg(F.sum("n").alias("block_count"))
-    vals = b.select("pane", "ip", F.expr(_KINDS)).filter(F.col("v").isNotNull()).distinct()
-    distinct = expand_panes(vals, w).select("we_us", "ip", "kind", "v").distinct().groupBy(
-        "we_us", "ip").agg(
-        F.count_if(F.col("kind") == "u").alias("ua_distinct"),
-        F.count_if(F.col("kind") == "t").alias("trip_distinct"),
-        F.count_if(F.col("kind") == "s").alias("session_distinct"))
-    gap_ip, gap_req = gap_summaries_ip_and_request(b.filter("critical"), w, w.fast_repeat_ms)
-    gap_ip = gap_ip.select("we_us", "ip", "min_gap_ms")
-    gap_req = gap_req.select("we_us", "ip", "request", F.col("fast_count").alias("fast_repeats"))
-    out = (keys.withColumn("ip_block", ip_block(F.col("ip")))
-           .join(per_ip, ["we_us", "ip"], "left")
-           .join(distinct, ["we_us", "ip"], "left")
-           .join(gap_ip, ["we_us", "ip"], "left")
-           .join(per_block, ["we_us", "ip_block"], "left")
-           .join(gap_req, ["we_us", "ip", "request"], "left"))
-    zero = F.lit(0)
-    return out.select(
-        F.timestamp_micros("we_us").alias("window_end"), "ip", "request",
-        F.coalesce("block_count", zero).cast("long").alias("block_count"),
-        F.coalesce("ip_count", zero).cast("long").alias("ip_count"),
-        F.coalesce("critical_count", zero).cast("long").alias("critical_count"),
-        F.coalesce("ua_distinct", zero).cast("long").alias("ua_distinct"),
-        F.coalesce("min_gap_ms", zero).cast("long").alias("min_interval_ms"),
-        F.coalesce("trip_distinct", zero).cast("long").alias("trip_distinct"),
-        F.coalesce("session_distinct", zero).cast("long").alias("session_distinct"),
-        F.coalesce("fast_repeats", zero).cast("long").alias("fast_repeats"))
