@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gatewatch.config import FIXTURE_WINDOW
-from gatewatch.session import materialize, prepare
+from gatewatch.session import materialize, prepare, spread
 from gatewatch.sources.adapters import access_log, raw_lines
 from gatewatch.sources.rules import fixture_rules
 from gatewatch.sources.tables import read_table
@@ -30,7 +30,9 @@ class Ctx:
         return self.table("events")
 
     def raw_lines(self) -> DataFrame:
-        return raw_lines(self.events)
+        """Wire lines of the adapter, spread over the cores when the source is a
+        single split (a no-op for inputs that already have enough partitions)."""
+        return spread(raw_lines(self.events))
 
     def access(self) -> DataFrame:
         """Parsed access log (C1) over the wire lines of the adapter."""
