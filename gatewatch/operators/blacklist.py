@@ -12,6 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOUR_FORMAT = "yyyyMMddHH"
+# Schema of the history table; reading with it keeps ``hour`` a string partition
+# column (inference would turn yyyyMMddHH into an int).
+HISTORY_SCHEMA = "expire_at timestamp, key string, value string, hour string"
+
+
+def read_history(spark, path: str):
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
 
 
 def hour_of(ts: Column) -> Column:

@@ -417,19 +417,20 @@ def blacklist_latest(spark, sf_dir):
 
 
 def _now(h: DataFrame):
-    """Reference clock of the fixture, taken from the data: the latest expiry minus
-    90 minutes. One scalar comes back to the driver and becomes a literal, so the
-    partition filter below is static and prunes folders at planning time."""
-    return F.lit(h.agg((F.max("expire_at") - F.expr("INTERVAL 90 MINUTES")).alias("now")).first()["now"])
+    """Reference clock of the fixture, taken from the data: 30 minutes after the last
+    hit (the latest expiry minus 30 minutes). One scalar comes back to the driver and
+    becomes a literal, so the partition filter below is static and prunes folders at
+    planning time."""
+    return F.lit(h.agg((F.max("expire_at") - F.expr("INTERVAL 30 MINUTES")).alias("now")).first()["now"])
 
 
 @query("blacklist_restore")
 def blacklist_restore(spark, sf_dir):
-    """Latest live entries (at ``now``) whose key the store lacks; the store
-    holds the entries written in the hour of ``now``."""
+    """Latest live entries (at ``now``) whose key the store lacks; here the
+    store has lost the entries of flow P2 and kept those of flow P1."""
     h = _history(Ctx(spark, sf_dir))
     now = _now(h)
-    store = h.filter(F.col("hour") == B.hour_of(now)).select("key")
+    store = B.live(h, now).filter(F.col("key").endswith(":P1")).select("key")
     return B.restore(h, store, now).select("key", _us("expire_at"), "value")
 
 
@@ -443,7 +444,7 @@ def blacklist_recent_partitions(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/bl_history-{uuid.uuid4().hex}"
     B.append_history(score_job.blacklist(c.processed(), c.tables, c.window), path)
-    h = spark.read.parquet(path)
+    h = B.read_history(spark, path)
     return B.recent_partitions(h, _now(h)).select("key", "value", _us("expire_at"), "hour")
 
 

@@ -235,10 +235,10 @@ raw AS (
 """
 
 ORACLES["src_raw_log"] = _with(RAW, "SELECT event_id, line AS value FROM raw")
-ORACLES["reject_rows"] = _with(RAW, """SELECT event_id, len(string_split(line, '#CS#')) AS n_fields
+ORACLES["reject_rows"] = _with(RAW, """SELECT event_id, CAST(len(string_split(line, '#CS#')) AS INTEGER) AS n_fields
   FROM raw WHERE len(string_split(line, '#CS#')) <> 12""")
 ORACLES["archive_union"] = _with(RAW, """SELECT event_id,
-  CASE WHEN len(string_split(line, '#CS#')) <> 12 THEN 2 ELSE 1 END AS copies FROM raw""")
+  CAST(CASE WHEN len(string_split(line, '#CS#')) <> 12 THEN 2 ELSE 1 END AS BIGINT) AS copies FROM raw""")
 ORACLES["parse_access_log"] = _with(ACCESS, """SELECT event_id, request, request_method, content_type,
   ip AS remote_addr, user_agent AS http_user_agent, server_addr, connection_active, epoch_us(ts) AS ts_us FROM access""")
 ORACLES["cookie_fields"] = _with(ACCESS, "SELECT event_id, jsession_id, cookie_user_id FROM access")
@@ -352,7 +352,7 @@ hist AS (SELECT make_timestamp(we + CAST({TTL} AS BIGINT) * 1000000) AS expire_a
                   || strftime(make_timestamp(we), '%Y-%m-%d %H:%M:%S') AS value,
                 strftime(make_timestamp(we), '%Y%m%d%H') AS hour
          FROM dedup),
-hn AS (SELECT *, (SELECT max(expire_at) - INTERVAL 90 MINUTES FROM hist) AS now FROM hist),
+hn AS (SELECT *, (SELECT max(expire_at) - INTERVAL 30 MINUTES FROM hist) AS now FROM hist),
 latest AS (SELECT key, expire_at, value FROM (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY expire_at DESC, value DESC) rn FROM hist) WHERE rn = 1)
 """
@@ -360,8 +360,7 @@ ORACLES["latest_expiry"] = _with(HIST, "SELECT key, epoch_us(max(expire_at)) AS
 ORACLES["blacklist_latest"] = _with(HIST, "SELECT key, epoch_us(expire_at) AS expire_at_us, value FROM latest")
 ORACLES["blacklist_restore"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at) AS expire_at_us, l.value
   FROM latest l, (SELECT DISTINCT now FROM hn) n
-  WHERE l.expire_at > n.now
-    AND l.key NOT IN (SELECT key FROM hn WHERE hour = strftime(now, '%Y%m%d%H'))""")
+  WHERE l.expire_at > n.now AND NOT l.key LIKE '%:P1'""")
 ORACLES["blacklist_recent_partitions"] = _with(HIST, """SELECT key, value, epoch_us(expire_at) AS expire_at_us, hour
   FROM hn WHERE hour IN (strftime(now, '%Y%m%d%H'), strftime(now - INTERVAL 1 HOUR, '%Y%m%d%H'))""")
 ORACLES["hourly_partition_counts"] = _with(HIST, "SELECT hour, count(*) AS n_entries FROM hist GROUP BY hour")
@@ -390,6 +389,6 @@ per AS (
   SELECT server_addr, count(*) AS n,
          arg_max(connection_active, (ts, event_id)) AS active
   FROM access GROUP BY server_addr)
-""", """SELECT to_json(map_from_entries(list_sort(list((server_addr, n))))) AS link_counts,
-       to_json(map_from_entries(list_sort(list((server_addr, active))))) AS active_connections
+""", """SELECT CAST(to_json(map_from_entries(list_sort(list((server_addr, n))))) AS VARCHAR) AS link_counts,
+       CAST(to_json(map_from_entries(list_sort(list((server_addr, active))))) AS VARCHAR) AS active_connections
 FROM per""")
