@@ -28,3 +28,10 @@ def line_stream(spark: SparkSession, path: str, fmt: str = "text", schema: str |
     if schema is None:
         schema = spark.read.parquet(path).schema
     return r.schema(schema).parquet(path)
+
+
+def records_from_wire(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """A2 + C36: a stream (or table) of processed-record wire lines -> typed records,
+    ready for the score job (``streaming.jobs.ScoreSink``)."""
+    from gatewatch.functions.wire import parse
+    return parse(lines, value_col)

@@ -92,6 +92,8 @@ class EnrichSink:
     rejects: str | None = None    # C1 reject table
     monitor: str | None = None    # D1-D3 link counts per batch (B6)
     rules: object = None
+    kafka: dict | None = None     # B1/B2 over Kafka: producer options (bootstrap servers ...)
+    topics: dict = field(default_factory=lambda: {"query": "query", "book": "book"})
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -113,7 +115,17 @@ class EnrichSink:
             topic = (F.when(F.col("behavior_type") == "Query", "query")
                      .when(F.col("behavior_type") == "Book", "book"))
             routed = processed.withColumn("topic", topic).filter(F.col("topic").isNotNull())
+            if self.kafka:
+                routed = routed.persist()  # written twice: files and Kafka
             _write_batch(routed, self.out, batch_id, "topic")
+            if self.kafka:
+                # B1/B2: one write for both record kinds; the Kafka topic is a column
+                from gatewatch.functions.wire import serialize
+                topic = (F.when(F.col("behavior_type") == "Query", F.lit(self.topics["query"]))
+                         .otherwise(F.lit(self.topics["book"])))
+                (serialize(routed).withColumn("topic", topic).select("topic", "value")
+                 .write.format("kafka").options(**self.kafka).save())
+                routed.unpersist()
         finally:
             batch.unpersist()
 
