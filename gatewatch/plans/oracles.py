@@ -392,3 +392,35 @@ per AS (
 """, """SELECT CAST(to_json(map_from_entries(list_sort(list((server_addr, n))))) AS VARCHAR) AS link_counts,
        CAST(to_json(map_from_entries(list_sort(list((server_addr, active))))) AS VARCHAR) AS active_connections
 FROM per""")
+
+NAV = "regexp_extract(html, '<nav>.*?</nav>', 0)"
+ORACLES["book_xml"] = f"""SELECT page_id,
+  array_to_string(regexp_extract_all({NAV}, '<a href="([^"]*)"', 1), ',') AS hrefs,
+  split_part(regexp_extract({NAV}, '<li><a href="[^"]*">([^<]*)</a>', 1), '|', 1) AS contractname,
+  split_part(regexp_extract({NAV}, '<a href="([^"]*)"', 1), '/', 1) AS contractphone,
+  'Unknown' AS travel_type
+  FROM pages"""
+
+# C35 wire line of the processed records; the query / book structs as Spark's to_json
+# writes them (compact, null fields left out).
+ORACLES["serialize_record"] = _with(PROC2, """SELECT concat_ws('#CS#',
+    'NULL', request_method, request, ip, user_agent,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00'), server_addr,
+    CASE WHEN high_freq THEN 'true' ELSE 'false' END,
+    flight_type, behavior_type, travel_type,
+    'NULL', coalesce(dep_city, 'NULL'), coalesce(arr_city, 'NULL'), session_hash, user_hash,
+    CASE WHEN behavior_type = 'Query' THEN
+      '{"is_empty":false,"flight_type":' || CASE flight_type WHEN 'National' THEN '0' ELSE '1' END
+      || ',"depcity":"' || CASE WHEN request_method = 'GET' THEN dep_city ELSE '' END
+      || '","arrcity":"' || CASE WHEN request_method = 'GET' THEN arr_city ELSE '' END
+      || '","flightdate":"","adultnum":"'
+      || CASE WHEN request_method = 'POST' THEN json_extract(props, '$.k')::VARCHAR ELSE '' END
+      || '","childnum":"","infantnum":"","country":"","travel_type":'
+      || CASE travel_type WHEN 'OneWay' THEN '0' WHEN 'RoundTrip' THEN '1' ELSE '-1' END || '}'
+    ELSE 'NULL' END,
+    CASE WHEN matched_rule = 'b-post' THEN
+      '{"flight_type":0,"travel_type":' || CASE travel_type WHEN 'OneWay' THEN '0' WHEN 'RoundTrip' THEN '1' ELSE '-1' END
+      || ',"flightno":["' || json_extract(props, '$.k')::VARCHAR || '"]}'
+    ELSE 'NULL' END,
+    referer) AS value
+  FROM proc2 WHERE behavior_type IN ('Query', 'Book', 'Other')""")
