@@ -154,3 +154,30 @@ def test_records_from_wire(spark):
     back = records_from_wire(serialize(p).select("value"))
     cols = ["ip", "request", "user_agent", "session_hash", "dep_city", "arr_city", "ts"]
     assert sorted(map(tuple, back.select(*cols).collect())) == sorted(map(tuple, p.select(*cols).collect()))
+
+
+def test_raw_archive_monitor_and_graceful_stop(spark):
+    c = Ctx(spark, SF_SMALL)
+    tmp = tempfile.mkdtemp(prefix="gw-arch-")
+    src = os.path.join(tmp, "src")
+    lines = c.raw_lines()
+    _write_text(lines, os.path.join(src, "p0"))
+    # Hourly text archive, append only
+    q = J.start_raw_archive(line_stream(spark, os.path.join(src, "*"), "text"), os.path.join(tmp, "arch"),
+                            os.path.join(tmp, "ck-arch"), available_now=True)
+    q.awaitTermination(120)
+    arch = spark.read.text(os.path.join(tmp, "arch"))
+    assert arch.count() == lines.count()
+    assert "hour" in arch.columns
+    # B6 + H5: monitor snapshots per batch; stop after the running trigger finishes
+    sink = J.EnrichSink(out=os.path.join(tmp, "out"), monitor=os.path.join(tmp, "mon"),
+                        rules=J.StaticRules(c.tables))
+    q = J.start_enrich_stream(line_stream(spark, os.path.join(src, "*"), "text"), sink,
+                              os.path.join(tmp, "ck"), trigger="1 second")
+    q.processAllAvailable()
+    J.stop_gracefully(q)
+    assert not q.isActive
+    mon = spark.read.parquet(os.path.join(tmp, "mon"))
+    accepted = lines.count() - 20  # the adapter drops a field on every 50th line
+    assert mon.agg(F.sum("n_requests")).first()[0] == accepted
+    assert set(mon.columns) >= {"server_addr", "n_requests", "connection_active", "expire_at", "batch_id"}
