@@ -45,7 +45,7 @@ def serialize(df: DataFrame) -> DataFrame:
 
 def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Wire lines -> typed records; ``NULL`` -> SQL NULL; JSON -> structs.
-    Lines without exactly 19 fields are dropped (see ``parse_with_rejects``)."""
+    Lines without exactly 19 fields are left out here; ``wire_rejects`` lists them."""
     parts = F.split(F.col(value_col), FIELD_SEP, -1)
     ok = lines.withColumn("__p", parts).filter(F.size("__p") == len(WIRE_FIELDS))
     def field(i):
@@ -64,3 +64,9 @@ def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
             f = "book"
         out.append(v.alias(f))
     return ok.select(*out).withColumn("ts", F.try_to_timestamp(F.col("time_iso8601")))
+
+
+def wire_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """C36 reject path: wire lines without exactly 19 fields, with their field count."""
+    n = F.size(F.split(F.col(value_col), FIELD_SEP, -1))
+    return lines.filter(n != len(WIRE_FIELDS)).withColumn("n_fields", n)
