@@ -10,8 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gatewatch.functions import classify as C
+from gatewatch.functions import masking as M
+from gatewatch.functions import params as P
+from gatewatch.functions import text as T
+from gatewatch.functions import xml as X
+from gatewatch.operators import blacklist as B
 from gatewatch.operators import features as fe
+from gatewatch.operators import ingest as I
+from gatewatch.operators import lookup as L
+from gatewatch.operators import monitor as MO
 from gatewatch.operators import scoring as S
+from gatewatch.plans import enrich_job as EJ
 from gatewatch.plans import score_job
 from gatewatch.plans.context import Ctx
 from gatewatch.sources import rules as R
@@ -166,15 +176,6 @@ def score_job_q(spark, sf_dir):
 
 # ------------------------------------------------------------------ A / C: ingest, clean, label, extract
 
-from gatewatch.functions import classify as C  # noqa: E402
-from gatewatch.functions import masking as M  # noqa: E402
-from gatewatch.functions import params as P  # noqa: E402
-from gatewatch.functions import text as T  # noqa: E402
-from gatewatch.operators import blacklist as B  # noqa: E402
-from gatewatch.operators import ingest as I  # noqa: E402
-from gatewatch.operators import lookup as L  # noqa: E402
-from gatewatch.operators import monitor as MO  # noqa: E402
-from gatewatch.plans import enrich_job as EJ  # noqa: E402
 
 # Pattern parameters for the documents table (FIXTURES.md section 2: its phones are
 # ``+1 (743) 555-3824`` style and its long numbers have 16 digits).
@@ -466,8 +467,6 @@ def archive_union(spark, sf_dir):
 
 # ------------------------------------------------------------------ XML (C20, C22, C26-C28), C3, C16, C19, C23, C33
 
-from gatewatch.functions import xml as X  # noqa: E402
-
 
 def _nav(pages: DataFrame) -> DataFrame:
     """The XML-safe slice of a page: its ``<nav>`` element (the rest of the HTML is not
