@@ -172,6 +172,11 @@ class ScoreSink:
         return f"{self.state.rstrip('/')}/progress"
 
     def _watermark_before(self, spark: SparkSession, batch_id: int):
+        # the previous batch's watermark, from memory when this sink wrote it, else
+        # from the durable progress table (restart, or a retried batch)
+        last = getattr(self, "_last", None)
+        if last is not None and last[0] == batch_id - 1:
+            return last[1]
         try:
             p = spark.read.parquet(self.progress_path).filter(F.col("batch_id") < batch_id)
             return p.agg(F.max("watermark_us")).first()[0]
@@ -200,6 +205,7 @@ class ScoreSink:
             wm = (max_seen - lateness_us) if max_seen is not None else prev_wm
             spark.sql(f"SELECT CAST({'NULL' if wm is None else int(wm)} AS BIGINT) AS watermark_us") \
                 .write.mode("overwrite").parquet(f"{self.progress_path}/batch_id={int(batch_id)}")
+            self._last = (batch_id, wm)
             if wm is None:
                 return
             self.score_closed(spark, tables, prev_wm, wm, batch_id)

@@ -1,10 +1,13 @@
 """Streaming trigger time of the data job against the reference's 3 s interval.
 
-    python tools/stream_bench.py [sf_dir] [n_files]
+    python tools/stream_bench.py [sf_dir] [n_files] [enrich|score]
 
-Writes the adapter's raw lines as n time-ordered text files into a scratch folder,
-streams them one file per trigger through the enrich job and prints one JSON line
-with the per-trigger durations from the query progress.
+enrich: writes the adapter's raw lines as n time-ordered text files into a scratch
+folder and streams them one file per trigger through the data job.
+score: writes the processed records as n time-ordered parquet files and streams them
+one file per trigger through the score job (1 day / 6 hour windows, scored when the
+watermark closes them).
+Prints one JSON line with the per-trigger durations from the query progress.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     n = int(sys.argv[2]) if len(sys.argv) > 2 else 10
+    mode = sys.argv[3] if len(sys.argv) > 3 else "enrich"
     from gatewatch.plans.context import Ctx
     from gatewatch.session import build_session, prepare
     from gatewatch.sources.streams import line_stream
@@ -30,22 +34,34 @@ def main():
     spark = prepare(build_session("local[8]", shuffle_partitions=8))
     tmp = tempfile.mkdtemp(prefix="gw-streambench-")
     c = Ctx(spark, sf_dir)
-    lines = c.raw_lines().withColumn("chunk", F.ntile(n).over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("event_id")))
-    for i in range(1, n + 1):
-        lines.filter(F.col("chunk") == i).select("value").coalesce(1).write.text(f"{tmp}/src/{i:04d}")
+    from pyspark.sql import Window
     listener = J.ThroughputListener()
     spark.streams.addListener(listener)
-    sink = J.EnrichSink(out=f"{tmp}/out", rejects=f"{tmp}/rej", monitor=f"{tmp}/mon",
-                        rules=J.StaticRules(c.tables))
-    q = J.start_enrich_stream(line_stream(spark, f"{tmp}/src/*", "text", max_files_per_trigger=1),
-                              sink, f"{tmp}/ck", available_now=True)
+    if mode == "score":
+        from gatewatch.config import FIXTURE_WINDOW
+        cols = ["ip", "request", "user_agent", "session_hash", "dep_city", "arr_city", "ts"]
+        recs = c.processed().select(*cols, "event_id").withColumn("chunk", F.ntile(n).over(Window.orderBy("event_id")))
+        for i in range(1, n + 1):
+            recs.filter(F.col("chunk") == i).select(*cols).coalesce(1).write.parquet(f"{tmp}/src/{i:04d}")
+        schema = recs.select(*cols).schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/src/*")
+        sink = J.ScoreSink(state=f"{tmp}/state", history=f"{tmp}/hist", rules=J.StaticRules(c.tables),
+                           window=FIXTURE_WINDOW)
+        q = J.start_score_stream(stream, sink, f"{tmp}/ck", available_now=True)
+    else:
+        lines = c.raw_lines().withColumn("chunk", F.ntile(n).over(Window.orderBy("event_id")))
+        for i in range(1, n + 1):
+            lines.filter(F.col("chunk") == i).select("value").coalesce(1).write.text(f"{tmp}/src/{i:04d}")
+        sink = J.EnrichSink(out=f"{tmp}/out", rejects=f"{tmp}/rej", monitor=f"{tmp}/mon",
+                            rules=J.StaticRules(c.tables))
+        q = J.start_enrich_stream(line_stream(spark, f"{tmp}/src/*", "text", max_files_per_trigger=1),
+                                  sink, f"{tmp}/ck", available_now=True)
     q.awaitTermination(1800)
     import time
     time.sleep(1)
     rows = [r for r in listener.rows if r[2]]
     durs = [r[3] for r in rows]
-    print(json.dumps({"metric": "enrich_stream_trigger_ms", "batches": len(rows),
+    print(json.dumps({"metric": f"{mode}_stream_trigger_ms", "batches": len(rows),
                       "rows_per_batch": int(statistics.median([r[2] for r in rows])) if rows else 0,
                       "median_ms": statistics.median(durs) if durs else None,
                       "max_ms": max(durs) if durs else None,
