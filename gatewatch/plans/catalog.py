@@ -543,3 +543,48 @@ def book_hash_pii(spark, sf_dir):
     d = Ctx(spark, sf_dir).table("documents")
     ids = F.regexp_extract_all("text", F.lit(DOC_NUMBER_PATTERN), F.lit(0))
     return d.select("doc_id", F.array_join(M.hash_list(ids), ",").alias("hashed_ids"))
+
+
+# ------------------------------------------------------------------ A5, A10/F3, A11/F4 over the data
+
+@query("rules_by_class")
+def rules_by_class(spark, sf_dir):
+    """A5: the classification rule lists (one grouped read) with the requests of each
+    class in the access log."""
+    c = Ctx(spark, sf_dir)
+    lists = R.rules_by_class(c.tables.classify_rule).select(
+        "class", F.array_join("expressions", "|").alias("expressions"))
+    cls = C.classify_request(F.col("request"), EJ.compiled(c.tables)["classes"])
+    label = (F.when((cls["flight_type"] == "National") & (cls["behavior_type"] == "Query"), "nq")
+             .when((cls["flight_type"] == "National") & (cls["behavior_type"] == "Book"), "nb")
+             .when((cls["flight_type"] == "International") & (cls["behavior_type"] == "Query"), "iq")
+             .when((cls["flight_type"] == "International") & (cls["behavior_type"] == "Book"), "ib"))
+    counts = c.access().select(label.alias("class")).filter(F.col("class").isNotNull()) \
+        .groupBy("class").agg(F.count(F.lit(1)).alias("n_requests"))
+    return lists.join(counts, "class", "left").select(
+        "class", "expressions", F.coalesce("n_requests", F.lit(0)).alias("n_requests"))
+
+
+@query("flow_strategy_join")
+def flow_strategy_join(spark, sf_dir):
+    """Process join strategy (status 0, crawler threshold) with the blacklist
+    entries each flow produced."""
+    c = Ctx(spark, sf_dir)
+    fl = R.flows(c.tables.process_info, c.tables.strategy, 0)
+    e = score_job.blacklist(c.processed(), c.tables, c.window).groupBy("flow_id").agg(
+        F.count(F.lit(1)).alias("n_entries"))
+    return fl.join(e, "flow_id", "left").select(
+        "flow_id", "flow_name", "flow_limit", F.coalesce("n_entries", F.lit(0)).alias("n_entries"))
+
+
+@query("flow_rules_join")
+def flow_rules_join(spark, sf_dir):
+    """Rule join rule names (crawler type 0) with the hits of each rule over
+    the scored keys."""
+    c = Ctx(spark, sf_dir)
+    fr = R.flow_rules(c.tables.rule, c.tables.rule_name, 0)
+    hits = (_scored(c).select(F.explode("hit_rules").alias("rule_id"))
+            .groupBy("rule_id").agg(F.count(F.lit(1)).alias("n_hits")))
+    return fr.join(hits, "rule_id", "left").select(
+        "rule_id", "flow_id", "indicator", "rule_status",
+        F.coalesce("n_hits", F.lit(0)).alias("n_hits"))

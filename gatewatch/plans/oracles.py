@@ -424,3 +424,32 @@ ORACLES["serialize_record"] = _with(PROC2, """SELECT concat_ws('#CS#',
     ELSE 'NULL' END,
     referer) AS value
   FROM proc2 WHERE behavior_type IN ('Query', 'Book', 'Other')""")
+
+# ------------------------------------------------------------------ A5, A10/F3, A11/F4 over the data
+ORACLES["rules_by_class"] = _with(PROC + f""",
+cls(class, expressions) AS (VALUES ('nq', '/air/search.*'), ('nb', '/air/book.*'),
+                                   ('iq', '/air/intl/search.*'), ('ib', '/air/intl/book.*')),
+per AS (SELECT CASE flight_type || '/' || behavior_type
+                 WHEN 'National/Query' THEN 'nq' WHEN 'National/Book' THEN 'nb'
+                 WHEN 'International/Query' THEN 'iq' WHEN 'International/Book' THEN 'ib' END AS class
+        FROM (SELECT
+    CASE WHEN regexp_full_match(request, '/air/intl/book.*') OR regexp_full_match(request, '/air/intl/search.*')
+         THEN 'International'
+         WHEN regexp_full_match(request, '/air/book.*') OR regexp_full_match(request, '/air/search.*')
+         THEN 'National' ELSE 'Other' END AS flight_type,
+    CASE WHEN regexp_full_match(request, '/air/intl/book.*') THEN 'Book'
+         WHEN regexp_full_match(request, '/air/intl/search.*') THEN 'Query'
+         WHEN regexp_full_match(request, '/air/book.*') THEN 'Book'
+         WHEN regexp_full_match(request, '/air/search.*') THEN 'Query' ELSE 'Other' END AS behavior_type
+          FROM access))
+""", """SELECT c.class, c.expressions, count(p.class) AS n_requests
+  FROM cls c LEFT JOIN per p ON p.class = c.class GROUP BY c.class, c.expressions""")
+ORACLES["flow_strategy_join"] = _with(SCORED + f""",
+fl AS (SELECT p.id AS flow_id, p.process_name AS flow_name, CAST(s.crawler_t AS DOUBLE) AS flow_limit
+       FROM process_info p JOIN strategy s ON p.id = s.id WHERE p.status = 0)
+""", """SELECT f.flow_id, f.flow_name, f.flow_limit, count(d.flow_id) AS n_entries
+  FROM fl f LEFT JOIN dedup d ON d.flow_id = f.flow_id GROUP BY f.flow_id, f.flow_name, f.flow_limit""")
+ORACLES["flow_rules_join"] = _with(SCORED, """SELECT fr.rule_id, fr.flow_id, fr.indicator, fr.rule_status,
+  count(h.rule_id) AS n_hits
+  FROM flow_rules fr LEFT JOIN (SELECT rule_id FROM hits_s WHERE hit) h ON h.rule_id = fr.rule_id
+  GROUP BY fr.rule_id, fr.flow_id, fr.indicator, fr.rule_status""")
