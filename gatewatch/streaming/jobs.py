@@ -228,9 +228,10 @@ class ScoreSink:
             return
         lo_pane = lo // s - w.panes
         recs = allrecs.filter((F.col("pane") >= lo_pane) & (F.col("pane") < hi // s)).drop("batch_id")
-        keys = S.score_keys(recs, w).filter(
+        # the shared-work indicator plan; keys outside the closed range are filtered
+        # (the filter reaches the key side of the left joins)
+        feats = fe.window_features(recs, w).filter(
             (F.unix_micros("window_end") > lo) & (F.unix_micros("window_end") <= hi))
-        feats = S.attach_features(keys, recs, w)
         scored = S.flow_scores(feats, R.flow_config(tables))
         entries = S.blacklist_entries(scored)
         _write_batch(B.history_rows(entries), self.history, batch_id, "hour")
