@@ -192,12 +192,19 @@ class ScoreSink:
             "pane", fe._floor_div(F.unix_micros("ts"), w.slide_us)).persist()
         try:
             prev_wm = self._watermark_before(spark, batch_id)
-            stats = recs.agg(F.max(F.unix_micros("ts")).alias("max_us"),
-                             F.count_if(F.unix_micros("ts") < F.lit(prev_wm if prev_wm is not None else -2**62))
-                             .alias("late")).first()
-            self.late_rows.append((batch_id, stats["late"]))
             on_time = recs if prev_wm is None else recs.filter(F.unix_micros("ts") >= F.lit(prev_wm))
-            _write_batch(on_time, self.records_path, batch_id, "pane")
+            got = {}
+
+            def batch_stats():
+                got["stats"] = recs.agg(
+                    F.max(F.unix_micros("ts")).alias("max_us"),
+                    F.count_if(F.unix_micros("ts") < F.lit(prev_wm if prev_wm is not None else -2**62))
+                    .alias("late")).first()
+            # independent jobs over the persisted batch: submitted together
+            _run_concurrently([batch_stats,
+                               lambda: _write_batch(on_time, self.records_path, batch_id, "pane")])
+            stats = got["stats"]
+            self.late_rows.append((batch_id, stats["late"]))
             lateness_us = fe.duration_us_of(self.lateness)
             max_seen = stats["max_us"]
             if prev_wm is not None and max_seen is not None:
