@@ -28,8 +28,8 @@ b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, least(10, len(w)) AS k, w[i:i + least(10, len(w)) - 1] AS ww
         FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i) WHERE len(w) > 0),
 ks AS (SELECT DISTINCT k FROM win),
-at AS (SELECT doc_id, ks.k, i, w[i:i + ks.k - 1] AS ww FROM d, ks, LATERAL (SELECT unnest(range(1, len(w) - ks.k + 2)) AS i) WHERE len(w) >= ks.k),
-hit AS (SELECT at.doc_id, at.i, at.k, win.item_id FROM at JOIN win ON at.k = win.k AND at.ww = win.ww),
+cand AS (SELECT doc_id, ks.k, i, w[i:i + ks.k - 1] AS ww FROM d, ks, LATERAL (SELECT unnest(range(1, len(w) - ks.k + 2)) AS i) WHERE len(w) >= ks.k),
+hit AS (SELECT c.doc_id, c.i, c.k, win.item_id FROM cand c JOIN win ON c.k = win.k AND c.ww = win.ww),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)

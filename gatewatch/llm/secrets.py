@@ -142,6 +142,10 @@ def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
 
 def listing(*kinds: str) -> Column:
     """Spans of the kinds as kind:start:end by start, then kind as listed, comma-joined."""
-    parts = [F.transform(k, lambda x, i=KINDS.index(k): F.struct(x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e"))) for k in kinds]
+    def tagged(kind):
+        at = KINDS.index(kind)
+        return F.transform(kind, lambda x: F.struct(x["s"].alias("s"), F.lit(at).alias("k"), x["e"].alias("e")))
+
+    parts = [tagged(k) for k in kinds]
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(F.array_sort(F.concat(*parts)), lambda x: F.concat_ws(":", F.get(names, x["k"]), x["s"], x["e"])), ",")
