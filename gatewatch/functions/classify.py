@@ -13,8 +13,7 @@ BEHAVIOR = {"Query": 0, "Book": 1, "Other": -1}
 TRAVEL = {"OneWay": 0, "RoundTrip": 1, "Unknown": -1}
 
 # Date form counted in referer query values (month and day 00 accepted, 2.J-39).
-REFERER_DATE = r"^(\d{4})-(0\d{1}|1[0-2])-(0\d{1}|[12]\d{1}|3[01])$"
-REFERER_VALUE_DATE = r"(?:^|&)[^&=]*=(\d{4})-(0\d{1}|1[0-2])-(0\d{1}|[12]\d{1}|3[01])(?=&|$)"
+REFERER_DATE = r"\A(\d{4})-(0\d{1}|1[0-2])-(0\d{1}|[12]\d{1}|3[01])\z"
 
 
 def label_to_id(label: Column, mapping: dict) -> Column:
@@ -24,25 +23,21 @@ def label_to_id(label: Column, mapping: dict) -> Column:
     return expr
 
 
-def id_to_label(idc: Column, mapping: dict) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(idc == v, F.lit(k)) if expr is None else expr.when(idc == v, F.lit(k))
-    return expr
-
-
 def classify_request(request: Column, patterns: dict) -> Column:
     """struct(flight_type, behavior_type) labels. Classes are tested nq, nb, iq, ib
     and a later match overwrites, so priority is ib > iq > nb > nq; none -> Other/Other.
     ``patterns`` maps class -> list of regexes (from ``rules_by_class``)."""
-    def hit(cls):
-        return matches_any(request, patterns.get(cls, []))
-    flight = (F.when(hit("ib") | hit("iq"), F.lit("International"))
-              .when(hit("nb") | hit("nq"), F.lit("National")).otherwise(F.lit("Other")))
-    behavior = (F.when(hit("ib"), F.lit("Book")).when(hit("iq"), F.lit("Query"))
-                .when(hit("nb"), F.lit("Book")).when(hit("nq"), F.lit("Query"))
-                .otherwise(F.lit("Other")))
-    return F.struct(flight.alias("flight_type"), behavior.alias("behavior_type"))
+    label = F.lit(None).cast("string")
+    for cls in ("nq", "nb", "iq", "ib"):
+        label = F.when(matches_any(request, patterns.get(cls, [])), F.lit(cls)).otherwise(label)
+    # the class is found once per row (aggregate over a one-element array binds it), then
+    # mapped to both labels
+    def labels(c):
+        flight = F.when(c.startswith("i"), "International").when(c.startswith("n"), "National").otherwise("Other")
+        behavior = F.when(c.endswith("b"), "Book").when(c.endswith("q"), "Query").otherwise("Other")
+        return F.struct(flight.alias("flight_type"), behavior.alias("behavior_type"))
+
+    return F.get(F.transform(F.array(label), labels), F.lit(0))
 
 
 def referer_query(referer: Column) -> Column:
@@ -55,7 +50,10 @@ def travel_type(referer: Column) -> Column:
     """C11: count referer query values of the form yyyy-MM-dd; 1 -> OneWay,
     2 -> RoundTrip, else Unknown."""
     q = referer_query(referer)
-    # a value is the text after a parameter's first '=' up to the next '&'; count the
-    # values that are a whole date (no array, one regex scan)
-    n = F.coalesce(F.regexp_count(q, F.lit(REFERER_VALUE_DATE)), F.lit(0))
+    # a value is the decoded text after a parameter's first '=' up to the next '&'
+    def dated(p):
+        return (F.instr(p, "=") > 0) & F.coalesce(
+            F.try_url_decode(F.substring(p, F.instr(p, "=") + 1, F.length(p))).rlike(REFERER_DATE), F.lit(False))
+
+    n = F.coalesce(F.size(F.filter(F.split(q, "&"), dated)), F.lit(0))
     return F.when(n == 1, F.lit("OneWay")).when(n == 2, F.lit("RoundTrip")).otherwise(F.lit("Unknown"))

@@ -52,10 +52,15 @@ def json_field(json: Column, path) -> Column:
 
 
 def json_list(json: Column, path) -> Column:
-    """Array read; a scalar becomes a one-element array."""
+    """Array read; a scalar becomes a one-element array. A ``[*]`` path that matches
+    one node comes back as that node's JSON text (a string still in quotes), so it is
+    read as the only element of an array."""
     v = json_field(json, path)
-    return F.when(v.startswith("["), F.from_json(v, "array<string>")).when(
-        v.isNotNull(), F.array(v))
+    text = path if isinstance(path, Column) else F.lit(path or "")
+    lone = F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>")
+    return (F.when(v.startswith("["), F.from_json(v, "array<string>"))
+            .when(v.isNotNull() & (F.instr(text, "[*]") > 0), F.coalesce(lone, F.array(v)))
+            .when(v.isNotNull(), F.array(v)))
 
 
 def json_in_form(body: Column, field) -> Column:

@@ -8,10 +8,15 @@ alternation: one compiled pattern per task instead of N passes.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RULE_ROWS = 10_000
+# A rule that refers to a group by number or name, or names one, keeps its own pattern:
+# in an alternation its groups would be renumbered and names would clash.
+_OWN_GROUPS = re.compile(r"\\[1-9k]|\(\?<[A-Za-z]|\\Q")
 
 
 def anchored(pattern: str) -> str:
@@ -25,22 +30,20 @@ def fold(patterns) -> str | None:
     return r"\A(?:" + "|".join(f"(?:{p})" for p in pats) + r")\z"
 
 
-def collect_patterns(rules: DataFrame, column: str = "expression",
-                     max_rows: int = MAX_RULE_ROWS) -> list[str]:
-    """Pull a rule column to the driver. Rule tables are configuration; the size is
-    checked so a wrongly pointed table fails loudly instead of swamping the driver."""
-    rows = rules.select(column).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"rule table has more than {max_rows} rows; use the join form")
-    return sorted({r[0] for r in rows if r[0]})
+def collect_patterns(rules: DataFrame, column: str = "expression") -> list[str]:
+    """Pull a rule column to the driver, where its patterns are compiled: rule tables are
+    configuration that people write, and every one of them takes the same path."""
+    return sorted({r[0] for r in rules.select(column).distinct().collect() if r[0]})
 
 
 def matches_any(col: Column, patterns) -> Column:
     """True when ``col`` matches any pattern as a whole string (NULL input -> NULL)."""
-    folded = fold(patterns)
-    if folded is None:
-        return F.lit(False)
-    return col.rlike(folded)
+    plain = [p for p in patterns if p and not _OWN_GROUPS.search(p)]
+    own = [p for p in patterns if p and _OWN_GROUPS.search(p)]
+    tests = [col.rlike(anchored(p)) for p in own]
+    if plain:
+        tests.insert(0, col.rlike(fold(plain)))
+    return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
 def matches_whole(col: Column, pattern_col: Column) -> Column:

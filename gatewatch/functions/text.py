@@ -26,13 +26,14 @@ def url_decode(c: Column) -> Column:
 
 def unescape(c: Column) -> Column:
     """``%uXXXX`` -> that UTF-16 unit, ``%XX`` -> the Latin-1 character, other text
-    unchanged. Rewritten into a JSON string literal and decoded by ``from_json``."""
+    unchanged. Rewritten into a JSON string literal and decoded by ``from_json``, which is
+    told to take control characters as they are."""
     s = F.regexp_replace(c, r"\\", r"\\\\")
     s = F.regexp_replace(s, '"', '\\\\"')
-    s = F.regexp_replace(s, r"[\x00-\x1f]", "")
     s = F.regexp_replace(s, r"%u([0-9a-fA-F]{4})", r"\\u$1")
     s = F.regexp_replace(s, r"%([0-9a-fA-F]{2})", r"\\u00$1")
-    return F.from_json(F.concat(F.lit('{"v":"'), s, F.lit('"}')), "v string")["v"]
+    return F.from_json(F.concat(F.lit('{"v":"'), s, F.lit('"}')), "v string",
+                       {"allowUnquotedControlChars": "true"})["v"]
 
 
 def cookie_pairs(cookie: Column) -> Column:
@@ -63,14 +64,10 @@ def decode_cookie_value(raw: Column) -> Column:
 
 
 def cookie_value(cookie: Column, key: str) -> Column:
-    """C2 + C5 for one literal key, without building the pair list: the last
-    ``key=value`` pair with a non-empty value (key trimmed, value up to the next
-    ``;``), decoded. One regex per row, inside whole-stage codegen."""
-    import re as _re
-    # the greedy prefix backtracks to the last ';' followed by a matching pair
-    pat = r"^(?:.*;)?\s*" + _re.escape(key) + r"\s*=([^;]+)"
-    raw = F.regexp_extract(cookie, pat, 1)
-    return F.when(F.length(raw) > 0, decode_cookie_value(raw))
+    """C2 + C5 for one literal key: the value ``lookup`` finds in ``cookie_pairs``. Only the
+    parts of that key are decoded."""
+    own = F.filter(F.split(cookie, ";"), lambda p: F.trim(F.substring_index(p, "=", 1)) == key)
+    return lookup(cookie_pairs(F.array_join(own, ";")), key)
 
 
 def session_id(cookie: Column) -> Column:

@@ -44,8 +44,10 @@ def serialize(df: DataFrame) -> DataFrame:
 
 
 def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Wire lines -> typed records; ``NULL`` -> SQL NULL; JSON -> structs.
-    Lines without exactly 19 fields are left out here; ``wire_rejects`` lists them."""
+    """Wire lines -> typed records; ``NULL`` -> SQL NULL; JSON -> structs. A missing
+    address stays the literal ``NULL``: it is a key of the indicators like any other.
+    Lines without exactly 19 fields or with an unreadable time are left out here;
+    ``wire_rejects`` lists them with the reason."""
     parts = F.split(F.col(value_col), FIELD_SEP, -1)
     ok = lines.withColumn("__p", parts).filter(F.size("__p") == len(WIRE_FIELDS))
     def field(i):
@@ -56,6 +58,8 @@ def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
         v = field(i)
         if f == "high_freq":
             v = v == "true"
+        elif f == "ip":
+            v = F.col("__p")[i]
         elif f == "query_json":
             v = F.from_json(v, QUERY_SCHEMA)
             f = "query"
@@ -63,10 +67,15 @@ def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
             v = F.from_json(v, BOOK_SCHEMA)
             f = "book"
         out.append(v.alias(f))
-    return ok.select(*out).withColumn("ts", F.try_to_timestamp(F.col("time_iso8601")))
+    return ok.select(*out).withColumn("ts", F.try_to_timestamp(F.col("time_iso8601"))).filter("ts IS NOT NULL")
 
 
 def wire_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """C36 reject path: wire lines without exactly 19 fields, with their field count."""
-    n = F.size(F.split(F.col(value_col), FIELD_SEP, -1))
-    return lines.filter(n != len(WIRE_FIELDS)).withColumn("n_fields", n)
+    """C36 reject path: wire lines without exactly 19 fields (reason ``width``) or whose time
+    cannot be read (reason ``time``), with their field count. A NULL line has no fields."""
+    parts = F.split(F.col(value_col), FIELD_SEP, -1)
+    n = F.coalesce(F.size(parts), F.lit(0))
+    at = F.get(parts, F.lit(WIRE_FIELDS.index("time_iso8601")))
+    reason = (F.when(n != len(WIRE_FIELDS), F.lit("width"))
+              .when(F.try_to_timestamp(at).isNull(), F.lit("time")))
+    return lines.withColumn("n_fields", n).withColumn("reason", reason).filter("reason IS NOT NULL")

@@ -2,8 +2,8 @@
 
 C12 picks, per record, the last rule (``rule_order``) with the same method (any case),
 the same behaviour and a whole-string match of the request. The match is a ``CASE``
-over the (collected, size-checked) rule rows; the matched rule's row is then joined
-back as data with a checked broadcast hash join on its id, so every extraction below
+over the collected rule rows; the matched rule's row is then joined back as data on its
+id, so every extraction below
 reads rule-supplied keys and JsonPaths from columns. XPath needs literal paths, so
 only XML rules are unrolled into per-rule branches.
 """
@@ -19,40 +19,37 @@ from gatewatch.functions.classify import BEHAVIOR
 from gatewatch.functions.masking import hash_list
 from gatewatch.functions.regex import anchored
 from gatewatch.functions.text import md5_upper
-from gatewatch.operators.lookup import checked_broadcast
 from gatewatch.sources.rules import BOOK_FIELDS, QUERY_FIELDS
 
-MAX_PARSE_RULES = 2_000
-
-
 def collect_parse_rules(parse_rule: DataFrame) -> list:
-    rows = parse_rule.limit(MAX_PARSE_RULES + 1).collect()
-    if len(rows) > MAX_PARSE_RULES:
-        raise ValueError("too many parse rules to compile")
-    return sorted(rows, key=lambda r: (r["rule_order"] if r["rule_order"] is not None else 0, r["id"]))
+    return sorted(parse_rule.collect(), key=lambda r: (r["rule_order"] if r["rule_order"] is not None else 0, r["id"]))
 
 
 def matched_rule(rules: list, method: Column, behavior_id: Column, request: Column) -> Column:
     """Id of the last matching rule; NULL when none."""
-    expr = None
+    groups: dict = {}
     for r in reversed(rules):
-        c = ((F.lower(method) == F.lit((r["request_method"] or "").lower()))
-             & (behavior_id == F.lit(r["behavior_type"]))
-             & request.rlike(anchored(r["request_match"])))
-        expr = F.when(c, F.lit(r["id"])) if expr is None else expr.when(c, F.lit(r["id"]))
+        hit = request.rlike(anchored(r["request_match"]))
+        key = ((r["request_method"] or "").lower(), r["behavior_type"])
+        own = groups.get(key)
+        groups[key] = F.when(hit, F.lit(r["id"])) if own is None else own.when(hit, F.lit(r["id"]))
+    # one test of method and behaviour picks the rules whose patterns are tried
+    expr = None
+    for (m, behavior), own in groups.items():
+        c = (F.lower(method) == m) & (behavior_id == F.lit(behavior))
+        expr = F.when(c, own) if expr is None else expr.when(c, own)
     return expr if expr is not None else F.lit(None).cast("string")
 
 
 def rule_side(parse_rule: DataFrame) -> DataFrame:
-    """The parse-rule table as the (size-checked) broadcast side of ``attach_rule``."""
-    r = parse_rule.select(*[F.col(c).alias(f"pr_{c}") for c in parse_rule.columns])
-    return checked_broadcast(r, 100_000)
+    """The parse-rule table as the right side of ``attach_rule``."""
+    return parse_rule.select(*[F.col(c).alias(f"pr_{c}") for c in parse_rule.columns])
 
 
 def attach_rule(df: DataFrame, parse_rule: DataFrame, rule_col: str = "matched_rule",
                 side: DataFrame | None = None) -> DataFrame:
-    """Join the matched rule's row (columns prefixed ``pr_``) by id, broadcast after a
-    size check; unmatched records keep NULL rule columns."""
+    """Join the matched rule's row (columns prefixed ``pr_``) by id; unmatched records keep
+    NULL rule columns."""
     r = side if side is not None else rule_side(parse_rule)
     return df.join(r, df[rule_col] == r["pr_id"], "left")
 
@@ -160,7 +157,7 @@ def book_steps(rules: list, content_type: str = "content_type", body: str = "req
     steps.append({"__bdoc": F.when(bb == "json_body", P.strip_escaped_quotes(b))
                   .when(bb == "json_form", P.strip_escaped_quotes(
                       P.strip_brackets(P.json_in_form(b, _pr("form_data_field")))))
-                  .when(bb == "xml", b)})
+                  .when(bb == "xml", X.from_page(b))})
     doc = F.col("__bdoc")
 
     def read_list(f):

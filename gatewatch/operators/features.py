@@ -3,18 +3,25 @@
 Input: processed records with at least ``ip, request, user_agent, session_id,
 dep_city, arr_city, ts (timestamp), critical (boolean)``.
 
-Two equivalent forms:
-
-* ``direct``: ``groupBy(window(ts, dur, slide), key)``. Spark expands every row
-  into ``dur/slide`` windows before aggregating.
-* ``pane`` (default): aggregate each tumbling pane of width ``slide`` first
-  (map-side partial aggregation collapses hot addresses), then expand the *pane
-  aggregates* into the ``dur/slide`` windows that contain them. Counts add; distinct
-  values are de-duplicated per pane before the expansion; gaps are merged from
-  mergeable (first, last, min gap, fast count) summaries.
-
-Window ends are multiples of the slide (epoch aligned), as Spark's ``window``.
-A row at time t belongs to the windows whose end lies in (t, t + dur].
+Window ends are multiples of the slide (epoch aligned), as Spark's ``window``. A row
+at time t belongs to the windows whose end lies in (t, t + dur]. The tumbling pane of
+width ``slide`` that holds a row is the grain of all state: a window is ``k = dur/slide``
+consecutive panes and is named by its last pane.
+
+No row and no distinct value is expanded to the windows that contain it:
+
+* counts are one aggregate per (pane, key), summed by a RANGE frame over the panes that
+  exist for the key;
+* a distinct value is +1 at the pane where it enters the window and -1 at the pane where
+  it has left it again; the running sum of these changes is the distinct count;
+* accesses are first counted per (key, second), as gaps are measured in whole seconds: a
+  second with m accesses has m - 1 gaps of 0. Seconds are reduced to (first, last, least
+  gap, fast gaps) per time bucket and per pane, so an address that sends half of all rows
+  is a few rows before it is ordered.
+
+State is evaluated at points (key, last pane): for scoring the panes in which the key has
+a record, for the window tables every window that holds one of its records. The ``direct``
+form of the indicators (``groupBy(window(...))``) is the reference the tests compare with.
 """
 
 from __future__ import annotations
@@ -49,7 +56,10 @@ def _floor_div(col: Column, d: int) -> Column:
 
 
 def with_time(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Adds ``t_us`` (event time, micros), ``t_s`` (whole seconds, E9) and ``pane``."""
+    """Adds ``t_us`` (event time, micros), ``t_s`` (whole seconds, E9) and ``pane``. Times are
+    compared in whole seconds, so the slide is one or more of them."""
+    if w.slide_us % US_PER_S:
+        raise ValueError("the slide must be whole seconds")
     t_us = F.unix_micros(F.col("ts"))
     return (df.filter(F.col("ts").isNotNull())
             .withColumn("t_us", t_us)
@@ -64,76 +74,105 @@ def pane_end(ts: Column, w: WindowSpec) -> Column:
     return F.timestamp_micros((_floor_div(t_us, w.slide_us) + 1) * F.lit(w.slide_us))
 
 
-def expand_panes(df: DataFrame, w: WindowSpec, pane_col: str = "pane") -> DataFrame:
-    """Each pane row -> one row per sliding window containing the pane (``we_us``)."""
+def _covering(points: DataFrame, w: WindowSpec, pane_col: str = "pane") -> DataFrame:
+    """Points (keys, pane with a record) -> every window that holds one, by its last pane."""
+    return (points.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(w.panes - 1))))
+            .withColumn(pane_col, F.col(pane_col) + F.col("__i")).drop("__i").distinct())
+
+
+def _frame(keys: list[str], w: WindowSpec):
+    """The panes of the window that ends with the row's pane."""
+    return Window.partitionBy(*keys).orderBy("pane").rangeBetween(1 - w.panes, 0)
+
+
+def _end_us(w: WindowSpec) -> Column:
+    return ((F.col("pane") + 1) * F.lit(w.slide_us)).alias("we_us")
+
+
+# ---------------------------------------------------------------- counts
+
+def _counted(per_pane: DataFrame, keys: list[str], sums: list[str], w: WindowSpec, every: bool) -> DataFrame:
+    """(keys, pane, sums) -> window sums at the points."""
+    if every:
+        zero = [F.lit(0).cast("long").alias(c) for c in sums]
+        per_pane = per_pane.select(*keys, "pane", *sums).unionByName(
+            _covering(per_pane.select(*keys, "pane"), w).select(*keys, "pane", *zero))
+        per_pane = per_pane.groupBy(*keys, "pane").agg(*[F.sum(c).alias(c) for c in sums])
+    f = _frame(keys, w)
+    return per_pane.select(*keys, "pane", *[F.sum(c).over(f).alias(c) for c in sums])
+
+
+# ---------------------------------------------------------------- distinct values
+
+def _distinct_changes(values: DataFrame, w: WindowSpec) -> DataFrame:
+    """Distinct (ip, kind, v, pane) -> (ip, pane, kind, d): +1 where a value enters the
+    window, -1 where it has left it and did not come back before."""
+    seen = Window.partitionBy("ip", "kind", "v").orderBy("pane")
     k = w.panes
-    return (df.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-            .withColumn("we_us", (F.col(pane_col) + 1 + F.col("__i")) * F.lit(w.slide_us))
-            .drop("__i"))
+    x = values.withColumn("prev", F.lag("pane").over(seen)).withColumn("next", F.lead("pane").over(seen))
+    enter = F.col("prev").isNull() | (F.col("prev") <= F.col("pane") - k)
+    leave = F.col("next").isNull() | (F.col("next") >= F.col("pane") + k)
+    change = F.array_compact(F.array(
+        F.when(enter, F.struct(F.col("pane").alias("pane"), F.lit(1).cast("long").alias("d"))),
+        F.when(leave, F.struct((F.col("pane") + k).alias("pane"), F.lit(-1).cast("long").alias("d")))))
+    return x.select("ip", "kind", F.explode(change).alias("c")).select("ip", "kind", "c.pane", "c.d")
 
 
 # ---------------------------------------------------------------- gaps
 
-def gap_summary(df: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) -> DataFrame:
-    """Per (window end, keys): ``min_gap_ms`` (NULL under two accesses) and
-    ``fast_count`` (gaps strictly below ``fast_ms``) over accesses truncated to seconds.
-
-    Skew-safe: the only row-level sort is within (keys, time bucket) where a bucket is
-    at most a minute by default (``WindowSpec.gap_bucket``). Buckets are summarised
-    as (first, last, min gap, fast count); the gap that crosses two non-empty buckets
-    is ``first - previous last``, found with a ``lag`` at bucket grain, whose row count
-    per key is bounded by time span / bucket, not by traffic."""
+def _pane_gaps(crit: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) -> DataFrame:
+    """Accesses (keys, t_s) -> (keys, pane): least gap and fast gaps inside the pane, and the
+    gap to the previous pane with an access (``cross``, ``prev_pane``)."""
     bu = w.bucket_us
-    rows = df if "bucket" in df.columns else df.withColumn("bucket", _floor_div(F.col("t_us"), bu))
+    sec = crit.groupBy(*keys, "t_s").agg(F.count(F.lit(1)).alias("m"))
+    sec = sec.withColumn("bucket", _floor_div(F.col("t_s") * US_PER_S, bu))
     in_bucket = Window.partitionBy(*keys, "bucket").orderBy("t_s")
-    rows = rows.withColumn("gap", (F.col("t_s") - F.lag("t_s").over(in_bucket)) * 1000)
-    b = rows.groupBy(*keys, "bucket").agg(
+    gap = (F.col("t_s") - F.lag("t_s").over(in_bucket)) * 1000
+    sec = sec.withColumn("gap", gap)
+    same = F.col("m") - 1  # gaps of 0
+    b = sec.groupBy(*keys, "bucket").agg(
         F.min("t_s").alias("first_s"), F.max("t_s").alias("last_s"),
-        F.min("gap").alias("gmin"),
-        F.count_if(F.col("gap") < fast_ms).alias("gfast"))
-    return merge_buckets(b, keys, w, fast_ms)
-
-
-def merge_buckets(b: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) -> DataFrame:
-    """Bucket summaries (keys, bucket, first_s, last_s, gmin, gfast) -> per (window end,
-    keys): min gap and fast count, adding the gap that crosses consecutive non-empty
-    buckets when both lie in the window."""
-    bu = w.bucket_us
+        F.min(F.when(same > 0, F.lit(0)).otherwise(F.col("gap"))).alias("gmin"),
+        ((F.sum(same) if fast_ms > 0 else F.lit(0)) + F.count_if(F.col("gap") < fast_ms)).cast("long").alias("gfast"))
     across = Window.partitionBy(*keys).orderBy("bucket")
-    b = (b.withColumn("prev_bucket", F.lag("bucket").over(across))
+    b = (b.withColumn("pane", _floor_div(F.col("bucket") * F.lit(bu), w.slide_us))
           .withColumn("cross", (F.col("first_s") - F.lag("last_s").over(across)) * 1000)
-          .withColumn("pane", _floor_div(F.col("bucket") * F.lit(bu), w.slide_us)))
-    x = expand_panes(b, w)
-    inside = F.col("prev_bucket").isNotNull() & (
-        F.col("prev_bucket") * F.lit(bu) >= F.col("we_us") - F.lit(w.dur_us))
-    cross = F.when(inside, F.col("cross"))
-    return x.groupBy("we_us", *keys).agg(
-        F.min(F.least(F.col("gmin"), cross)).alias("min_gap_ms"),
-        (F.sum("gfast") + F.count_if(cross < fast_ms)).cast("long").alias("fast_count"))
-
-
-def gap_summaries_ip_and_request(crit: DataFrame, w: WindowSpec, fast_ms: int):
-    """E5 (per ip) and E6 (per ip, request) from ONE shuffle of the critical rows on
-    (ip, time bucket): both row-level gap sorts run on that partitioning, the
-    (ip, request, bucket) summary is built first and the (ip, bucket) summary is
-    derived from it (min of mins, first of firsts, last of lasts)."""
-    rows = (crit.select("ip", "request", "t_s",
-                        _floor_div(F.col("t_us"), w.bucket_us).alias("bucket"))
-            .repartition("ip", "bucket"))
-    w_ip = Window.partitionBy("ip", "bucket").orderBy("t_s")
-    w_rq = Window.partitionBy("ip", "request", "bucket").orderBy("t_s")
-    rows = (rows.withColumn("g_ip", (F.col("t_s") - F.lag("t_s").over(w_ip)) * 1000)
-                .withColumn("g_rq", (F.col("t_s") - F.lag("t_s").over(w_rq)) * 1000))
-    s1 = rows.groupBy("ip", "request", "bucket").agg(
-        F.min("t_s").alias("first_s"), F.max("t_s").alias("last_s"),
-        F.min("g_ip").alias("gmin_ip"), F.min("g_rq").alias("gmin"),
-        F.count_if(F.col("g_rq") < fast_ms).alias("gfast"))
-    s2 = s1.groupBy("ip", "bucket").agg(
-        F.min("first_s").alias("first_s"), F.max("last_s").alias("last_s"),
-        F.min("gmin_ip").alias("gmin"), F.lit(0).cast("long").alias("gfast"))
-    per_ip = merge_buckets(s2, ["ip"], w, fast_ms)
-    per_req = merge_buckets(s1.drop("gmin_ip"), ["ip", "request"], w, fast_ms)
-    return per_ip, per_req
+          .withColumn("prev_pane", F.lag("pane").over(across)))
+    inner = F.when(F.col("prev_pane") == F.col("pane"), F.col("cross"))
+    outer = F.col("prev_pane") < F.col("pane")
+    return b.groupBy(*keys, "pane").agg(
+        F.min(F.least("gmin", inner)).alias("gmin"),
+        (F.sum("gfast") + F.count_if(inner < fast_ms)).cast("long").alias("gfast"),
+        F.max(F.when(outer, F.col("cross"))).alias("cross"), F.max(F.when(outer, F.col("prev_pane"))).alias("prev_pane"))
+
+
+def _window_gaps(keys: list[str], w: WindowSpec, fast_ms: int):
+    """Columns (least gap or NULL, fast gaps) of the window ending with the row's pane, for
+    rows as from ``_pane_gaps``. A gap between panes counts if both lie in the window."""
+    f = _frame(keys, w)
+    across = F.collect_list(F.when(F.col("cross").isNotNull(), F.struct("prev_pane", "cross"))).over(f)
+    first = F.col("pane") - (w.panes - 1)
+    held = F.transform(F.filter(across, lambda x: x["prev_pane"] >= first), lambda x: x["cross"])
+    least = F.least(F.min("gmin").over(f), F.array_min(held))
+    fast = F.coalesce(F.sum("gfast").over(f), F.lit(0)) + F.size(F.filter(held, lambda g: g < fast_ms))
+    return least, fast.cast("long")
+
+
+_NO_GAPS = {"gmin": "long", "gfast": "long", "cross": "long", "prev_pane": "long"}
+
+
+def gap_summary(df: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int, every: bool = True) -> DataFrame:
+    """Per (window end, keys): ``min_gap_ms`` (NULL under two accesses) and ``fast_count``
+    (gaps strictly below ``fast_ms``) over accesses truncated to seconds. ``every``: at
+    every window that holds an access, else at those ending with a pane that has one."""
+    g = _pane_gaps(df, keys, w, fast_ms)
+    if every:
+        none = [F.lit(None).cast(t).alias(c) for c, t in _NO_GAPS.items()]
+        g = g.unionByName(_covering(g.select(*keys, "pane"), w).select(*keys, "pane", *none))
+        g = g.groupBy(*keys, "pane").agg(*[F.max(c).alias(c) for c in _NO_GAPS])
+    least, fast = _window_gaps(keys, w, fast_ms)
+    return g.select(*keys, "pane", least.alias("min_gap_ms"), fast.alias("fast_count")).select(
+        _end_us(w), *keys, "min_gap_ms", "fast_count")
 
 
 def gap_summary_direct(df: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) -> DataFrame:
@@ -160,8 +199,41 @@ def _prepared(records: DataFrame, w: WindowSpec) -> DataFrame:
         trip_key(F.col("dep_city"), F.col("arr_city")).alias("trip")), w)
 
 
+def _per_ip(b: DataFrame, w: WindowSpec, every: bool) -> DataFrame:
+    """E2-E5, E7, E8 at the points (we_us, ip): counts, distinct changes and pane gaps meet
+    in one row per (ip, pane), and one ordering per address turns them into window values."""
+    kinds = {"ua": "u", "trip": "t", "session": "s"}
+    names = ["pt", "n", "c", *kinds, *_NO_GAPS]
+
+    def part(df, **have):
+        cols = [have[x].alias(x) if x in have else F.lit(None).cast("long").alias(x) for x in names]
+        return df.select("ip", "pane", *cols)
+
+    counts = b.groupBy("pane", "ip").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("critical").cast("long")).alias("c"))
+    values = b.select("pane", "ip", F.expr(_KINDS)).filter(F.col("v").isNotNull()).distinct()
+    changes = _distinct_changes(values, w)
+    gaps = _pane_gaps(b.filter("critical").select("ip", "t_s"), ["ip"], w, w.fast_repeat_ms)
+    one = F.lit(1).cast("long")
+    rows = (part(counts, n=F.col("n"), c=F.col("c"), **({} if every else {"pt": one}))
+            .unionByName(part(changes, **{x: F.when(F.col("kind") == k, F.col("d")) for x, k in kinds.items()}))
+            .unionByName(part(gaps, **{x: F.col(x) for x in _NO_GAPS})))
+    if every:
+        rows = rows.unionByName(part(_covering(counts.select("ip", "pane"), w), pt=one))
+    how = {x: F.max for x in ("pt", *_NO_GAPS)}
+    rows = rows.groupBy("ip", "pane").agg(*[how.get(x, F.sum)(x).alias(x) for x in names])
+    f, upto = _frame(["ip"], w), Window.partitionBy("ip").orderBy("pane").rangeBetween(Window.unboundedPreceding, 0)
+    least, _ = _window_gaps(["ip"], w, w.fast_repeat_ms)
+    out = rows.select(
+        "ip", "pane", "pt", F.sum("n").over(f).alias("ip_count"), F.sum("c").over(f).alias("critical_count"),
+        F.coalesce(F.sum("ua").over(upto), F.lit(0)).alias("ua_distinct"), least.alias("min_gap_ms"),
+        F.coalesce(F.sum("trip").over(upto), F.lit(0)).alias("trip_distinct"),
+        F.coalesce(F.sum("session").over(upto), F.lit(0)).alias("session_distinct"))
+    return out.filter("pt = 1").drop("pt").withColumn("we_us", _end_us(w))
+
+
 def ip_features(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFrame:
-    """E2, E3, E4, E5, E7, E8 at (window_end, ip) in one pass.
+    """E2, E3, E4, E5, E7, E8 at (window_end, ip) in one pass, for every window that
+    holds a record of the address.
 
     Columns: window_end, ip, ip_count (E2), critical_count (E3), ua_distinct (E4),
     min_interval_ms (E5, NULL under two critical accesses), trip_distinct (E7),
@@ -176,20 +248,9 @@ def ip_features(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFr
             F.count_distinct("trip").alias("trip_distinct"),
             F.count_distinct(F.when(F.col("critical"), F.col("session_id"))).alias("session_distinct"))
         gaps = gap_summary_direct(b.filter("critical"), ["ip"], w, w.fast_repeat_ms)
+        out = main.join(gaps.select("we_us", "ip", "min_gap_ms"), ["we_us", "ip"], "left")
     else:
-        counts = expand_panes(
-            b.groupBy("pane", "ip").agg(F.count(F.lit(1)).alias("n"),
-                                        F.sum(F.col("critical").cast("long")).alias("c")), w
-        ).groupBy("we_us", "ip").agg(F.sum("n").alias("ip_count"), F.sum("c").alias("critical_count"))
-        vals = (b.select("pane", "ip", F.expr(_KINDS)).filter(F.col("v").isNotNull()).distinct())
-        distinct = expand_panes(vals, w).select("we_us", "ip", "kind", "v").distinct().groupBy(
-            "we_us", "ip").agg(
-            F.count_if(F.col("kind") == "u").alias("ua_distinct"),
-            F.count_if(F.col("kind") == "t").alias("trip_distinct"),
-            F.count_if(F.col("kind") == "s").alias("session_distinct"))
-        main = counts.join(distinct, ["we_us", "ip"], "left")
-        gaps = gap_summary(b.filter("critical"), ["ip"], w, w.fast_repeat_ms)
-    out = main.join(gaps.select("we_us", "ip", "min_gap_ms"), ["we_us", "ip"], "left")
+        out = _per_ip(b, w, every=True)
     return out.select(
         F.timestamp_micros("we_us").alias("window_end"), "ip",
         F.col("ip_count").cast("long").alias("ip_count"),
@@ -200,30 +261,25 @@ def ip_features(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFr
         F.coalesce(F.col("session_distinct"), F.lit(0)).cast("long").alias("session_distinct"))
 
 
+def _windowed_count(records: DataFrame, key: str, out: str, w: WindowSpec, form: str) -> DataFrame:
+    if form == "direct":
+        g = records.groupBy(F.unix_micros(F.window("ts", w.duration, w.slide).end).alias("we_us"), key).agg(
+            F.count(F.lit(1)).alias(out))
+    else:
+        per_pane = records.groupBy("pane", key).agg(F.count(F.lit(1)).alias(out))
+        g = _counted(per_pane, [key], [out], w, every=True).withColumn("we_us", _end_us(w))
+    return g.select(F.timestamp_micros("we_us").alias("window_end"), key, F.col(out).cast("long").alias(out))
+
+
 def block_counts(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFrame:
     """Requests per address block (``a.b``) per window."""
     b = with_time(records.select(ip_block(F.col("ip")).alias("ip_block"), "ts"), w)
-    if form == "direct":
-        g = b.groupBy(F.unix_micros(F.window("ts", w.duration, w.slide).end).alias("we_us"),
-                      "ip_block").agg(F.count(F.lit(1)).alias("block_count"))
-    else:
-        p = b.groupBy("pane", "ip_block").agg(F.count(F.lit(1)).alias("n"))
-        g = expand_panes(p, w).groupBy("we_us", "ip_block").agg(F.sum("n").alias("block_count"))
-    return g.select(F.timestamp_micros("we_us").alias("window_end"), "ip_block",
-                    F.col("block_count").cast("long").alias("block_count"))
+    return _windowed_count(b, "ip_block", "block_count", w, form)
 
 
 def ip_counts(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFrame:
     """Requests per address per window."""
-    b = with_time(records.select("ip", "ts"), w)
-    if form == "direct":
-        g = b.groupBy(F.unix_micros(F.window("ts", w.duration, w.slide).end).alias("we_us"),
-                      "ip").agg(F.count(F.lit(1)).alias("ip_count"))
-    else:
-        p = b.groupBy("pane", "ip").agg(F.count(F.lit(1)).alias("n"))
-        g = expand_panes(p, w).groupBy("we_us", "ip").agg(F.sum("n").alias("ip_count"))
-    return g.select(F.timestamp_micros("we_us").alias("window_end"), "ip",
-                    F.col("ip_count").cast("long").alias("ip_count"))
+    return _windowed_count(with_time(records.select("ip", "ts"), w), "ip", "ip_count", w, form)
 
 
 def fast_repeats(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFrame:
@@ -236,65 +292,49 @@ def fast_repeats(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataF
 
 
 def request_gaps(records: DataFrame, keys=("ip",), bucket: str = "1 minute") -> DataFrame:
-    """Gap in ms to the previous access of the same key (whole seconds, E9),
-    over the whole history.
+    """Gap in ms to the previous access of the same key (whole seconds, E9), over the
+    whole history, one row per access.
 
-    Skew-safe: rows are ordered only inside (key, time bucket); the first row of a
-    bucket takes its gap from the previous non-empty bucket's last access, found with
-    a ``lag`` at bucket grain (rows per key bounded by time span / bucket, not by
-    traffic), joined back on (key, bucket)."""
+    Rows are counted per (key, second) first; seconds are ordered inside (key, bucket)
+    and buckets by their last second, so no ordering grows with an address's traffic.
+    Of the accesses of one second the earliest has the gap to the second before, the
+    others have 0."""
     from gatewatch.config import duration_us
     bu_s = max(1, duration_us(bucket) // US_PER_S)
     keys = list(keys)
     b = (records.select(*keys, "ts").filter(F.col("ts").isNotNull())
-         .withColumn("t_s", _floor_div(F.unix_micros("ts"), US_PER_S))
-         .withColumn("bk", _floor_div(F.col("t_s"), bu_s)))
-    w_in = Window.partitionBy(*keys, "bk").orderBy("t_s")
-    b = b.withColumn("prev", F.lag("t_s").over(w_in))
-    per_bucket = b.groupBy(*keys, "bk").agg(F.max("t_s").alias("bl"))
-    per_bucket = per_bucket.withColumn(
-        "prev_bucket_last", F.lag("bl").over(Window.partitionBy(*keys).orderBy("bk")))
-    b = b.join(per_bucket.select(*keys, "bk", "prev_bucket_last"), [*keys, "bk"], "left")
-    prev = F.coalesce(F.col("prev"), F.col("prev_bucket_last"))
-    return b.select(*keys, "ts", ((F.col("t_s") - prev) * 1000).alias("gap_ms"))
+         .withColumn("t_us", F.unix_micros("ts")).withColumn("t_s", _floor_div(F.unix_micros("ts"), US_PER_S)))
+    # equal micros of one second are interchangeable, so they stay counted
+    us = b.groupBy(*keys, "t_s", "t_us", "ts").agg(F.count(F.lit(1)).alias("m"))
+    sec = us.groupBy(*keys, "t_s").agg(F.min("t_us").alias("first_us"))
+    sec = sec.withColumn("bk", _floor_div(F.col("t_s"), bu_s))
+    inside = Window.partitionBy(*keys, "bk").orderBy("t_s")
+    across = Window.partitionBy(*keys).orderBy("bk")
+    last = sec.groupBy(*keys, "bk").agg(F.max("t_s").alias("bl")).withColumn("before", F.lag("bl").over(across))
+    sec = sec.withColumn("prev", F.lag("t_s").over(inside)).join(last.select(*keys, "bk", "before"), [*keys, "bk"])
+    sec = sec.select(*keys, "t_s", "first_us", ((F.col("t_s") - F.coalesce("prev", "before")) * 1000).alias("gap"))
+    rows = us.join(sec, [*keys, "t_s"])
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
+    first = (F.col("t_us") == F.col("first_us")) & (F.col("i") == 1)
+    return rows.select(*keys, "ts", F.when(first, F.col("gap")).otherwise(F.lit(0)).cast("long").alias("gap_ms"))
 
 
 def window_features(records: DataFrame, w: WindowSpec) -> DataFrame:
-    """All eight indicators for every (window_end, ip, request) a record is scored on,
-    in pane form, sharing work between indicators:
-
-    * one ``(pane, ip, request)`` aggregate gives the score keys (each record's own
-      pane end), E2 and E3 (summed over requests) and E1 (summed over a block);
-    * one ``(pane, ip, kind, value)`` de-duplication gives E4, E7, E8;
-    * critical rows are hash-partitioned once on ``(ip, time bucket)``; that
-      partitioning serves both gap sorts, E5 per ip and E6 per (ip, request), and
-      the identical exchange is reused by both branches.
-
-    Three scans of the records instead of one per indicator."""
+    """All eight indicators for every (window_end, ip, request) a record is scored on: the
+    window that ends with the record's own pane. ``_per_ip`` gives E2-E5, E7, E8 at the panes
+    an address has, E1 comes from block counts per pane and E6 from the gaps per (ip,
+    request), each evaluated at existing panes only."""
     b = _prepared(records, w)
-    s = w.slide_us
-    p = b.groupBy("pane", "ip", "request").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("critical").cast("long")).alias("c"))
-    keys = p.select(((F.col("pane") + 1) * F.lit(s)).alias("we_us"), "ip", "request")
-    per_ip = expand_panes(p, w).groupBy("we_us", "ip").agg(
-        F.sum("n").alias("ip_count"), F.sum("c").alias("critical_count"))
-    per_block = expand_panes(p.withColumn("ip_block", ip_block(F.col("ip"))), w).groupBy(
-        "we_us", "ip_block").agg(F.sum("n").alias("block_count"))
-    vals = b.select("pane", "ip", F.expr(_KINDS)).filter(F.col("v").isNotNull()).distinct()
-    distinct = expand_panes(vals, w).select("we_us", "ip", "kind", "v").distinct().groupBy(
-        "we_us", "ip").agg(
-        F.count_if(F.col("kind") == "u").alias("ua_distinct"),
-        F.count_if(F.col("kind") == "t").alias("trip_distinct"),
-        F.count_if(F.col("kind") == "s").alias("session_distinct"))
-    gap_ip, gap_req = gap_summaries_ip_and_request(b.filter("critical"), w, w.fast_repeat_ms)
-    gap_ip = gap_ip.select("we_us", "ip", "min_gap_ms")
-    gap_req = gap_req.select("we_us", "ip", "request", F.col("fast_count").alias("fast_repeats"))
-    out = (keys.withColumn("ip_block", ip_block(F.col("ip")))
+    keys = b.groupBy("pane", "ip", "request").agg(F.count(F.lit(1)).alias("n"))
+    blocks = keys.groupBy(ip_block(F.col("ip")).alias("ip_block"), "pane").agg(F.sum("n").alias("block_count"))
+    blocks = _counted(blocks, ["ip_block"], ["block_count"], w, every=False)
+    fast = gap_summary(b.filter("critical").select("ip", "request", "t_s"), ["ip", "request"], w, w.fast_repeat_ms, every=False)
+    fast = fast.select("we_us", "ip", "request", F.col("fast_count").alias("fast_repeats"))
+    per_ip = _per_ip(b, w, every=False).withColumn("ip_block", ip_block(F.col("ip")))
+    per_ip = per_ip.join(blocks, ["ip_block", "pane"], "left").drop("pane", "ip_block")
+    out = (keys.select(_end_us(w), "ip", "request")
            .join(per_ip, ["we_us", "ip"], "left")
-           .join(distinct, ["we_us", "ip"], "left")
-           .join(gap_ip, ["we_us", "ip"], "left")
-           .join(per_block, ["we_us", "ip_block"], "left")
-           .join(gap_req, ["we_us", "ip", "request"], "left"))
+           .join(fast, ["we_us", "ip", "request"], "left"))
     zero = F.lit(0)
     return out.select(
         F.timestamp_micros("we_us").alias("window_end"), "ip", "request",

@@ -1,33 +1,21 @@
-"""Joins against small tables: checked broadcast, IP membership, regex anti-join."""
+"""Joins against rule tables: IP membership, regex anti-join.
+
+No broadcast is forced: Spark broadcasts a side below its byte threshold, known from
+the files' statistics or measured by adaptive execution, and shuffles beyond it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.functions.regex import matches_whole
-
-# Upper bound on the rows of a side we are willing to broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The bound is checked with a bounded count (``limit(max_rows + 1)``), so the
-    check itself never scans more than ``max_rows + 1`` rows. Above the bound the
-    side is returned as is and Spark plans a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
+from gatewatch.functions.regex import collect_patterns, matches_any
 
 def flag_listed_ip(df: DataFrame, listed: DataFrame, ip_col: str = "remote_addr",
                    out: str = "high_freq", keys: DataFrame | None = None) -> DataFrame:
     """Flag rows whose address is listed (value equality, fix 2.J-10).
-    ``keys`` may carry an already size-checked side (ip_name as ``__ip``, ``__hit``)."""
+    ``keys`` may carry the prepared side (ip_name as ``__ip``, ``__hit``)."""
     if keys is None:
-        keys = checked_broadcast(listed.select(F.col("ip_name").alias("__ip")).distinct()
-                                 .withColumn("__hit", F.lit(True)))
+        keys = listed_side(listed)
     return (df.join(keys, df[ip_col] == keys["__ip"], "left")
             .withColumn(out, F.coalesce(F.col("__hit"), F.lit(False)))
             .drop("__ip", "__hit"))
@@ -35,13 +23,18 @@ def flag_listed_ip(df: DataFrame, listed: DataFrame, ip_col: str = "remote_addr"
 
 def listed_ip_semi(df: DataFrame, listed: DataFrame, ip_col: str = "remote_addr") -> DataFrame:
     """keep only rows whose address is listed."""
-    keys = checked_broadcast(listed.select(F.col("ip_name").alias("__ip")).distinct())
+    keys = listed.select(F.col("ip_name").alias("__ip"))
     return df.join(keys, df[ip_col] == keys["__ip"], "left_semi")
 
 
+def listed_side(listed: DataFrame) -> DataFrame:
+    """The listed addresses as the right side of ``flag_listed_ip``."""
+    return listed.select(F.col("ip_name").alias("__ip")).distinct().withColumn("__hit", F.lit(True))
+
+
 def regex_anti_join(df: DataFrame, rules: DataFrame, col: str = "request",
                     rule_col: str = "expression") -> DataFrame:
-    """C6 / F5, join form: drop rows matching any rule (broadcast nested-loop over a
-    checked-size rule table). Use when rules are too many to fold into one pattern."""
-    r = checked_broadcast(rules.select(F.col(rule_col).alias("__rx")), 100_000)
-    return df.join(r, matches_whole(df[col], F.col("__rx")), "left_anti")
+    """Drop rows that match any rule of a table. A join on ``rlike`` could only be a
+    nested loop of rows and rules, so the rules' patterns become one expression."""
+    hit = matches_any(F.col(col), collect_patterns(rules, rule_col))
+    return df.filter(~F.coalesce(hit, F.lit(False)))

@@ -12,16 +12,15 @@ E is 0.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.config import BLACKLIST_KEY_PREFIX, BLACKLIST_TTL_S, WindowSpec
 from gatewatch.operators import features as fe
-from gatewatch.operators.lookup import checked_broadcast
 from gatewatch.sources.rules import ARG1_INDICATOR, INDICATORS
 
-MAX_FLOW_RULES = 5_000
-
 # indicator name -> feature column (fixed mapping of the eight indicator names)
 INDICATOR_COLUMNS = {
     "ipBlock": "block_count",
@@ -71,72 +70,73 @@ def threshold(indicator: Column, arg0: Column, arg1: Column) -> Column:
 
 
 def rule_hits(features: DataFrame, keys: list[str], flow_rules: DataFrame) -> DataFrame:
-    """F2 + G1, relational form: indicators unpivoted and joined to the (checked,
-    broadcast) rule table on indicator name; hit when value > threshold (strict)."""
-    long = unpivot_indicators(features, keys)
-    r = checked_broadcast(flow_rules)
-    j = long.join(r, "indicator")
+    """F2 + G1, relational form: indicators unpivoted and joined to the rule table on
+    indicator name (Spark broadcasts the rules below its size threshold); hit when
+    value > threshold (strict). A rule with an unknown indicator sees the value 0."""
+    long = unpivot_indicators(features, keys).withColumnRenamed("indicator", "__name")
+    known = F.col("indicator").isin(*INDICATOR_COLUMNS)
+    r = flow_rules.withColumn("__known", known).withColumn(
+        "__name", F.when(known, F.col("indicator")).otherwise(next(iter(INDICATOR_COLUMNS))))
+    j = long.join(r, "__name").withColumn("value", F.when(F.col("__known"), F.col("value")).otherwise(0.0))
     thr = threshold(F.col("indicator"), F.col("arg0"), F.col("arg1"))
     return j.select(*keys, "flow_id", "rule_id", "indicator", "value", "rule_status",
                     (F.col("value") > thr).alias("hit"),
                     F.when(F.col("value") > thr, F.col("rule_score")).otherwise(0).alias("s"))
 
 
-def _collect_flow_rules(flow_config: DataFrame) -> list:
-    rows = flow_config.limit(MAX_FLOW_RULES + 1).collect()
-    if len(rows) > MAX_FLOW_RULES:
-        raise ValueError("too many flow rules to compile; use rule_hits + flow_scores_relational")
-    return rows
+_FLOWS = ("array<struct<flow_id:string, flow_limit:double, rules:array<struct<"
+          "rule_id:string, slot:int, thr:double, score:double, enabled:boolean>>>>")
 
 
-def flow_score_expr(rules: list) -> Column:
-    """G2-G4 for one flow, compiled from its rule rows into one expression:
-    struct(flow_id, flow_score, flow_limit, over_limit, hit_rules)."""
-    flow_id = rules[0]["flow_id"]
-    limit = float(rules[0]["flow_limit"])
-    rules = sorted(rules, key=lambda r: r["rule_id"])
-    s_terms, e_terms, hits = [], [], []
-    for r in rules:
+def flow_table(rows: list) -> Column:
+    """The flows with their rules as one constant array (rules by id). Rule tables are
+    configuration; the plan has the same size for any number of rules."""
+    by_flow: dict = {}
+    for r in sorted(rows, key=lambda r: (r["flow_id"], r["rule_id"])):
+        f = by_flow.setdefault(r["flow_id"], {"flow_id": r["flow_id"], "flow_limit": float(r["flow_limit"]), "rules": []})
         col = INDICATOR_COLUMNS.get(r["indicator"])
-        value = F.coalesce(F.col(col).cast("double"), F.lit(0.0)) if col else F.lit(0.0)
         thr = r["arg1"] if r["indicator"] == ARG1_INDICATOR else r["arg0"]
-        hit = value > F.lit(float(thr if thr is not None else 0.0))
-        s = F.when(hit, F.lit(float(r["rule_score"]))).otherwise(F.lit(0.0))
-        s_terms.append(s)
-        hits.append(F.when(hit, F.lit(r["rule_id"])))
-        if r["rule_status"] == 0:
-            e_terms.append(s)
-    n = len(rules)
-    total = sum(s_terms[1:], s_terms[0])
-    enabled_sum = sum(e_terms[1:], e_terms[0]) if e_terms else F.lit(0.0)
-    enabled_max = (F.greatest(*e_terms) if len(e_terms) > 1 else e_terms[0]) if e_terms else F.lit(0.0)
-    score = F.when(total == 0, F.lit(0.0)).otherwise(
-        total / F.lit(10.0 * n) * (F.least(F.lit(60.0), enabled_max * 10.0) + F.lit(40.0) * enabled_sum / total))
-    return F.struct(F.lit(flow_id).alias("flow_id"), score.alias("flow_score"),
-                    F.lit(limit).alias("flow_limit"), (score > F.lit(limit)).alias("over_limit"),
-                    F.array_compact(F.array(*hits)).alias("hit_rules"))
+        f["rules"].append({"rule_id": r["rule_id"], "slot": FEATURE_COLUMNS.index(col) if col else -1,
+                           "thr": float(thr if thr is not None else 0.0), "score": float(r["rule_score"]),
+                           "enabled": r["rule_status"] == 0})
+    return F.from_json(F.lit(json.dumps(list(by_flow.values()))), _FLOWS)
 
 
 def flow_scores(features: DataFrame, flow_config: DataFrame, rows: list | None = None) -> DataFrame:
-    """One row per (input row, flow). The rule rows (configuration, size
-    checked) are compiled into column expressions, so scoring is one narrow,
-    codegen'd projection over the features: no join, no shuffle."""
-    rows = rows if rows is not None else _collect_flow_rules(flow_config)
-    by_flow: dict = {}
-    for r in rows:
-        by_flow.setdefault(r["flow_id"], []).append(r)
-    keep = [c for c in features.columns]
-    if not by_flow:
-        return features.select(*keep, F.lit(None).cast("string").alias("flow_id"),
-                               F.lit(0.0).alias("flow_score"), F.lit(None).cast("double").alias("flow_limit"),
-                               F.lit(False).alias("over_limit"),
-                               F.array().cast("array<string>").alias("hit_rules")).limit(0)
-    arr = F.array(*[flow_score_expr(v) for _, v in sorted(by_flow.items())])
-    return features.select(*keep, F.explode(arr).alias("f")).select(*keep, "f.*")
+    """One row per (input row, flow). The flows are a constant array of their rules,
+    so scoring is one narrow projection over the features, without join or shuffle."""
+    rows = rows if rows is not None else flow_config.collect()
+    keep = features.columns
+    zero = F.lit(0.0)
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), zero) for c in FEATURE_COLUMNS])
+    x = features.select(*keep, values.alias("__v"), F.explode(flow_table(rows)).alias("__f"))
+
+    def judged(r):
+        # an unknown indicator (slot -1) has the value 0
+        hit = F.when(r["slot"] < 0, zero).otherwise(F.get("__v", F.greatest(r["slot"], F.lit(0)))) > r["thr"]
+        return F.struct(r["rule_id"].alias("id"), r["enabled"].alias("on"), hit.alias("hit"),
+                        F.when(hit, r["score"]).otherwise(zero).alias("s"))
+
+    x = x.withColumn("__r", F.transform("__f.rules", judged))
+
+    def total(c):
+        return F.aggregate(c, zero, lambda a, r: a + r["s"])
+
+    on = F.filter("__r", lambda r: r["on"])
+    x = x.withColumns({"__tot": total("__r"), "__esum": total(on), "__n": F.size("__r"),
+                       "__emax": F.coalesce(F.array_max(F.transform(on, lambda r: r["s"])), zero)})
+    score = F.when(F.col("__tot") == 0, zero).otherwise(
+        F.col("__tot") / (F.col("__n") * 10.0) * (F.least(F.lit(60.0), F.col("__emax") * 10.0)
+                                                  + F.lit(40.0) * F.col("__esum") / F.col("__tot")))
+    x = x.withColumn("__score", score)
+    return x.select(*keep, F.col("__f.flow_id").alias("flow_id"), F.col("__score").alias("flow_score"),
+                    F.col("__f.flow_limit").alias("flow_limit"),
+                    (F.col("__score") > F.col("__f.flow_limit")).alias("over_limit"),
+                    F.transform(F.filter("__r", lambda r: r["hit"]), lambda r: r["id"]).alias("hit_rules"))
 
 
 def flow_scores_relational(hits: DataFrame, keys: list[str], flow_config: DataFrame) -> DataFrame:
-    """G2-G4, join form for rule sets too large to compile: aggregate ``rule_hits``
+    """G2-G4, join form: aggregate ``rule_hits``
     per (keys, flow). n counts the flow's rules from the configuration."""
     n = flow_config.groupBy("flow_id").agg(F.count(F.lit(1)).alias("n_rules"),
                                            F.first("flow_limit").alias("flow_limit"))
@@ -145,7 +145,7 @@ def flow_scores_relational(hits: DataFrame, keys: list[str], flow_config: DataFr
         F.coalesce(F.sum(F.when(F.col("rule_status") == 0, F.col("s"))), F.lit(0)).cast("double").alias("esum"),
         F.coalesce(F.max(F.when(F.col("rule_status") == 0, F.col("s"))), F.lit(0)).cast("double").alias("emax"),
         F.array_sort(F.collect_list(F.when(F.col("hit"), F.col("rule_id")))).alias("hit_rules"))
-    g = g.join(checked_broadcast(n), "flow_id")
+    g = g.join(n, "flow_id")
     score = F.when(F.col("tot") == 0, F.lit(0.0)).otherwise(
         F.col("tot") / (F.col("n_rules") * 10.0) * (F.least(F.lit(60.0), F.col("emax") * 10.0)
                                                    + F.lit(40.0) * F.col("esum") / F.col("tot")))

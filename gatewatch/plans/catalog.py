@@ -419,10 +419,8 @@ def blacklist_latest(spark, sf_dir):
 
 def _now(h: DataFrame):
     """Reference clock of the fixture, taken from the data: 30 minutes after the last
-    hit (the latest expiry minus 30 minutes). One scalar comes back to the driver and
-    becomes a literal, so the partition filter below is static and prunes folders at
-    planning time."""
-    return F.lit(h.agg((F.max("expire_at") - F.expr("INTERVAL 30 MINUTES")).alias("now")).first()["now"])
+    hit (the latest expiry minus 30 minutes), a scalar subquery of the query itself."""
+    return h.agg((F.max("expire_at") - F.expr("INTERVAL 30 MINUTES")).alias("now")).scalar()
 
 
 @query("blacklist_restore")
@@ -437,15 +435,9 @@ def blacklist_restore(spark, sf_dir):
 
 @query("blacklist_recent_partitions")
 def blacklist_recent_partitions(spark, sf_dir):
-    """Read the hourly history back from parquet, keeping this hour and the one
-    before (partition pruning on ``hour``)."""
-    import uuid
-
-    from gatewatch.session import checkpoint_dir
-    c = Ctx(spark, sf_dir)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/bl_history-{uuid.uuid4().hex}"
-    B.append_history(score_job.blacklist(c.processed(), c.tables, c.window), path)
-    h = B.read_history(spark, path)
+    """The history's rows of this hour and the one before (on the written table the
+    predicate prunes folders, see tests)."""
+    h = _history(Ctx(spark, sf_dir))
     return B.recent_partitions(h, _now(h)).select("key", "value", _us("expire_at"), "hour")
 
 

@@ -1,18 +1,18 @@
 """Shared inputs of the registered queries: driver tables, fixture rules, the access
-log view and the processed-record table (written once per session and sf folder)."""
+log view and the processed records (cached by Spark when first computed). Building a
+query starts no job but the reads of the rule tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gatewatch.config import FIXTURE_WINDOW
-from gatewatch.session import materialize, prepare, spread
-from gatewatch.sources.adapters import access_log, raw_lines
+from gatewatch.session import prepare
+from gatewatch.sources.adapters import raw_lines
 from gatewatch.sources.rules import fixture_rules
 from gatewatch.sources.tables import read_table
 
 WINDOW = FIXTURE_WINDOW
-_PROCESSED: dict = {}
 
 
 class Ctx:
@@ -30,24 +30,19 @@ class Ctx:
         return self.table("events")
 
     def raw_lines(self) -> DataFrame:
-        """Wire lines of the adapter, spread over the cores when the source is a
-        single split (a no-op for inputs that already have enough partitions)."""
-        return spread(raw_lines(self.events))
+        """Wire lines of the adapter. The driver's tables are one file of one row group, so
+        a scan of fewer files than cores is dealt out first (files are listed, nothing is
+        read); a table of many files is taken as it is."""
+        lines, cores = raw_lines(self.events), self.spark.sparkContext.defaultParallelism
+        return lines.repartition(cores) if len(self.events.inputFiles()) < cores else lines
 
     def access(self) -> DataFrame:
         """Parsed access log (C1) over the wire lines of the adapter."""
         from gatewatch.operators.ingest import parse_access_log
         return parse_access_log(self.raw_lines())
 
-    def access_view(self) -> DataFrame:
-        """Typed adapter rows, before the wire round trip."""
-        return access_log(self.events)
-
     def processed(self) -> DataFrame:
-        """Processed records (H6 output), written once as parquet in the checkpoint
-        folder: the hand-over point between the data job and the score job."""
-        key = (id(self.spark), self.sf_dir)
-        if key not in _PROCESSED:
-            from gatewatch.plans.enrich_job import enrich_lines
-            _PROCESSED[key] = materialize(enrich_lines(self.raw_lines(), self.tables), "processed")
-        return _PROCESSED[key]
+        """Processed records (H6 output), the hand-over between the data job and the score
+        job. Marked for caching: the first action computes them, equal plans share them."""
+        from gatewatch.plans.enrich_job import enrich_lines
+        return enrich_lines(self.raw_lines(), self.tables).persist()

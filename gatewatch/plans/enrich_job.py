@@ -1,8 +1,8 @@
 """H6: raw access-log lines -> processed records (the data job).
 
 A1 -> C1 -> C6 -> C8/C9 -> C10/C11 -> C12/C13/C21 -> C32 -> C34. Every step is a
-column expression over the same rows; the only shuffle-free join is the checked
-broadcast of the listed addresses, so the whole job is one narrow stage.
+column expression over the same rows; the joins are with rule tables that Spark
+broadcasts by size, so the whole job is one narrow stage.
 """
 
 from __future__ import annotations
@@ -17,16 +17,13 @@ from gatewatch.functions.regex import collect_patterns, matches_any
 from gatewatch.functions.text import md5_upper
 from gatewatch.operators import extract as X
 from gatewatch.operators.ingest import parse_access_log
-from gatewatch.operators.lookup import flag_listed_ip
-from gatewatch.session import spread
+from gatewatch.operators.lookup import flag_listed_ip, listed_side
 from gatewatch.sources import rules as R
 
 
 def class_patterns(classify_rule: DataFrame) -> dict:
-    """A5, collected: class -> regex list (configuration rows, size checked)."""
-    rows = classify_rule.limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("classification rule table too large to fold")
+    """A5, collected: class -> regex list (configuration rows)."""
+    rows = classify_rule.collect()
     names = {(0, 0): "nq", (0, 1): "nb", (1, 0): "iq", (1, 1): "ib"}
     out: dict = {}
     for r in rows:
@@ -38,20 +35,17 @@ def class_patterns(classify_rule: DataFrame) -> dict:
 
 def compiled(tables: Tables) -> dict:
     """Rule artifacts derived from one version of the rule tables, built once and kept
-    on the Tables object: folded patterns, ordered parse rules and the size-checked
-    broadcast sides. A micro-batch job reuses them until the rule version changes."""
+    on the Tables object: folded patterns, ordered parse rules and the rule sides of the
+    joins. A micro-batch job reuses them until the rule version changes."""
     c = tables.extra.get("compiled")
     if c is None:
-        from gatewatch.operators.lookup import checked_broadcast
         c = {
             "classes": class_patterns(tables.classify_rule),
             "prules": X.collect_parse_rules(tables.parse_rule),
             "url_patterns": collect_patterns(R.url_filter_rules(tables.filter_rule)),
             "critical_patterns": collect_patterns(tables.critical_page),
             "parse_rule_side": X.rule_side(tables.parse_rule),
-            "listed_side": checked_broadcast(R.high_frequency_ips(tables.ip_blacklist)
-                                             .select(F.col("ip_name").alias("__ip")).distinct()
-                                             .withColumn("__hit", F.lit(True))),
+            "listed_side": listed_side(R.high_frequency_ips(tables.ip_blacklist)),
         }
         tables.extra["compiled"] = c
     return c
@@ -109,4 +103,4 @@ def enrich(access: DataFrame, tables: Tables, id_pattern: str = ID_PATTERN,
 def enrich_lines(lines: DataFrame, tables: Tables, **kw) -> DataFrame:
     """Wire lines (``value``) -> processed records; malformed lines are left to
     ``operators.ingest.reject_rows``."""
-    return enrich(parse_access_log(spread(lines)), tables, **kw)
+    return enrich(parse_access_log(lines), tables, **kw)

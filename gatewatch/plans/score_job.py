@@ -17,8 +17,12 @@ def indicator_records(processed: DataFrame, tables: Tables) -> DataFrame:
     once as a column from the folded page regexes (refreshable, fix 2.J-29)."""
     from gatewatch.plans.enrich_job import compiled
     pats = compiled(tables)["critical_patterns"]
+    # a missing address or request is the literal NULL of the wire format, a key like any other
+    def key(c):
+        return F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("NULL")).alias(c)
+
     return processed.select(
-        "ip", "request", "user_agent", F.col("session_hash").alias("session_id"),
+        key("ip"), key("request"), "user_agent", F.col("session_hash").alias("session_id"),
         "dep_city", "arr_city", "ts",
         F.coalesce(matches_any(F.col("request"), pats), F.lit(False)).alias("critical"))
 

@@ -23,7 +23,6 @@ def build_session(master: str | None = None, app: str = "gatewatch",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.constraintPropagation.enabled": "false",
         "spark.driver.memory": "8g",
     }
     if shuffle_partitions:
@@ -40,24 +39,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings every operator relies on: UTC wall clock, so event times,
     window boundaries and the oracle agree."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    # Rule-driven plans carry many aliased expressions; constraint inference over
-    # them grows combinatorially in the optimizer (not at run time), so it is off.
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting must point at shared storage and is only read
-    here. Only when it is unset (local tests) is a scratch folder created."""
+    On a cluster that setting must point at shared storage and is only read here. Only
+    when it is unset and the master is local (tests) is a scratch folder made."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
-    d = tempfile.mkdtemp(prefix="gatewatch-ckpt-", dir=os.environ.get("GATEWATCH_SCRATCH", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", d)
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    d = tempfile.mkdtemp(prefix="gatewatch-ckpt-", dir=os.environ.get("GATEWATCH_SCRATCH"))
     spark.sparkContext.setCheckpointDir(d)
-    return d
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df, name: str):
@@ -70,14 +67,3 @@ def materialize(df, name: str):
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a DataFrame whose input has fewer partitions than the cluster has
-    cores (a single small file), before expensive per-row work. At scale the input
-    already has many splits and this is a no-op: no shuffle is added."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
