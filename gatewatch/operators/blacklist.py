@@ -67,7 +67,32 @@ def restore(history: DataFrame, store: DataFrame, now: Column) -> DataFrame:
     return live(history, now).join(store.select("key").distinct(), "key", "left_anti")
 
 
-def upsert_store(store: DataFrame, new_entries: DataFrame) -> DataFrame:
-    """Keyed store after a batch: latest entry per key over old and new rows."""
-    return latest_per_key(store.select("key", "expire_at", "value").unionByName(
+def upsert_store(store: DataFrame, new_entries: DataFrame, now: Column | None = None) -> DataFrame:
+    """Keyed store after a batch: latest entry per key over old and new rows, without
+    those that have expired at ``now``."""
+    merged = latest_per_key(store.select("key", "expire_at", "value").unionByName(
         new_entries.select("key", "expire_at", "value")))
+    return merged if now is None else merged.filter(F.col("expire_at") > now)
+
+
+STORE_SCHEMA = "key string, expire_at timestamp, value string"
+
+
+def read_store(spark, path: str, before: int | None = None):
+    """The keyed store: its newest version (before a batch id), empty if there is none."""
+    from gatewatch.streaming import files
+    found = [int(n.removeprefix("v=")) for n in files.children(spark, path) if n.startswith("v=")]
+    found = [v for v in found if (before is None or v < before) and files.exists(spark, f"{path}/v={v}/_SUCCESS")]
+    return spark.read.schema(STORE_SCHEMA).parquet(f"{path}/v={max(found)}") if found else spark.createDataFrame([], STORE_SCHEMA)
+
+
+def write_store(spark, path: str, new_entries: DataFrame, now: Column, batch_id: int, keep: int = 3) -> None:
+    """Applies a batch to the keyed store as a new version ``v=<batch_id>``; expired
+    entries leave it. A retried batch starts from the version before its own again, and
+    older versions are deleted but for the last ``keep``. The store holds live keys only."""
+    from gatewatch.streaming import files
+    path = path.rstrip("/")
+    upsert_store(read_store(spark, path, batch_id), new_entries, now).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+    old = sorted(int(n.removeprefix("v=")) for n in files.children(spark, path) if n.startswith("v="))
+    for v in old[:-keep]:
+        files.delete(spark, f"{path}/v={v}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def quick_planning(spark: SparkSession):
+    """Plans made inside skip constraint inference, which takes seconds on the data job's
+    long expressions: too much for a trigger, nothing for a batch job. The session's own
+    setting is put back afterwards."""
+    key = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -2,20 +2,19 @@
 
 Design
 ------
-* Both jobs are ``foreachBatch`` over a file or Kafka source; every write of a batch
-  goes to partitions keyed by the batch id with dynamic partition overwrite, so a
-  retried batch (after a lost executor or a restart) rewrites the same files:
-  effectively exactly once. Source offsets live in the query checkpoint, which must
-  be on shared storage (``spark.checkpoint.dir``).
+* Both jobs are ``foreachBatch`` over a file or Kafka source. File writes of a batch replace
+  that batch's own folders, so a retried batch (lost executor, restart) rewrites the same
+  files. Kafka writes are at least once: a retried batch sends its records again. Source
+  offsets live in the query checkpoint, on shared storage (``spark.checkpoint.dir``).
 * Data job: raw lines -> rejects, link counts, processed records (one parquet table
   partitioned by ``topic`` and ``batch_id``, the B1/B2 routing).
-* Score job: processed records are appended to a records table partitioned by
-  ``pane`` (event time / slide). The event-time watermark is the largest event time
-  seen minus the allowed lateness; when it passes window ends, those windows are
-  scored by the batch code over exactly the panes they cover (partition pruning),
-  so the stream's result equals the batch result. Rows older than the watermark on
-  arrival are counted and dropped.
-* Rules are re-read when their version changes (no change flags, fixes 2.J-29..31).
+* Score job: records are kept per ``pane`` (event time / slide), pane first, so a trigger
+  lists and reads only the panes its closed windows cover, with a fixed schema, and panes
+  no window needs any more are deleted. The event-time watermark is the largest event time
+  seen minus ``lateness``; windows it passes are scored by the batch code, so the stream's
+  result equals the batch result. Rows older than the watermark on arrival go to the
+  ``late`` table. Progress is one small file per batch, of which the last few are kept.
+* Rules are re-read when a new version was published (no change flags, fixes 2.J-29..31).
 """
 
 from __future__ import annotations
@@ -28,24 +27,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from gatewatch.config import REFERENCE_WINDOW, Tables, WindowSpec
+from gatewatch.config import MONITOR_TTL_S, REFERENCE_WINDOW, Tables, WindowSpec
 from gatewatch.operators import blacklist as B
 from gatewatch.operators import features as fe
+from gatewatch.operators import monitor as MO
 from gatewatch.operators import scoring as S
 from gatewatch.operators.ingest import parse_access_log, reject_rows
 from gatewatch.plans import enrich_job, score_job
-from gatewatch.session import checkpoint_dir, prepare, spread
+from gatewatch.session import prepare, quick_planning
 from gatewatch.sources import rules as R
+from gatewatch.streaming import files
 
 DEFAULT_TRIGGER = "3 seconds"  # H1: the reference's micro-batch interval
+KEEP_PROGRESS = 5              # progress files kept
 
 
 # ------------------------------------------------------------------ rules (H3, H4)
 
 class RuleSource:
-    """Versioned rule tables under ``base``: ``base/_version`` holds one row
-    ``version int``; tables live in ``base/v=<version>/<table>``. ``get`` re-reads
-    the tables only when the version changed."""
+    """Versioned rule tables under ``base``: tables live in ``base/v=<version>/<table>`` and
+    ``base/published/<version>.json`` is written last, as a whole, so a reader sees a version
+    completely or not at all. ``get`` re-reads the tables only when the version changed."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
@@ -53,13 +55,13 @@ class RuleSource:
 
     @staticmethod
     def publish(tables: Tables, base: str, version: int) -> None:
-        R.write_rules(tables, f"{base.rstrip('/')}/v={version}")
-        spark = tables.rule.sparkSession
-        spark.createDataFrame([(version,)], "version int").write.mode("overwrite").parquet(
-            f"{base.rstrip('/')}/_version")
+        base = base.rstrip("/")
+        R.write_rules(tables, f"{base}/v={version}")
+        files.write_json(tables.rule.sparkSession, f"{base}/published/{version}.json", {"version": version})
 
     def get(self) -> Tables:
-        v = self.spark.read.parquet(f"{self.base}/_version").agg(F.max("version")).first()[0]
+        names = [n for n in files.children(self.spark, f"{self.base}/published") if n.endswith(".json")]
+        v = max(int(n.removesuffix(".json")) for n in names)
         if v != self.version:
             self.tables = R.read_rules(self.spark, f"{self.base}/v={v}")
             self.version = v
@@ -84,6 +86,14 @@ def _write_batch(df: DataFrame, root: str, batch_id: int, *parts: str) -> None:
     w.parquet(f"{root.rstrip('/')}/batch_id={int(batch_id)}")
 
 
+def _write_parts(df: DataFrame, root: str, batch_id: int, part: str) -> None:
+    """Write one micro-batch to ``root/<part>=<value>/batch_id=<id>/``, replacing only the
+    folders it fills. Rows of a part are gathered into few files; large parts are split."""
+    (df.hint("rebalance", part).withColumn("batch_id", F.lit(int(batch_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part, "batch_id").parquet(root))
+
+
 # ------------------------------------------------------------------ data job (H6)
 
 @dataclass
@@ -92,48 +102,73 @@ class EnrichSink:
     rejects: str | None = None    # C1 reject table
     monitor: str | None = None    # D1-D3 link counts per batch (B6)
     rules: object = None
+    wire: str | None = None       # C35 lines of the routed records, as text
     kafka: dict | None = None     # B1/B2 over Kafka: producer options (bootstrap servers ...)
     topics: dict = field(default_factory=lambda: {"query": "query", "book": "book"})
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prepare(spark)
+        with quick_planning(prepare(batch.sparkSession)):
+            self._run(batch, batch_id)
+
+    def _run(self, batch: DataFrame, batch_id: int) -> None:
+        from gatewatch.functions.wire import serialize
         tables = self.rules.get()
-        batch = spread(batch.select("value")).persist()
+        batch = batch.select("value").persist()
+        topic = (F.when(F.col("behavior_type") == "Query", "query")
+                 .when(F.col("behavior_type") == "Book", "book"))
+        parsed = parse_access_log(batch)
+        routed = enrich_job.enrich(parsed, tables).withColumn("topic", topic).filter(F.col("topic").isNotNull())
+        several = bool(self.kafka or self.wire)
+        if several:
+            routed = routed.persist()
         try:
-            parsed = parse_access_log(batch)
-            writes = []
+            writes = [lambda: _write_batch(routed, self.out, batch_id, "topic")]
             if self.rejects:
                 writes.append(lambda: _write_batch(reject_rows(batch), self.rejects, batch_id))
             if self.monitor:
-                counts = parsed.groupBy("server_addr").agg(
-                    F.count(F.lit(1)).alias("n_requests"),
-                    F.max_by("connection_active", "ts").alias("connection_active"))
-                snap = (counts.withColumn("snapshot_at", F.current_timestamp())
-                        .withColumn("expire_at", F.current_timestamp() + F.expr("INTERVAL 86400 SECONDS")))
-                writes.append(lambda: _write_batch(snap, self.monitor, batch_id))
-            processed = enrich_job.enrich(parsed, tables)
-            topic = (F.when(F.col("behavior_type") == "Query", "query")
-                     .when(F.col("behavior_type") == "Book", "book"))
-            routed = processed.withColumn("topic", topic).filter(F.col("topic").isNotNull())
-            if self.kafka:
-                routed = routed.persist()  # written twice: files and Kafka
-            writes.append(lambda: _write_batch(routed, self.out, batch_id, "topic"))
+                writes.append(lambda: _write_batch(_snapshot(parsed), self.monitor, batch_id))
+            if self.wire:
+                writes.append(lambda: serialize(routed).select("value").write.mode("overwrite").text(
+                    f"{self.wire.rstrip('/')}/batch_id={int(batch_id)}"))
             # the writes are independent jobs over the persisted batch: submit them
             # together so their fixed per-job costs overlap
             _run_concurrently(writes)
             if self.kafka:
                 # B1/B2: one write for both record kinds; the Kafka topic is a column
-                from gatewatch.functions.wire import serialize
                 ktopic = (F.when(F.col("behavior_type") == "Query", F.lit(self.topics["query"]))
                           .otherwise(F.lit(self.topics["book"])))
                 (serialize(routed).withColumn("topic", ktopic).select("topic", "value")
                  .write.format("kafka").options(**self.kafka).save())
-                routed.unpersist()
         finally:
+            if several:
+                routed.unpersist()
             batch.unpersist()
 
 
+def _snapshot(parsed: DataFrame) -> DataFrame:
+    """Requests and latest active connections per server, with the lifetime of
+    the snapshot. The latest is the greatest (time, count), as in the batch form."""
+    counts = MO.link_counts(parsed).join(MO.link_active_latest(parsed, ("ts", "connection_active")), "server_addr")
+    return (counts.withColumn("snapshot_at", F.current_timestamp())
+            .withColumn("expire_at", F.current_timestamp() + F.expr(f"INTERVAL {MONITOR_TTL_S} SECONDS")))
+
+
+def link_snapshots(spark: SparkSession, monitor: str, now=None) -> DataFrame:
+    """The snapshots that have not expired, one JSON document per batch, with
+    ``is_last`` on the newest (the ``_LAST`` key)."""
+    now = now if now is not None else F.current_timestamp()
+    per = spark.read.parquet(monitor).filter(F.col("expire_at") > now)
+    entries = F.array_sort(F.collect_list(F.struct("server_addr", "n_requests", "connection_active")))
+    docs = per.groupBy("batch_id").agg(F.max("snapshot_at").alias("snapshot_at"), entries.alias("e"))
+
+    def as_map(c):
+        return F.map_from_arrays(F.transform("e", lambda x: x["server_addr"]), F.transform("e", lambda x: x[c]))
+
+    doc = F.to_json(F.struct(as_map("n_requests").alias("link_counts"), as_map("connection_active").alias("active_connections")))
+    last = docs.agg(F.max("batch_id").alias("m")).scalar()
+    return docs.select("batch_id", "snapshot_at", doc.alias("snapshot"), (F.col("batch_id") == last).alias("is_last"))
+
+
 def _run_concurrently(fns) -> None:
     from concurrent.futures import ThreadPoolExecutor
     if len(fns) == 1:
@@ -154,111 +189,131 @@ def start_enrich_stream(lines: DataFrame, sink: EnrichSink, checkpoint: str,
 
 # ------------------------------------------------------------------ score job (H7)
 
+RECORD_SCHEMA = ("ip string, request string, user_agent string, session_id string, dep_city string, "
+                 "arr_city string, ts timestamp, critical boolean, pane long, batch_id int")
+PROVISIONAL = -1  # batch id of entries for windows that are still open
+
+
 @dataclass
 class ScoreSink:
-    state: str                       # records table + progress, on shared storage
+    state: str                       # records, late rows and progress, on shared storage
     history: str                     # blacklist history, partitioned by hour (B3/B5)
+    lateness: str                    # how far behind the largest event time a row may arrive
     rules: object = None
     window: WindowSpec = REFERENCE_WINDOW
-    lateness: str = "0 seconds"
-    late_rows: list = field(default_factory=list)
+    store: str | None = None         # keyed store with expiry (B5), if wanted
 
     @property
     def records_path(self) -> str:
         return f"{self.state.rstrip('/')}/records"
 
+    @property
+    def late_path(self) -> str:
+        return f"{self.state.rstrip('/')}/late"
+
     @property
     def progress_path(self) -> str:
         return f"{self.state.rstrip('/')}/progress"
 
-    def _watermark_before(self, spark: SparkSession, batch_id: int):
-        # the previous batch's watermark, from memory when this sink wrote it, else
-        # from the durable progress table (restart, or a retried batch)
-        last = getattr(self, "_last", None)
-        if last is not None and last[0] == batch_id - 1:
-            return last[1]
-        try:
-            p = spark.read.parquet(self.progress_path).filter(F.col("batch_id") < batch_id)
-            return p.agg(F.max("watermark_us")).first()[0]
-        except Exception:  # noqa: BLE001 - no progress yet
-            return None
+    def _watermark_before(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The watermark of the last batch before this one, None before the first."""
+        done = [int(n.removesuffix(".json")) for n in files.children(spark, self.progress_path) if n.endswith(".json")]
+        done = [b for b in done if b < batch_id]
+        return files.read_json(spark, f"{self.progress_path}/{max(done)}.json")["watermark_us"] if done else None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with quick_planning(prepare(batch.sparkSession)):
+            self._run(batch, batch_id)
+
+    def _run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prepare(spark)
         tables = self.rules.get()
         w = self.window
+        _drop_provisional(spark, self.history)
         recs = score_job.indicator_records(batch, tables).withColumn(
             "pane", fe._floor_div(F.unix_micros("ts"), w.slide_us)).persist()
         try:
-            prev_wm = self._watermark_before(spark, batch_id)
-            on_time = recs if prev_wm is None else recs.filter(F.unix_micros("ts") >= F.lit(prev_wm))
+            prev = self._watermark_before(spark, batch_id)
+            behind = F.col("ts").isNull() | (F.unix_micros("ts") < F.lit(prev if prev is not None else -2**62))
             got = {}
 
             def batch_stats():
-                got["stats"] = recs.agg(
-                    F.max(F.unix_micros("ts")).alias("max_us"),
-                    F.count_if(F.unix_micros("ts") < F.lit(prev_wm if prev_wm is not None else -2**62))
-                    .alias("late")).first()
+                got["stats"] = recs.agg(F.max(F.unix_micros("ts")).alias("max_us"), F.count_if(behind).alias("late")).first()
+
             # independent jobs over the persisted batch: submitted together
-            _run_concurrently([batch_stats,
-                               lambda: _write_batch(on_time, self.records_path, batch_id, "pane")])
-            stats = got["stats"]
-            self.late_rows.append((batch_id, stats["late"]))
-            lateness_us = fe.duration_us_of(self.lateness)
-            max_seen = stats["max_us"]
-            if prev_wm is not None and max_seen is not None:
-                max_seen = max(max_seen, prev_wm + lateness_us)
-            wm = (max_seen - lateness_us) if max_seen is not None else prev_wm
-            spark.sql(f"SELECT CAST({'NULL' if wm is None else int(wm)} AS BIGINT) AS watermark_us") \
-                .write.mode("overwrite").parquet(f"{self.progress_path}/batch_id={int(batch_id)}")
-            self._last = (batch_id, wm)
-            if wm is None:
-                return
-            self.score_closed(spark, tables, prev_wm, wm, batch_id)
+            _run_concurrently([batch_stats, lambda: _write_parts(recs.filter(~behind), self.records_path, batch_id, "pane")])
+            if got["stats"]["late"]:
+                _write_batch(recs.filter(behind), self.late_path, batch_id)
+            seen = got["stats"]["max_us"]
+            wm = prev if seen is None else seen - fe.duration_us_of(self.lateness)
+            wm = wm if prev is None or wm is None else max(wm, prev)
+            if wm is not None:
+                self._purge(spark, prev)
+                lo = None if prev is None else (prev // w.slide_us) * w.slide_us
+                entries = self._entries(spark, tables, lo, (wm // w.slide_us) * w.slide_us)
+                if entries is not None:
+                    self._publish(spark, entries, batch_id, wm)
+            files.write_json(spark, f"{self.progress_path}/{int(batch_id)}.json", {"batch_id": int(batch_id), "watermark_us": wm})
+            for n in files.children(spark, self.progress_path):
+                if n.endswith(".json") and int(n.removesuffix(".json")) <= batch_id - KEEP_PROGRESS:
+                    files.delete(spark, f"{self.progress_path}/{n}")
         finally:
             recs.unpersist()
 
-    def score_closed(self, spark, tables, prev_wm, wm, batch_id) -> None:
-        """Score every window whose end lies in (prev_wm, wm]."""
+    def _panes(self, spark: SparkSession) -> list[int]:
+        return sorted(int(n.removeprefix("pane=")) for n in files.children(spark, self.records_path)
+                      if n.startswith("pane=") and n != "pane=__HIVE_DEFAULT_PARTITION__")
+
+    def _purge(self, spark: SparkSession, prev: int | None) -> None:
+        """Deletes panes that no window ending after the previous watermark covers; a retry of
+        this batch starts from that watermark again and finds what it needs."""
+        if prev is not None:
+            first = prev // self.window.slide_us - self.window.panes
+            for p in self._panes(spark):
+                if p < first:
+                    files.delete(spark, f"{self.records_path}/pane={p}")
+
+    def _entries(self, spark: SparkSession, tables: Tables, lo: int | None, hi: int | None) -> DataFrame | None:
+        """Blacklist entries of the windows whose end lies in (lo, hi], None for no window. The
+        bounds are multiples of the slide; None is no bound."""
         w = self.window
         s = w.slide_us
-        hi = (wm // s) * s                       # last closed window end
-        lo = ((prev_wm // s) * s) if prev_wm is not None else None
-        allrecs = spark.read.parquet(self.records_path)
-        if lo is None:
-            first_pane = allrecs.agg(F.min("pane")).first()[0]
-            if first_pane is None:
-                return
-            lo = first_pane * s
-        if hi <= lo:
-            return
-        lo_pane = lo // s - w.panes
-        recs = allrecs.filter((F.col("pane") >= lo_pane) & (F.col("pane") < hi // s)).drop("batch_id")
-        # the shared-work indicator plan; keys outside the closed range are filtered
-        # (the filter reaches the key side of the left joins)
-        feats = fe.window_features(recs, w).filter(
-            (F.unix_micros("window_end") > lo) & (F.unix_micros("window_end") <= hi))
-        scored = S.flow_scores(feats, R.flow_config(tables))
-        entries = S.blacklist_entries(scored)
-        _write_batch(B.history_rows(entries), self.history, batch_id, "hour")
+        panes = [p for p in self._panes(spark) if (lo is None or p >= lo // s - w.panes) and (hi is None or p < hi // s)]
+        if not [p for p in panes if lo is None or p >= lo // s]:
+            return None  # a window is scored for the records of its last pane
+        recs = (spark.read.schema(RECORD_SCHEMA).option("basePath", self.records_path)
+                .parquet(*[f"{self.records_path}/pane={p}" for p in panes]).drop("batch_id", "pane"))
+        feats = fe.window_features(recs, w)
+        if lo is not None:
+            feats = feats.filter(F.unix_micros("window_end") > lo)
+        return S.blacklist_entries(S.flow_scores(feats, R.flow_config(tables)))
+
+    def _publish(self, spark: SparkSession, entries: DataFrame, batch_id: int, wm: int) -> None:
+        rows = B.history_rows(entries).persist()
+        try:
+            _write_parts(rows, self.history, batch_id, "hour")
+            if self.store and batch_id != PROVISIONAL:
+                B.write_store(spark, self.store, rows, F.timestamp_micros(F.lit(wm)), batch_id)
+        finally:
+            rows.unpersist()
+
+
+def _drop_provisional(spark: SparkSession, history: str) -> None:
+    for hour in files.children(spark, history):
+        if hour.startswith("hour="):
+            files.delete(spark, f"{history.rstrip('/')}/{hour}/batch_id={PROVISIONAL}")
 
 
 def flush(sink: "ScoreSink", spark: SparkSession) -> None:
-    """Score every window that still holds data (end of input, or tests): moves the
-    watermark past the last window end."""
-    tables = sink.rules.get()
-    allrecs = spark.read.parquet(sink.records_path)
-    last = allrecs.agg(F.max("pane")).first()[0]
-    if last is None:
-        return
-    try:
-        prev = spark.read.parquet(sink.progress_path).agg(F.max("watermark_us"), F.max("batch_id")).first()
-        prev_wm, bid = prev[0], prev[1]
-    except Exception:  # noqa: BLE001
-        prev_wm, bid = None, -1
-    end = (last + sink.window.panes) * sink.window.slide_us
-    sink.score_closed(spark, tables, prev_wm, end, (bid if bid is not None else -1) + 1)
+    """Score the windows that are still open (end of input, or a look at the present). Their
+    entries stand under the batch id ``PROVISIONAL`` and are replaced by the next flush, or
+    dropped by the next batch, whose progress is as if there had been no flush."""
+    last = sink._watermark_before(spark, 2**62)
+    _drop_provisional(spark, sink.history)
+    s = sink.window.slide_us
+    entries = sink._entries(spark, sink.rules.get(), None if last is None else (last // s) * s, None)
+    if entries is not None:
+        sink._publish(spark, entries, PROVISIONAL, last or 0)
 
 
 def start_score_stream(records: DataFrame, sink: ScoreSink, checkpoint: str,
@@ -269,17 +324,32 @@ def start_score_stream(records: DataFrame, sink: ScoreSink, checkpoint: str,
     return w.start()
 
 
+@dataclass
+class WireScoreSink:
+    """A2 + C36 + H7: micro-batches of wire lines -> rejects and the score job."""
+    score: ScoreSink
+    rejects: str
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from gatewatch.functions.wire import parse, wire_rejects
+        lines = batch.select("value").persist()
+        try:
+            _write_batch(wire_rejects(lines), self.rejects, batch_id)
+            self.score(parse(lines), batch_id)
+        finally:
+            lines.unpersist()
+
+
 # ------------------------------------------------------------------ pure streaming form
 
 def windowed_features_stream(records: DataFrame, w: WindowSpec, watermark: str,
-                             exact: bool = False, lg_k: int = 12) -> DataFrame:
+                             exact: bool = True, lg_k: int = 12) -> DataFrame:
     """E1-E4, E7, E8 as a Structured Streaming windowed aggregation with a watermark
     (append mode emits each window once, when the watermark passes its end).
 
-    Distinct counts (D7): by default an HLL sketch per (window, ip), so the state of
-    one group stays a few KB however many distinct values a hot address sends;
-    ``exact=True`` keeps ``size(collect_set)`` (streaming rejects ``count_distinct``),
-    whose state grows with the distinct values."""
+    Distinct counts (D7) are exact, ``size(collect_set)`` (streaming rejects
+    ``count_distinct``), whose state grows with the distinct values. ``exact=False`` keeps an
+    HLL sketch of 2 ** lg_k registers per (window, ip) instead, with its error."""
     r = records.withColumn("trip", fe.trip_key(F.col("dep_city"), F.col("arr_city")))
     sess = F.when(F.col("critical"), F.col("session_id"))
 
@@ -313,10 +383,14 @@ def start_raw_archive(lines: DataFrame, path: str, checkpoint: str, available_no
 
 class ThroughputListener(StreamingQueryListener):
     """Per-batch row count, trigger time and rows per ms of the *same*
-    batch (fix 2.J-38), from the query progress events; no HTTP scraping."""
+    batch (fix 2.J-38), from the query progress events; no HTTP scraping. Each event is
+    written to ``path`` as one small file; nothing is kept in memory."""
+
+    SCHEMA = ("query string, batch_id long, num_input_rows long, trigger_ms long, "
+              "rows_per_ms double, at string")
 
-    def __init__(self):
-        self.rows = []
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self.path = spark, path.rstrip("/")
 
     def onQueryStarted(self, event):
         pass
@@ -325,8 +399,9 @@ class ThroughputListener(StreamingQueryListener):
         p = json.loads(event.progress.json)
         dur = p.get("durationMs", {}).get("triggerExecution") or 0
         n = p.get("numInputRows") or 0
-        self.rows.append((p.get("name"), p.get("batchId"), n, dur,
-                          (n / dur) if dur else None, p.get("timestamp")))
+        row = {"query": p.get("name"), "batch_id": p.get("batchId"), "num_input_rows": n, "trigger_ms": dur,
+               "rows_per_ms": (n / dur) if dur else None, "at": p.get("timestamp")}
+        files.write_json(self._spark, f"{self.path}/{row['query']}-{row['batch_id']}.json", row)
 
     def onQueryIdle(self, event):
         pass
@@ -334,24 +409,17 @@ class ThroughputListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
-    def snapshots(self, spark: SparkSession) -> DataFrame:
-        """Monitor snapshots; the ``_LAST`` view is ``latest_snapshot``."""
-        return spark.createDataFrame(
-            self.rows, "query string, batch_id long, num_input_rows long, trigger_ms long, "
-                       "rows_per_ms double, at string")
+    def snapshots(self) -> DataFrame:
+        """The throughput records; ``latest_snapshot`` gives the last of each query."""
+        return self._spark.read.schema(self.SCHEMA).json(self.path)
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy("query").agg(F.max_by(F.struct("*"), "batch_id").alias("last")).select("last.*")
 
 
-def stop_gracefully(query, timeout_s: float = 60.0) -> None:
-    """H5: let the running trigger finish, then stop."""
-    t = time.time()
-    while query.isActive and query.status.get("isTriggerActive") and time.time() - t < timeout_s:
+def stop_gracefully(query) -> None:
+    """H5: let the running trigger finish, however long it takes, then stop."""
+    while query.isActive and query.status.get("isTriggerActive"):
         time.sleep(0.2)
     query.stop()
-
-
-def default_state_dir(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"

@@ -1,6 +1,5 @@
 """Rule-table operators (A4-A11, F3, F4) and the checked broadcast."""
 
-from gatewatch.operators.lookup import checked_broadcast
 from gatewatch.sources import rules as R
 
 
@@ -37,16 +36,6 @@ def test_url_filter_and_ip_lists(spark):
     assert R.all_listed_ips(t.ip_blacklist).count() == 4
 
 
-def test_checked_broadcast_falls_back_above_the_bound(spark):
-    df = spark.range(10)
-    small = checked_broadcast(df, max_rows=100)
-    big = checked_broadcast(df, max_rows=5)
-    j_small = spark.range(100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
-    j_big = spark.range(100).join(big, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in j_small.lower()
-    assert "broadcast" not in j_big.lower()
-
-
 def test_rules_round_trip_through_files(spark, tmp_path):
     t = R.fixture_rules(spark)
     R.write_rules(t, str(tmp_path / "rules"))

@@ -35,7 +35,7 @@ def main():
     tmp = tempfile.mkdtemp(prefix="gw-streambench-")
     c = Ctx(spark, sf_dir)
     from pyspark.sql import Window
-    listener = J.ThroughputListener()
+    listener = J.ThroughputListener(spark, f"{tmp}/throughput")
     spark.streams.addListener(listener)
     if mode == "score":
         from gatewatch.config import FIXTURE_WINDOW
@@ -46,7 +46,7 @@ def main():
         schema = recs.select(*cols).schema
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/src/*")
         sink = J.ScoreSink(state=f"{tmp}/state", history=f"{tmp}/hist", rules=J.StaticRules(c.tables),
-                           window=FIXTURE_WINDOW)
+                           window=FIXTURE_WINDOW, lateness="0 seconds")
         q = J.start_score_stream(stream, sink, f"{tmp}/ck", available_now=True)
     else:
         lines = c.raw_lines().withColumn("chunk", F.ntile(n).over(Window.orderBy("event_id")))
@@ -59,10 +59,10 @@ def main():
     q.awaitTermination(1800)
     import time
     time.sleep(1)
-    rows = [r for r in listener.rows if r[2]]
-    durs = [r[3] for r in rows]
+    rows = sorted((r for r in listener.snapshots().collect() if r["num_input_rows"]), key=lambda r: r["batch_id"])
+    durs = [r["trigger_ms"] for r in rows]
     print(json.dumps({"metric": f"{mode}_stream_trigger_ms", "batches": len(rows),
-                      "rows_per_batch": int(statistics.median([r[2] for r in rows])) if rows else 0,
+                      "rows_per_batch": int(statistics.median([r["num_input_rows"] for r in rows])) if rows else 0,
                       "median_ms": statistics.median(durs) if durs else None,
                       "max_ms": max(durs) if durs else None,
                       "first_ms": durs[0] if durs else None}))
