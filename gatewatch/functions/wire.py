@@ -20,7 +20,8 @@ QUERY_SCHEMA = ("is_empty boolean, flight_type int, depcity string, arrcity stri
 BOOK_SCHEMA = ("flight_type int, travel_type int, flightno array<string>, depcity array<string>, "
                "arrcity array<string>, flightdate array<string>, cabin array<string>, "
                "psgname array<string>, psgtype array<string>, idtype array<string>, "
-               "idcard array<string>, contractname string, contractphone string, bookagent string")
+               "idcard array<string>, contractname string, contractphone string, bookagent string, "
+               "bookuserid string, bookunuserid string")
 
 
 def _text(c: Column) -> Column:

@@ -19,7 +19,7 @@ from gatewatch.functions.classify import BEHAVIOR
 from gatewatch.functions.masking import hash_list
 from gatewatch.functions.regex import anchored
 from gatewatch.functions.text import md5_upper
-from gatewatch.sources.rules import BOOK_FIELDS, QUERY_FIELDS
+from gatewatch.sources.rules import QUERY_FIELDS
 
 def collect_parse_rules(parse_rule: DataFrame) -> list:
     return sorted(parse_rule.collect(), key=lambda r: (r["rule_order"] if r["rule_order"] is not None else 0, r["id"]))
@@ -185,7 +185,8 @@ def book_steps(rules: list, content_type: str = "content_type", body: str = "req
         F.col("__b_idtype").alias("idtype"), hash_list(F.col("__b_idcard")).alias("idcard"),
         read_one("contractname", X.contact_name).alias("contractname"),
         md5_upper(read_one("contractphone", X.contact_phone)).alias("contractphone"),
-        read_one("bookagent").alias("bookagent"))
+        read_one("bookagent").alias("bookagent"),
+        read_one("bookuserid").alias("bookuserid"), read_one("bookunuserid").alias("bookunuserid"))
     steps.append({out: F.when(_pr("behavior_type") == BEHAVIOR["Book"], st)})
     return steps, ["__bb", "__bdoc", *[f"__b_{f}" for f in lists]]
 

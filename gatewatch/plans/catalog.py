@@ -398,6 +398,14 @@ def batch_throughput(spark, sf_dir):
     return MO.batch_throughput(a)
 
 
+@query("batch_server_counts")
+def batch_server_counts(spark, sf_dir):
+    """Requests per server in each batch."""
+    c = Ctx(spark, sf_dir)
+    a = c.access().withColumn("batch_id", fe._floor_div(F.unix_micros("ts"), c.window.slide_us))
+    return MO.batch_server_counts(a)
+
+
 # ------------------------------------------------------------------ blacklist tables
 
 def _history(c: Ctx) -> DataFrame:
@@ -423,6 +431,14 @@ def _now(h: DataFrame):
     return h.agg((F.max("expire_at") - F.expr("INTERVAL 30 MINUTES")).alias("now")).scalar()
 
 
+@query("blacklist_store")
+def blacklist_store(spark, sf_dir):
+    """The keyed store, latest live entry per key at ``now``."""
+    h = _history(Ctx(spark, sf_dir))
+    empty = h.select("key", "expire_at", "value").limit(0)
+    return B.upsert_store(empty, h, _now(h)).select("key", _us("expire_at"), "value")
+
+
 @query("blacklist_restore")
 def blacklist_restore(spark, sf_dir):
     """Latest live entries (at ``now``) whose key the store lacks; here the
@@ -580,3 +596,9 @@ def flow_rules_join(spark, sf_dir):
     return fr.join(hits, "rule_id", "left").select(
         "rule_id", "flow_id", "indicator", "rule_status",
         F.coalesce("n_hits", F.lit(0)).alias("n_hits"))
+
+
+# ------------------------------------------------------------------ irregular input
+from gatewatch.plans.irregular import QUERIES as _IRREGULAR  # noqa: E402
+
+QUERIES.update(_IRREGULAR)

@@ -453,3 +453,18 @@ ORACLES["flow_rules_join"] = _with(SCORED, """SELECT fr.rule_id, fr.flow_id, fr.
   count(h.rule_id) AS n_hits
   FROM flow_rules fr LEFT JOIN (SELECT rule_id FROM hits_s WHERE hit) h ON h.rule_id = fr.rule_id
   GROUP BY fr.rule_id, fr.flow_id, fr.indicator, fr.rule_status""")
+
+ORACLES["batch_server_counts"] = _with(ACCESS, f"""SELECT epoch_us(ts) // {H} AS batch_id, server_addr,
+  count(*) AS n_requests FROM access GROUP BY ALL""")
+ORACLES["blacklist_store"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at) AS expire_at_us, l.value
+  FROM latest l, (SELECT DISTINCT now FROM hn) n WHERE l.expire_at > n.now""")
+# C3 in SQL: each escape or character on its own, joined again
+ORACLES["cookie_unescape"] = """SELECT page_id, title, array_to_string(list_transform(
+    regexp_extract_all(title, '(?s)%u[0-9a-fA-F]{4}|%[0-9a-fA-F]{2}|.'),
+    lambda x: CASE WHEN length(x) = 6 THEN chr(('0x' || substr(x, 3))::INTEGER)
+                   WHEN length(x) = 3 THEN chr(('0x' || substr(x, 2))::INTEGER) ELSE x END), '') AS unescaped
+  FROM (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages)"""
+
+from gatewatch.plans.irregular import ORACLES as _IRREGULAR  # noqa: E402
+
+ORACLES.update(_IRREGULAR)

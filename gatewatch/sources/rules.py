@@ -3,7 +3,7 @@
 Rules are ordinary tables. ``fixture_rules`` builds the literal rule set used by the
 registered queries (FIXTURES.md); ``read_rules`` loads the same tables from parquet,
 CSV or JDBC. All rule tables are small configuration tables; operators that broadcast
-or collect them check their size first (``operators.lookup.checked_broadcast``).
+or collect them treat them as configuration.
 """
 
 from __future__ import annotations
@@ -25,9 +25,10 @@ RULE_NAME_SCHEMA = "rule_name string, rule_real_name string"
 
 QUERY_FIELDS = ("depcity", "arrcity", "flightdate", "adultnum", "childnum",
                 "infantnum", "country", "traveltype")
-BOOK_FIELDS = ("flighttype", "traveltype", "arrcity", "depcity", "flightdate", "flightno",
-               "cabin", "psgname", "psgfirname", "psgtype", "idtype", "idcard",
-               "contractname", "contractphone", "bookagent")
+# The booking columns of the rule table in its own order; the last one is ours.
+BOOK_FIELDS = ("bookuserid", "bookunuserid", "psgname", "psgtype", "idtype", "idcard",
+               "contractname", "contractphone", "depcity", "arrcity", "flightdate", "cabin",
+               "flightno", "psgfirname", "bookagent")
 PARSE_RULE_SCHEMA = (
     "rule_order int, id string, flight_type int, behavior_type int, request_match string, "
     "request_method string, is_normal_get boolean, is_normal_form boolean, "
@@ -153,14 +154,53 @@ RULE_TABLES = {
 }
 
 
+# Table names of the rule database, and the columns named otherwise than ours.
+DATABASE_TABLES = {
+    "filter_rule": "nh_filter_rule", "classify_rule": "nh_classify_rule", "parse_rule": "analyzerule",
+    "ip_blacklist": "nh_ip_blacklist", "critical_page": "nh_query_critical_pages",
+    "process_info": "nh_process_info", "strategy": "nh_strategy", "rule": "nh_rule",
+    "rule_name": "nh_rules_maintenance_table",
+}
+DATABASE_COLUMNS = {
+    "critical_page": {"expression": "criticalPageMatchExpression"},
+    "parse_rule": {
+        "request_match": "requestMatchExpression", "request_method": "requestMethod",
+        "is_normal_get": "isNormalGet", "is_normal_form": "isNormalForm",
+        "is_application_json": "isApplicationJson", "is_text_xml": "isTextXml",
+        "is_json": "isJson", "is_xml": "isXML", "form_data_field": "formDataField",
+    },
+}
+
+
+def from_database(name: str, df: DataFrame) -> DataFrame:
+    """A table of the rule database in our names and types: text booleans and numbers
+    are cast, ``query_*`` and ``book_*`` columns match without regard to case, columns that
+    the database lacks are empty. Parse rules keep the table's row order (later rules win)."""
+    have = {c.lower(): c for c in df.columns}
+    if name == "parse_rule":
+        df = df.withColumn("rule_order", F.monotonically_increasing_id())
+        have["rule_order"] = "rule_order"
+    cols = []
+    for field in RULE_TABLES[name].split(","):
+        ours, kind = field.strip().rsplit(" ", 1)
+        theirs = have.get(DATABASE_COLUMNS.get(name, {}).get(ours, ours).lower())
+        value = F.trim(F.col(theirs).cast("string")) if theirs and kind != "string" else F.col(theirs) if theirs else F.lit(None)
+        value = value.try_cast(kind)
+        cols.append((F.coalesce(value, F.lit(False)) if kind == "boolean" else value).alias(ours))
+    return df.select(*cols)
+
+
 def read_rules(spark: SparkSession, base: str, fmt: str = "parquet",
                jdbc: dict | None = None) -> Tables:
-    """A3: load every rule table from ``base/<name>`` (parquet / csv) or over JDBC
-    (``jdbc`` = options with url, user, password; table names as above)."""
+    """A3: load every rule table from ``base/<name>`` (parquet / csv), from ``base/<table>`` of
+    CSV exports of the rule database (``database_csv``: its own table and column names) or
+    from that database over JDBC (``jdbc`` = options with url, user, password)."""
     out = Tables()
     for name, schema in RULE_TABLES.items():
         if jdbc is not None:
-            df = spark.read.format("jdbc").options(**jdbc).option("dbtable", name).load()
+            df = from_database(name, spark.read.format("jdbc").options(**jdbc).option("dbtable", DATABASE_TABLES[name]).load())
+        elif fmt == "database_csv":
+            df = from_database(name, spark.read.option("header", True).csv(f"{base}/{DATABASE_TABLES[name]}"))
         elif fmt == "csv":
             df = spark.read.schema(schema).option("header", True).csv(f"{base}/{name}")
         else:
