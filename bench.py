@@ -53,7 +53,7 @@ def main() -> None:
 
     results = {}
     results["enrich_job"] = timed(lambda: run(enrich_job.enrich_lines(lines, tables)), reps)
-    processed = c.processed()
+    processed = c.hand_over()
     recs = score_job.indicator_records(processed, tables)
     results["ip_features_pane"] = timed(lambda: run(fe.ip_features(recs, w, "pane")), reps)
     results["ip_features_direct"] = timed(lambda: run(fe.ip_features(recs, w, "direct")), reps)

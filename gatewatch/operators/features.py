@@ -261,6 +261,14 @@ def ip_features(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFr
         F.coalesce(F.col("session_distinct"), F.lit(0)).cast("long").alias("session_distinct"))
 
 
+def min_intervals(records: DataFrame, w: WindowSpec) -> DataFrame:
+    """E5: shortest interval between critical accesses per (window, ip) with two or more."""
+    b = with_time(records.filter(F.col("critical")).select("ip", "ts"), w)
+    g = gap_summary(b, ["ip"], w, w.fast_repeat_ms).filter(F.col("min_gap_ms").isNotNull())
+    return g.select(F.timestamp_micros("we_us").alias("window_end"), "ip",
+                    F.col("min_gap_ms").cast("long").alias("min_interval_ms"))
+
+
 def _windowed_count(records: DataFrame, key: str, out: str, w: WindowSpec, form: str) -> DataFrame:
     if form == "direct":
         g = records.groupBy(F.unix_micros(F.window("ts", w.duration, w.slide).end).alias("we_us"), key).agg(

@@ -106,33 +106,24 @@ def flow_scores(features: DataFrame, flow_config: DataFrame, rows: list | None =
     """One row per (input row, flow). The flows are a constant array of their rules,
     so scoring is one narrow projection over the features, without join or shuffle."""
     rows = rows if rows is not None else flow_config.collect()
-    keep = features.columns
-    zero = F.lit(0.0)
-    values = F.array(*[F.coalesce(F.col(c).cast("double"), zero) for c in FEATURE_COLUMNS])
-    x = features.select(*keep, values.alias("__v"), F.explode(flow_table(rows)).alias("__f"))
-
-    def judged(r):
-        # an unknown indicator (slot -1) has the value 0
-        hit = F.when(r["slot"] < 0, zero).otherwise(F.get("__v", F.greatest(r["slot"], F.lit(0)))) > r["thr"]
-        return F.struct(r["rule_id"].alias("id"), r["enabled"].alias("on"), hit.alias("hit"),
-                        F.when(hit, r["score"]).otherwise(zero).alias("s"))
-
-    x = x.withColumn("__r", F.transform("__f.rules", judged))
-
-    def total(c):
-        return F.aggregate(c, zero, lambda a, r: a + r["s"])
-
-    on = F.filter("__r", lambda r: r["on"])
-    x = x.withColumns({"__tot": total("__r"), "__esum": total(on), "__n": F.size("__r"),
-                       "__emax": F.coalesce(F.array_max(F.transform(on, lambda r: r["s"])), zero)})
-    score = F.when(F.col("__tot") == 0, zero).otherwise(
-        F.col("__tot") / (F.col("__n") * 10.0) * (F.least(F.lit(60.0), F.col("__emax") * 10.0)
-                                                  + F.lit(40.0) * F.col("__esum") / F.col("__tot")))
-    x = x.withColumn("__score", score)
-    return x.select(*keep, F.col("__f.flow_id").alias("flow_id"), F.col("__score").alias("flow_score"),
-                    F.col("__f.flow_limit").alias("flow_limit"),
-                    (F.col("__score") > F.col("__f.flow_limit")).alias("over_limit"),
-                    F.transform(F.filter("__r", lambda r: r["hit"]), lambda r: r["id"]).alias("hit_rules"))
+    keep = [f"`{c}`" for c in features.columns]
+    values = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0D)" for c in FEATURE_COLUMNS)
+    # one pass over a flow's rules; an unknown indicator (slot -1) has the value 0. The sums
+    # are made inside the generator, so nothing above it repeats them.
+    hit = "(if(r.slot < 0, 0D, get(__v, greatest(r.slot, 0))) > r.thr)"
+    s = f"if({hit}, r.score, 0D)"
+    x = features.withColumn("__flows", flow_table(rows)).selectExpr(*keep, "__flows", f"array({values}) AS __v")
+    x = x.selectExpr(*keep, f"""explode(transform(__flows, f -> named_struct(
+        'flow_id', f.flow_id, 'flow_limit', f.flow_limit, 'n', size(f.rules), 'a', aggregate(f.rules,
+          named_struct('tot', 0D, 'esum', 0D, 'emax', CAST(NULL AS DOUBLE), 'hits', CAST(array() AS ARRAY<STRING>)),
+          (a, r) -> named_struct(
+            'tot', a.tot + {s}, 'esum', a.esum + if(r.enabled, {s}, 0D),
+            'emax', if(r.enabled, greatest(a.emax, {s}), a.emax),
+            'hits', if({hit}, concat(a.hits, array(r.rule_id)), a.hits)))))) AS __f""")
+    x = x.selectExpr(*keep, "__f.flow_id AS flow_id", """if(__f.a.tot = 0, 0D, __f.a.tot / (__f.n * 10D)
+        * (least(60D, coalesce(__f.a.emax, 0D) * 10D) + 40D * __f.a.esum / nullif(__f.a.tot, 0D))) AS flow_score""",
+                     "__f.flow_limit AS flow_limit", "__f.a.hits AS hit_rules")
+    return x.selectExpr(*keep, "flow_id", "flow_score", "flow_limit", "flow_score > flow_limit AS over_limit", "hit_rules")
 
 
 def flow_scores_relational(hits: DataFrame, keys: list[str], flow_config: DataFrame) -> DataFrame:

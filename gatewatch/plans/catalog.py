@@ -65,9 +65,7 @@ def win_ipblock_count(spark, sf_dir):
 def _ipf_col(name):
     def q(spark, sf_dir):
         c = Ctx(spark, sf_dir)
-        f = fe.ip_features(_recs(c), c.window)
-        if name == "min_interval_ms":
-            f = f.filter(F.col(name).isNotNull())
+        f = fe.min_intervals(_recs(c), c.window) if name == "min_interval_ms" else fe.ip_features(_recs(c), c.window)
         return f.select(_us("window_end"), "ip", name)
     return q
 

@@ -13,6 +13,7 @@ from gatewatch.sources.rules import fixture_rules
 from gatewatch.sources.tables import read_table
 
 WINDOW = FIXTURE_WINDOW
+HANDOVER = "gatewatch.processed:"
 
 
 class Ctx:
@@ -21,9 +22,12 @@ class Ctx:
         self.sf_dir = sf_dir
         self.tables = fixture_rules(spark)
         self.window = WINDOW
+        self._read: dict = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.sf_dir, name)
+        return self._read[name]
 
     @property
     def events(self) -> DataFrame:
@@ -43,6 +47,20 @@ class Ctx:
 
     def processed(self) -> DataFrame:
         """Processed records (H6 output), the hand-over between the data job and the score
-        job. Marked for caching: the first action computes them, equal plans share them."""
+        job: the table named by ``hand_over`` if the data job has written one, else computed
+        from the raw lines. These are marked for caching: the first action computes them,
+        equal plans share them."""
         from gatewatch.plans.enrich_job import enrich_lines
+        path = self.spark.conf.get(HANDOVER + self.sf_dir, None)
+        if path:
+            return self.spark.read.parquet(path)
         return enrich_lines(self.raw_lines(), self.tables).persist()
+
+    def hand_over(self) -> DataFrame:
+        """Runs the data job: writes the processed records to the shared folder, where
+        ``processed`` finds them from now on in this session."""
+        from gatewatch.session import materialize
+        table = materialize(self.processed(), "processed")
+        self.spark.catalog.clearCache()
+        self.spark.conf.set(HANDOVER + self.sf_dir, table.inputFiles()[0].rsplit("/", 1)[0])
+        return table

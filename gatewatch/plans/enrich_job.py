@@ -16,7 +16,7 @@ from gatewatch.functions.masking import ID_PATTERN, PHONE_PATTERN, mask_pii
 from gatewatch.functions.regex import collect_patterns, matches_any
 from gatewatch.functions.text import md5_upper
 from gatewatch.operators import extract as X
-from gatewatch.operators.ingest import parse_access_log
+from gatewatch.operators.ingest import parse_access_log, timed
 from gatewatch.operators.lookup import flag_listed_ip, listed_side
 from gatewatch.sources import rules as R
 
@@ -62,7 +62,7 @@ def enrich(access: DataFrame, tables: Tables, id_pattern: str = ID_PATTERN,
     """Parsed access-log rows (``operators.ingest.parse_access_log``) -> processed records."""
     comp = compiled(tables)
     classes, prules = comp["classes"], comp["prules"]
-    a = url_filter(access, tables)
+    a = url_filter(timed(access), tables)
     cls = C.classify_request(F.col("request"), classes)
     a = a.withColumns({
         "masked_cookie": mask_pii(F.col("http_cookie"), id_pattern, phone_pattern),

@@ -24,7 +24,7 @@ def _booked(c: Ctx) -> DataFrame:
 
 def irregular_cookies(spark, sf_dir):
     """The last readable pair wins, escapes, control characters, spaces."""
-    return I.parse_access_log(_lines(Ctx(spark, sf_dir))).select("event_id", "jsession_id", "cookie_user_id")
+    return I.timed(I.parse_access_log(_lines(Ctx(spark, sf_dir)))).select("event_id", "jsession_id", "cookie_user_id")
 
 
 def irregular_rejects(spark, sf_dir):
@@ -35,7 +35,7 @@ def irregular_rejects(spark, sf_dir):
 def irregular_trips(spark, sf_dir):
     """C11: percent-encoded dates in the referer."""
     from gatewatch.functions.classify import travel_type
-    a = I.parse_access_log(_lines(Ctx(spark, sf_dir)))
+    a = I.timed(I.parse_access_log(_lines(Ctx(spark, sf_dir))))
     return a.select("event_id", travel_type(F.col("http_referer")).alias("travel_type"))
 
 

@@ -24,6 +24,9 @@ def build_session(master: str | None = None, app: str = "gatewatch",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # call sites of every column, recorded over the Python gateway, are most of the time
+        # that building a long plan takes
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": "8g",
     }
     if shuffle_partitions:

@@ -307,8 +307,8 @@ def test_rows_in_are_scored_rejected_or_late(spark):
     c = Ctx(spark, SF_SMALL)
     lines = c.raw_lines().select("value")
     broken = lines.limit(30).select(F.regexp_replace("value", r"#CS#\d{4}-\d\d-\d\dT[^#]*#CS#", "#CS#yesterday#CS#").alias("value"))
-    from gatewatch.operators.ingest import parse_access_log, reject_rows
+    from gatewatch.operators.ingest import parse_access_log, reject_rows, timed
     both = lines.unionByName(broken).unionByName(spark.createDataFrame([(None,), ("",)], "value string"))
     bad = {r["reason"]: r["n"] for r in reject_rows(both).groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert parse_access_log(both).count() + sum(bad.values()) == both.count()
+    assert timed(parse_access_log(both)).count() + sum(bad.values()) == both.count()
     assert bad["time"] > 20 and bad["width"] >= 22
