@@ -2,7 +2,8 @@
 
 Base spans: assignments, access keys and hex runs (patterns below), leftmost and
 non-overlapping per kind, code points, end exclusive. The battery looks at other tokens of
-letters and digits. Each token's encoding is inferred (hex, base32, base36, base62, base64)
+more than one kind of letters and digits (a capital initial aside, so words are not
+judged). Each token's encoding is inferred (hex, base32, base36, base62, base64)
 and its symbols are tested against a uniform random draw from that alphabet: chi-squared of
 the counts, runs above and below the middle, serial correlation of neighbours. The three
 p-values are combined by Fisher's method. Randomness is the null hypothesis, rejected by
@@ -99,8 +100,9 @@ def _log_p(tokens: DataFrame) -> DataFrame:
 
 
 def _classes(tok: Column) -> Column:
-    """Kinds of characters in a token."""
-    return sum((tok.rlike(p).cast("int") for p in ("[a-z]", "[A-Z]", "[0-9]")), F.lit(0))
+    """Kinds of characters in a token after its first, so a capital initial is no kind."""
+    rest = F.substring(tok, F.lit(2), F.length(tok))
+    return sum((rest.rlike(p).cast("int") for p in ("[a-z]", "[A-Z]", "[0-9]")), F.lit(0))
 
 
 def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:

@@ -136,7 +136,9 @@ def test_battery_reports_random_tokens_and_clears_structured_ones(spark):
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     drawn = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(100)]
     plain = [f"Section{i}and{i}Section{i}and{i}Section{i}and{i}" for i in range(100)]
-    rows = secrets.scan(docs(spark, [f"see {t} there" for t in drawn + plain])).orderBy("doc_id").collect()
+    word = "Ertionblethlyoushundenlich"
+    rows = secrets.scan(docs(spark, [f"see {t} there" for t in [*drawn, *plain, word]])).orderBy("doc_id").collect()
+    assert not rows.pop().random
     found = [bool(r.random) for r in rows]
     assert sum(found[:100]) >= 90 and sum(found[100:]) <= 5
     one = next(r for r in rows if r.random)
