@@ -23,13 +23,19 @@ def label_to_id(label: Column, mapping: dict) -> Column:
     return expr
 
 
-def classify_request(request: Column, patterns: dict) -> Column:
-    """struct(flight_type, behavior_type) labels. Classes are tested nq, nb, iq, ib
-    and a later match overwrites, so priority is ib > iq > nb > nq; none -> Other/Other.
-    ``patterns`` maps class -> list of regexes (from ``rules_by_class``)."""
+def request_class(request: Column, patterns: dict) -> Column:
+    """Nq, nb, iq, ib or NULL. Classes are tested in that order and a later match
+    overwrites, so priority is ib > iq > nb > nq. ``patterns`` maps class -> list of regexes
+    (from ``rules_by_class``)."""
     label = F.lit(None).cast("string")
     for cls in ("nq", "nb", "iq", "ib"):
         label = F.when(matches_any(request, patterns.get(cls, [])), F.lit(cls)).otherwise(label)
+    return label
+
+
+def classify_request(request: Column, patterns: dict) -> Column:
+    """struct(flight_type, behavior_type) labels of the class; none -> Other/Other."""
+    label = request_class(request, patterns)
     # the class is found once per row (aggregate over a one-element array binds it), then
     # mapped to both labels
     def labels(c):

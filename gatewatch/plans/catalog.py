@@ -560,11 +560,7 @@ def rules_by_class(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     lists = R.rules_by_class(c.tables.classify_rule).select(
         "class", F.array_join("expressions", "|").alias("expressions"))
-    cls = C.classify_request(F.col("request"), EJ.compiled(c.tables)["classes"])
-    label = (F.when((cls["flight_type"] == "National") & (cls["behavior_type"] == "Query"), "nq")
-             .when((cls["flight_type"] == "National") & (cls["behavior_type"] == "Book"), "nb")
-             .when((cls["flight_type"] == "International") & (cls["behavior_type"] == "Query"), "iq")
-             .when((cls["flight_type"] == "International") & (cls["behavior_type"] == "Book"), "ib"))
+    label = C.request_class(F.col("request"), EJ.compiled(c.tables)["classes"])
     counts = c.access().select(label.alias("class")).filter(F.col("class").isNotNull()) \
         .groupBy("class").agg(F.count(F.lit(1)).alias("n_requests"))
     return lists.join(counts, "class", "left").select(

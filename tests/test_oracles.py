@@ -4,13 +4,15 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from gatewatch.plans.context import Ctx
 from tools.check_oracles import digest, duck
 
 NAMES = sorted(E.queries())
 
 
 @pytest.fixture(scope="module")
-def con():
+def con(spark):
+    Ctx(spark, SF_SMALL).hand_over()  # the score queries read the data job's table
     return duck(SF_SMALL)
 
 
