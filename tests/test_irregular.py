@@ -106,8 +106,8 @@ def test_rules_from_the_database_schema(spark, tmp_path):
     assert len(X.collect_parse_rules(t.parse_rule)) == 1
 
 
-BUILT = ("score_job", "win_min_interval", "ip_features", "request_gaps", "attach_features", "blacklist_restore", "blacklist_store",
-         "blacklist_recent_partitions", "enrich_job", "url_clean_antijoin", "rules_by_class", "flow_rules_join", "link_snapshot", "book_user_ids")
+BUILT = ("score_job", "win_min_interval", "request_gaps", "blacklist_restore", "blacklist_recent_partitions", "enrich_job",
+         "url_clean_antijoin", "rules_by_class", "link_snapshot")
 
 
 def test_building_a_query_reads_no_data(spark, tmp_path):

@@ -243,7 +243,7 @@ def test_state_is_bounded_over_many_triggers(spark):
     from gatewatch.sources.rules import fixture_rules
     tmp = tempfile.mkdtemp(prefix="gw-many-")
     sink = _score_sink(spark, tmp, fixture_rules(spark))
-    n = int(os.environ.get("GATEWATCH_TRIGGERS", "12"))
+    n = int(os.environ.get("GATEWATCH_TRIGGERS", "7"))
     for i in range(n):
         sink(_busy_records(spark, 3, 3 * i), i)
         assert len(os.listdir(sink.records_path)) <= 2 * (sink.window.panes + 4)
