@@ -11,12 +11,25 @@ of texts is scored by one product with the folded matrix landmarks' x weights.
 The classifier is fitted on a bounded sample: at most ``per_language`` labelled texts of each
 language (``MAX_LANGUAGES`` at most), chosen by a hash of the id; extraction runs on the
 executors and the driver gets bitmaps of ``FEATURES / 8`` bytes. Predictions read whole
-texts. Null texts and texts without a letter are ``und`` with score 0. Without labelled
+texts.
+
+The scores alone can't tell that a text is in no learned language: those of one text sum to
+2 - languages, so the best is at least 1 / languages once scaled to 0..1, and the intercept
+lifts it further. So a text must also be covered: a language's vocabulary is the features
+that most of its sample texts have (at most a ``VOCABULARY`` share of all), and the coverage
+of a text is the share of its n-grams in there, less what chance gives (0: as random
+features, 1: all). Each language's floor is ``FLOOR_SHARE`` of the ``FLOOR_QUANTILE`` of the
+coverage of its own sample texts, each by the vocabulary of the others. A text that none of
+its ``CANDIDATES`` best languages covers is ``und`` with score 0. Texts of a few letters have
+few n-grams, so junk of that length may pass; a language of very few sample texts has a
+floor near 0.
+
+Null texts and texts without a letter are ``und`` with score 0. Without labelled
 texts everything is ``und``. A null id is never learned from (it counts as held out)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -33,26 +46,41 @@ LANDMARKS = 50
 MAX_LANGUAGES = 500
 RIDGE = 1e-2
 UNKNOWN = "und"
-#: The pipeline drops documents whose best score is below this, and those without a language.
+#: The pipeline drops documents without a language (see above), and those whose best score is
+#: below this; with up to 5 languages no text scores lower.
 MIN_SCORE = 0.2
+VOCABULARY = 0.25
+FLOOR_SHARE = 0.5
+FLOOR_QUANTILE = 0.01
+CANDIDATES = 3
 BATCH = 64
 _LETTER = regex.compile(r"\p{L}")
 _BORDERS = regex.compile(r"[^\p{L}]+")
 
 
-def presence(text: str | None, out: np.ndarray) -> bool:
-    """Sets the text's features in ``out`` (FEATURES bytes); False if it has no letter."""
+def codes(text: str | None) -> np.ndarray | None:
+    """The features of the text's n-grams, one each, repeated as they are; None if it has no
+    letter."""
     if not text or not _LETTER.search(text):
-        return False
+        return None
     letters = " " + _BORDERS.sub(" ", text.lower()) + " "
     c = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), np.uint32)
-    h = c
+    h, out = c, []
     for n in range(2, max(GRAMS) + 1):
         if len(c) < n:
             break
         h = h[:-1] * np.uint32(0x01000193) ^ c[n - 1:]
         if n in GRAMS:
-            out[(h * np.uint32(0x9E3779B1)) >> np.uint32(32 - FEATURES.bit_length() + 1)] = 1
+            out.append((h * np.uint32(0x9E3779B1)) >> np.uint32(32 - FEATURES.bit_length() + 1))
+    return np.concatenate(out)
+
+
+def presence(text: str | None, out: np.ndarray) -> bool:
+    """Sets the text's features in ``out`` (FEATURES bytes); False if it has no letter."""
+    c = codes(text)
+    if c is None:
+        return False
+    out[c] = 1
     return True
 
 
@@ -61,6 +89,16 @@ class Model:
     languages: list[str]
     weights: np.ndarray  # FEATURES x languages
     bias: np.ndarray
+    vocabulary: np.ndarray = field(default_factory=lambda: np.zeros((0, FEATURES), bool))  # languages x FEATURES
+    floor: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def covered(self, c: np.ndarray, scores: np.ndarray) -> bool:
+        """Whether one of the best languages by score covers the n-grams as its floor asks."""
+        for k in np.argsort(-scores)[:CANDIDATES]:
+            chance = self.vocabulary[k].mean()
+            if self.vocabulary[k][c].mean() - chance >= self.floor[k] * (1 - chance):
+                return True
+        return False
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Presence vectors (rows of 0/1) -> one-versus-rest scores, about -1 to 1."""
@@ -74,10 +112,15 @@ class Model:
         for at in range(0, len(texts), BATCH):
             part = texts[at:at + BATCH]
             x = np.zeros((len(part), FEATURES), np.uint8)
-            known = [i for i, t in enumerate(part) if presence(t, x[i])]
+            grams = [codes(t) for t in part]
+            known = [i for i, c in enumerate(grams) if c is not None]
             if known:
+                for i in known:
+                    x[i][grams[i]] = 1
                 s = self.score(x[known])
                 for i, row in zip(known, s, strict=True):
+                    if not self.covered(grams[i], row):
+                        continue
                     k = int(np.argmax(row))
                     names[at + i], best[at + i] = self.languages[k], float(np.clip((row[k] + 1) / 2, 0, 1))
         return names, best
@@ -89,9 +132,11 @@ def fit(bitmaps: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridg
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32))
-    x = np.unpackbits(bitmaps, axis=1)[:, :FEATURES].astype(np.float32)
+    bits = np.unpackbits(bitmaps, axis=1)[:, :FEATURES]
+    x = bits.astype(np.float32)
     x /= np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
     y = np.array([languages.index(v) for v in labels])
+    known = [_vocabulary(bits[y == k]) for k in range(len(languages))]
     chosen = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(languages))])
     marks = x[chosen]
     value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
@@ -105,7 +150,20 @@ def fit(bitmaps: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridg
     one = np.c_[phi, np.ones(len(phi))]
     gram = (one * each[:, None]).T @ one + ridge * np.diag(np.r_[np.ones(phi.shape[1]), 0.0])
     w = np.linalg.lstsq(gram, (one * each[:, None]).T @ target, rcond=None)[0]
-    return Model(languages, (marks.T @ (whiten @ w[:-1])).astype(np.float32), w[-1].astype(np.float32))
+    return Model(languages, (marks.T @ (whiten @ w[:-1])).astype(np.float32), w[-1].astype(np.float32),
+                 np.array([v for v, _ in known]), np.array([f for _, f in known]))
+
+
+def _vocabulary(bits: np.ndarray) -> tuple[np.ndarray, float]:
+    """A language's features and its floor, of the presence vectors of its sample."""
+    texts = bits.sum(axis=0, dtype=np.int64)
+    least = max(1, int(np.sort(texts)[-int(VOCABULARY * FEATURES) - 1]) + 1)
+    cover = []
+    for row in bits:
+        others = texts - row >= least
+        chance = others.mean()
+        cover.append((others[row == 1].mean() - chance) / (1 - chance))
+    return texts >= least, max(0.0, FLOOR_SHARE * float(np.quantile(cover, FLOOR_QUANTILE)))
 
 
 def held_out(doc_id: Column) -> Column:

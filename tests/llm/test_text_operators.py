@@ -169,6 +169,19 @@ def test_held_out_accuracy_and_unknown(spark):
     assert [r.p.lang for r in odd[:4]] == ["und"] * 4 and all(r.p.score == 0 for r in odd[:4])
 
 
+def test_texts_in_no_learned_language_are_dropped(spark):
+    data = spark.read.parquet(f"{SF}/documents.parquet")
+    n, rng = data.count(), random.Random(3)
+    scripts = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0x4E00, 0x5200)))]
+    junk = ["".join(rng.choice(letters + " " * (len(letters) // 6)) for _ in range(size)) for letters in scripts for size in (60, 300, 3000, 100_000)]
+    extra = spark.createDataFrame([(-1 - i, t, None, "s", 0) for i, t in enumerate(junk)], data.schema)
+    got = language_id.known_language(data.unionByName(extra))
+    ids = {r.doc_id for r in got.select("doc_id").collect()}
+    assert len(ids) == n and min(ids) >= 0
+    model = language_id.train(data)
+    assert model.predict(junk) == ([language_id.UNKNOWN] * len(junk), pytest.approx([0.0] * len(junk)))
+
+
 def test_folded_product_equals_kernel_form():
     import numpy as np
     rng = np.random.default_rng(0)
