@@ -315,6 +315,19 @@ def test_wrapper_finds_the_main_element_and_template_texts(spark):
         assert t == "\n".join([f"Title {i}", *[f"Paragraph {i}.{k} with its own words." for k in range(i % 3 + 1)]])
 
 
+def test_class_names_drop_whole_tokens_and_no_frame_of_the_main_text(spark):
+    article = "<article><p>One.</p><p>Two.</p></article>"
+    frames = ["layout has-sidebar", "content no-sidebar", "page-header-fixed", "post-with-comments", "ad-free", "layout sidebar"]
+    got = texts(spark, [page(f"<div class='{c}'>{article}</div>") for c in frames] + [page(f"<form id=f>{article}<p class=menu>x</p></form>")])
+    assert got == ["One.\nTwo."] * 7
+    got = texts(spark, [
+        page("<article><p>Post.</p></article><article class='comment even'><p>Me too.</p></article>"),
+        page("<article><p>Post 2.</p><div class=comments><article><p>Inner.</p></article></div></article>"),
+        page("<main><p>Post 3.</p></main><div class=comments><article><p>Said.</p></article></div>"),
+        page("<div class='body'><p>Post 4.</p></div><article class=comment><p>Also.</p></article>")])
+    assert got == ["Post.", "Post 2.", "Post 3.", "Post 4."]
+
+
 def test_alignment_gives_repeats_optionals_and_slots():
     a, b = (html_extract.page_wrapper(html_extract.Page(page(x))) for x in ("<div><p>t</p><p>u</p><p>v</p></div>", "<div><p>t</p></div><section><p>w</p></section>"))
     w = {e[0]: e for e in html_extract.align(a, b)}
