@@ -315,6 +315,14 @@ def test_wrapper_finds_the_main_element_and_template_texts(spark):
         assert t == "\n".join([f"Title {i}", *[f"Paragraph {i}.{k} with its own words." for k in range(i % 3 + 1)]])
 
 
+def test_headline_and_intro_beside_the_body_stay(spark):
+    def post(i):
+        return (f"<div class=post><h1>Title {i}</h1><div class=intro><p>Intro {i}.</p></div><div class=body><p>{f'long {i} ' * 60}</p></div>"
+                f"<div class=part><p>Part {i}.</p></div></div><div class=box><ul><li><a href=/{i}>story {i} of many</a></li></ul></div>")
+    got = texts(spark, [page(post(i)) for i in range(6)])
+    assert got == [f"Title {i}\nIntro {i}.\n{(f'long {i} ' * 60).strip()}\nPart {i}." for i in range(6)]
+
+
 def test_class_names_drop_whole_tokens_and_no_frame_of_the_main_text(spark):
     article = "<article><p>One.</p><p>Two.</p></article>"
     frames = ["layout has-sidebar", "content no-sidebar", "page-header-fixed", "post-with-comments", "ad-free", "layout sidebar"]
