@@ -323,6 +323,21 @@ def test_headline_and_intro_beside_the_body_stay(spark):
     assert got == [f"Title {i}\nIntro {i}.\n{(f'long {i} ' * 60).strip()}\nPart {i}." for i in range(6)]
 
 
+def test_counts_go_on_when_a_wrapper_is_full(spark):
+    first = page("<section>" + "".join(f"<div class=k{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}><p>Long {i}</p></div>" for i in range(1100)) + "</section>")
+    def later(i):
+        return page(f"<div class=post><p>Body {i} with words of its own.</p></div><div class=press><p>By the example press.</p></div>")
+    df = spark.createDataFrame([(i, "http://full.example/x", first if i == 0 else later(i)) for i in range(9)], PAGES).coalesce(1)
+    got = [r.text for r in html_extract.extract(df).orderBy("page_id").collect()]
+    assert got[0] == "\n".join(f"Long {i}" for i in range(1100))
+    assert got[1:] == [f"Body {i} with words of its own." for i in range(1, 9)]
+
+
+def test_main_element_of_a_boilerplate_name_is_read(spark):
+    got = texts(spark, [page(f"<div class='page overlay'><p>Body {i} with words of its own.</p></div>") for i in range(5)])
+    assert got == [f"Body {i} with words of its own." for i in range(5)]
+
+
 def test_class_names_drop_whole_tokens_and_no_frame_of_the_main_text(spark):
     article = "<article><p>One.</p><p>Two.</p></article>"
     frames = ["layout has-sidebar", "content no-sidebar", "page-header-fixed", "post-with-comments", "ad-free", "layout sidebar"]
