@@ -323,6 +323,17 @@ def test_headline_and_intro_beside_the_body_stay(spark):
     assert got == [f"Title {i}\nIntro {i}.\n{(f'long {i} ' * 60).strip()}\nPart {i}." for i in range(6)]
 
 
+def test_template_texts_inside_article_go_and_copies_stay(spark):
+    def body(i):
+        return f"<article><h1>Title {i}</h1><p>Story {i} has its own words, and a few more.</p><p class=credit>Printed by the press.</p><div class=most-read><p>Most read</p></div></article>"
+    got = texts(spark, [page(body(i)) for i in range(6)])
+    assert got == [f"Title {i}\nStory {i} has its own words, and a few more." for i in range(6)]
+    same = texts(spark, [page(body(1))] * 4)
+    assert same == ["Title 1\nStory 1 has its own words, and a few more.\nPrinted by the press.\nMost read"] * 4
+    near = texts(spark, [page(f"<article><h1>Title</h1><p>{'The same words. ' * 9}</p><p>Mine {i}.</p></article>") for i in range(4)])
+    assert all(t.startswith("Title\nThe same words.") and t.endswith(f"Mine {i}.") for i, t in enumerate(near))
+
+
 def test_counts_go_on_when_a_wrapper_is_full(spark):
     first = page("<section>" + "".join(f"<div class=k{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}><p>Long {i}</p></div>" for i in range(1100)) + "</section>")
     def later(i):
