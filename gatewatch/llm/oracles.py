@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gatewatch.llm import mixing, sharding
+from gatewatch.llm import conversation, line_dedup, mixing, sharding, vector_codes
 
 
 def op2_sql(limit: int = sharding.SHARD_BYTES, depth: int = 24) -> str:
@@ -86,10 +86,110 @@ m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS best FROM g)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to FROM m"""
 
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP11 = f"""
+WITH l AS (SELECT doc_id, i, line, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_BLANKS}) AS key
+           FROM (SELECT doc_id, unnest(range(1, len(a) + 1)) AS i, unnest(a) AS line
+                 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents))),
+c AS (SELECT key FROM l WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS})
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(c.key)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN c ON l.key = c.key GROUP BY doc_id"""
+
+
+def op12_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """Every round as two tables: the assignment of all parts, then the next codebooks. A
+    squared distance times ``entries`` plus the entry's index orders entries with their ties."""
+    part = f"v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})]"
+    sql = f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, p, {part} AS s FROM k, range({parts}) t(p)),
+seed AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS e, v FROM k ORDER BY vec_id LIMIT {entries}),
+b0 AS MATERIALIZED (SELECT p, e, {part} AS c FROM seed, range({parts}) t(p))"""
+    for n in range(rounds + 1):
+        sql += f""",
+a{n} AS MATERIALIZED (
+  SELECT r, p, s, min(list_sum(list_transform(range(1, len(s) + 1), lambda i: (s[i] - c[i]) * (s[i] - c[i]))) * {entries} + e)::BIGINT AS m
+  FROM x JOIN b{n} b USING (p) GROUP BY r, p, s)"""
+        if n < rounds:
+            sql += f""",
+b{n + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(u.c, b.c) AS c FROM b{n} b LEFT JOIN (
+    SELECT p, e, list(floor(t::DOUBLE / n)::BIGINT ORDER BY i) AS c FROM (
+      SELECT p, m % {entries} AS e, i, sum(s[i]) AS t, count(*) AS n FROM a{n}, LATERAL (SELECT unnest(range(1, len(s) + 1)) AS i) GROUP BY ALL)
+    GROUP BY p, e) u ON b.p = u.p AND b.e = u.e)"""
+    return sql + f""",
+f AS (SELECT r, string_agg('0' || substr('0123456789abcdef', (m % {entries})::INT + 1, 1), '' ORDER BY p) AS code,
+             sum(m // {entries})::BIGINT AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+FROM k JOIN f USING (r)"""
+
+
+def op13_sql() -> str:
+    """Row by row, the least (cost, edits) of every automaton state; up to two inserts may
+    stand before a row and at the end."""
+    c = conversation
+    role = {q: to for q, (_, to) in c.WANTED.items()}
+    inserts = [(q, q, 0, "") for q in range(4)] + [(q, role[q], c.INSERT, "I") for q in range(4)] + [(q, role[role[q]], 2 * c.INSERT, "II") for q in range(4)]
+    edits = [(code, q, to, w, name) for (code, q), es in c.EDITS.items() if code for name, w, n, to in es if n]
+    values = lambda rows: ", ".join(str(r) for r in rows)
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 20 AS kind FROM t),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+      FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+f AS (SELECT *, NOT regexp_matches(text, '{_WS}') AS blank, NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut FROM o),
+g AS MATERIALIZED (
+  SELECT *, CASE WHEN blank OR nth > 1 THEN '-' WHEN cut THEN upper(k) ELSE k END AS code
+  FROM (SELECT *, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'x' END AS k FROM f)),
+n AS MATERIALIZED (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE NOT blank AND nth > 1) AS duplicate, count(*) FILTER (WHERE NOT blank AND nth = 1 AND cut) AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND (before[1] || role[1]) NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id),
+ins(q, q2, w, e) AS (VALUES {values(inserts)}),
+ed(code, q, q2, w, e) AS (VALUES {values(edits)}),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0::BIGINT, 'audit': ''}} AS best FROM n
+  UNION ALL
+  SELECT dp.conv_id, dp.i + 1, ed.q2, min({{'cost': (dp.best.cost + ins.w + ed.w)::BIGINT, 'audit': dp.best.audit || ins.e || ed.e}})
+  FROM dp JOIN g ON g.conv_id IS NOT DISTINCT FROM dp.conv_id AND g.i = dp.i + 1
+  JOIN ins ON ins.q = dp.q JOIN ed ON ed.q = ins.q2 AND ed.code = g.code GROUP BY ALL),
+done AS (
+  SELECT dp.conv_id, min({{'cost': (dp.best.cost + ins.w)::BIGINT, 'audit': dp.best.audit || ins.e}}) AS best
+  FROM dp JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.i = n.n JOIN ins ON ins.q = dp.q AND ins.q2 IN (0, 3) GROUP BY dp.conv_id),
+a AS (SELECT conv_id, best.cost AS cost, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS j FROM done),
+p AS (SELECT *, audit[j] AS e, count(*) FILTER (WHERE audit[j] <> 'I') OVER w AS i, count(*) FILTER (WHERE audit[j] <> 'D') OVER w AS place
+      FROM a WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+r AS (SELECT p.conv_id, p.j, p.e, p.place, g.role, g.text, max(CASE WHEN p.place = 1 AND p.e = 'K' AND g.role[1] = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS s
+      FROM p LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM p.conv_id AND g.i = p.i AND p.e <> 'I'),
+z AS (SELECT conv_id, string_agg(CASE e WHEN 'K' THEN role ELSE CASE (place - s) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+             || ':' || CASE e WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS out FROM r WHERE e <> 'D' GROUP BY conv_id),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(n.gaps, 0)::BIGINT AS gaps, coalesce(n.blank, 0)::BIGINT AS blank, coalesce(n.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(n.truncated, 0)::BIGINT AS truncated, coalesce(n.illegal, 0)::BIGINT AS illegal, coalesce(done.best.cost, 0)::BIGINT AS cost,
+       coalesce(done.best.audit, '') AS audit, sha256(coalesce(z.out, '')) AS repaired_sha256
+FROM c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 ORACLES = {
     "op2_sharding": op2_sql(),
     "op3_decontamination": OP3,
     "op8_quality_rules": OP8,
     "op9_source_mixing": OP9,
     "op10_warc": OP10,
+    "op11_line_dedup": OP11,
+    "op12_vector_codes": op12_sql(),
+    "op13_conversation_repair": op13_sql(),
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import (decontaminate, html_extract, language_id, mixing, quality, secrets, sharding, simhash,
-                           token_counts, warc)
+from gatewatch.llm import (conversation, decontaminate, html_extract, language_id, line_dedup, mixing, quality,
+                           secrets, sharding, simhash, token_counts, vector_codes, warc)
 from gatewatch.llm.common import read
 
 
@@ -70,6 +70,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.encode(read(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes.rows).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codes.books_sha256()).alias("codebooks_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation.damaged(read(spark, sf_dir, "conversations"))
+    return conversation.repaired_digests(rows, conversation.search_edits(rows))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,4 +94,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_sharding, op3_decontamination, op4_language_id, op5_secret_scan, op6_simhash_near_dedup,
-    op7_html_extraction, op8_quality_rules, op9_source_mixing, op10_warc, pipeline)}
+    op7_html_extraction, op8_quality_rules, op9_source_mixing, op10_warc, op11_line_dedup, op12_vector_codes, op13_conversation_repair, pipeline)}
