@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gatewatch.config import BLACKLIST_TTL_S
+
 HOUR_FORMAT = "yyyyMMddHH"
 # Schema of the history table; reading with it keeps ``hour`` a string partition
 # column (inference would turn yyyyMMddHH into an int).
@@ -57,8 +59,11 @@ def latest_per_key(history: DataFrame) -> DataFrame:
     return history.groupBy("key").agg(best.alias("b")).select("key", "b.expire_at", "b.value")
 
 
-def live(history: DataFrame, now: Column) -> DataFrame:
-    """The store: latest entry per key that has not expired at ``now``."""
+def live(history: DataFrame, now: Column, ttl_s: int = BLACKLIST_TTL_S) -> DataFrame:
+    """The store: latest entry per key that has not expired at ``now``. An entry lives for
+    ``ttl_s`` after its hour, so older hour partitions are not read."""
+    if "hour" in history.columns:
+        history = history.filter(F.col("hour") >= hour_of(now - F.expr(f"INTERVAL {int(ttl_s)} SECONDS")))
     return latest_per_key(history).filter(F.col("expire_at") > now)
 
 
@@ -78,21 +83,14 @@ def upsert_store(store: DataFrame, new_entries: DataFrame, now: Column | None =
 STORE_SCHEMA = "key string, expire_at timestamp, value string"
 
 
-def read_store(spark, path: str, before: int | None = None):
-    """The keyed store: its newest version (before a batch id), empty if there is none."""
-    from gatewatch.streaming import files
-    found = [int(n.removeprefix("v=")) for n in files.children(spark, path) if n.startswith("v=")]
-    found = [v for v in found if (before is None or v < before) and files.exists(spark, f"{path}/v={v}/_SUCCESS")]
-    return spark.read.schema(STORE_SCHEMA).parquet(f"{path}/v={max(found)}") if found else spark.createDataFrame([], STORE_SCHEMA)
-
-
-def write_store(spark, path: str, new_entries: DataFrame, now: Column, batch_id: int, keep: int = 3) -> None:
-    """Applies a batch to the keyed store as a new version ``v=<batch_id>``; expired
-    entries leave it. A retried batch starts from the version before its own again, and
-    older versions are deleted but for the last ``keep``. The store holds live keys only."""
-    from gatewatch.streaming import files
-    path = path.rstrip("/")
-    upsert_store(read_store(spark, path, batch_id), new_entries, now).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-    old = sorted(int(n.removeprefix("v=")) for n in files.children(spark, path) if n.startswith("v="))
-    for v in old[:-keep]:
-        files.delete(spark, f"{path}/v={v}")
+def read_store(spark, path: str, before: int | None = None) -> DataFrame:
+    """The keyed store's live entries: its newest version (before a batch id)."""
+    from gatewatch.streaming.store import KeyedStore
+    return KeyedStore(spark, path).read(before)
+
+
+def write_store(spark, path: str, new_entries: DataFrame, now: Column, batch_id: int) -> None:
+    """Applies a batch to the keyed store (``streaming.store``): only the buckets of its keys
+    are rewritten. A retried batch starts from the version before its own again."""
+    from gatewatch.streaming.store import KeyedStore
+    KeyedStore(spark, path).apply(new_entries, now, batch_id)

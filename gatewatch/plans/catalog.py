@@ -7,6 +7,8 @@ rounded to 6 places, so the DuckDB oracle (plans/oracles.py) compares exactly.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,10 @@ from gatewatch.operators import scoring as S
 from gatewatch.plans import enrich_job as EJ
 from gatewatch.plans import score_job
 from gatewatch.plans.context import Ctx
+from gatewatch.session import checkpoint_dir, materialize
 from gatewatch.sources import rules as R
+from gatewatch.streaming import restore
+from gatewatch.streaming.store import KeyedStore
 
 QUERIES: dict = {}
 
@@ -447,6 +452,37 @@ def blacklist_restore(spark, sf_dir):
     return B.restore(h, store, now).select("key", _us("expire_at"), "value")
 
 
+def _scratch_store(spark) -> KeyedStore:
+    return KeyedStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/stores/{uuid.uuid4().hex}", target_rows=500)
+
+
+@query("blacklist_store_buckets")
+def blacklist_store_buckets(spark, sf_dir):
+    """The history taken up by the bucketed store in four batches, read back. Each batch
+    rewrites the buckets of its keys; small buckets, so that they split on the way."""
+    h = materialize(_history(Ctx(spark, sf_dir)), "history")
+    now, store = _now(h), _scratch_store(spark)
+    quarter = F.substring("hour", 9, 2).cast("int") % 4
+    for batch_id in range(4):
+        store.apply(h.filter(quarter == batch_id), now, batch_id)
+    return store.read().select("key", _us("expire_at"), "value")
+
+
+@query("blacklist_restore_job")
+def blacklist_restore_job(spark, sf_dir):
+    """The restore job over the history partitioned by hour. The store has the
+    entries of flow P1, but its health markers are lost: the hours that can hold live entries
+    are read and the missing keys put back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stores/history-{uuid.uuid4().hex}"
+    h = _history(Ctx(spark, sf_dir))
+    h.write.partitionBy("hour").parquet(path)
+    h = B.read_history(spark, path)
+    now, store = _now(h), _scratch_store(spark)
+    store.apply(h.filter(F.col("key").endswith(":P1")), now, 0)
+    restore.restore_store(spark, path, store, now, 1)
+    return store.read().select("key", _us("expire_at"), "value")
+
+
 @query("blacklist_recent_partitions")
 def blacklist_recent_partitions(spark, sf_dir):
     """The history's rows of this hour and the one before (on the written table the

@@ -458,6 +458,7 @@ ORACLES["batch_server_counts"] = _with(ACCESS, f"""SELECT epoch_us(ts) // {H} AS
   count(*) AS n_requests FROM access GROUP BY ALL""")
 ORACLES["blacklist_store"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at) AS expire_at_us, l.value
   FROM latest l, (SELECT DISTINCT now FROM hn) n WHERE l.expire_at > n.now""")
+ORACLES["blacklist_store_buckets"] = ORACLES["blacklist_restore_job"] = ORACLES["blacklist_store"]
 # C3 in SQL: each escape or character on its own, joined again
 ORACLES["cookie_unescape"] = """SELECT page_id, title, array_to_string(list_transform(
     regexp_extract_all(title, '(?s)%u[0-9a-fA-F]{4}|%[0-9a-fA-F]{2}|.'),

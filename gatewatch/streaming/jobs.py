@@ -36,7 +36,8 @@ from gatewatch.operators.ingest import parse_access_log, reject_rows
 from gatewatch.plans import enrich_job, score_job
 from gatewatch.session import prepare, quick_planning
 from gatewatch.sources import rules as R
-from gatewatch.streaming import files
+from gatewatch.streaming import files, restore
+from gatewatch.streaming.store import KeyedStore
 
 DEFAULT_TRIGGER = "3 seconds"  # H1: the reference's micro-batch interval
 KEEP_PROGRESS = 5              # progress files kept
@@ -215,11 +216,15 @@ class ScoreSink:
     def progress_path(self) -> str:
         return f"{self.state.rstrip('/')}/progress"
 
+    def _last_batch(self, spark: SparkSession, before: int = 2**62) -> int | None:
+        """The last batch (before this one) that has ended."""
+        done = [int(n.removesuffix(".json")) for n in files.children(spark, self.progress_path) if n.endswith(".json")]
+        return max((b for b in done if b < before), default=None)
+
     def _watermark_before(self, spark: SparkSession, batch_id: int) -> int | None:
         """The watermark of the last batch before this one, None before the first."""
-        done = [int(n.removesuffix(".json")) for n in files.children(spark, self.progress_path) if n.endswith(".json")]
-        done = [b for b in done if b < batch_id]
-        return files.read_json(spark, f"{self.progress_path}/{max(done)}.json")["watermark_us"] if done else None
+        last = self._last_batch(spark, batch_id)
+        return files.read_json(spark, f"{self.progress_path}/{last}.json")["watermark_us"] if last is not None else None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with quick_planning(prepare(batch.sparkSession)):
@@ -293,7 +298,10 @@ class ScoreSink:
         try:
             _write_parts(rows, self.history, batch_id, "hour")
             if self.store and batch_id != PROVISIONAL:
-                B.write_store(spark, self.store, rows, F.timestamp_micros(F.lit(wm)), batch_id)
+                store = KeyedStore(spark, self.store)
+                store.apply(rows, F.timestamp_micros(F.lit(wm)), batch_id)
+                hours = sorted(r[0] for r in rows.select("hour").distinct().collect())
+                store.mark_hours(hours, batch_id, oldest=hours[0] if hours else None)
         finally:
             rows.unpersist()
 
@@ -319,11 +327,27 @@ def flush(sink: "ScoreSink", spark: SparkSession) -> None:
 def start_score_stream(records: DataFrame, sink: ScoreSink, checkpoint: str,
                        trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False,
                        name: str = "gatewatch-score"):
+    """Starts the score job; a keyed store that has lost hours of the history gets them back
+    first (G7), so a restart after a loss needs no step of its own."""
+    restore_after_loss(sink, records.sparkSession)
     w = records.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
 
+def restore_after_loss(sink: ScoreSink, spark: SparkSession, now=None) -> int:
+    """G7 as a job: puts the live entries of unmarked hours back into the sink's store, as of
+    the stream's watermark (or ``now``). Returns how many."""
+    done = sink._last_batch(spark)
+    if not sink.store or (done is None and now is None):
+        return 0
+    wm = sink._watermark_before(spark, 2**62)
+    if now is None and wm is None:
+        return 0
+    now = F.timestamp_micros(F.lit(wm)) if now is None else now
+    return restore.restore_store(prepare(spark), sink.history, KeyedStore(spark, sink.store), now, done or 0)
+
+
 @dataclass
 class WireScoreSink:
     """A2 + C36 + H7: micro-batches of wire lines -> rejects and the score job."""
