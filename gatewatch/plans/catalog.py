@@ -22,6 +22,7 @@ from gatewatch.operators import features as fe
 from gatewatch.operators import ingest as I
 from gatewatch.operators import lookup as L
 from gatewatch.operators import monitor as MO
+from gatewatch.operators import rule_index as RI
 from gatewatch.operators import scoring as S
 from gatewatch.plans import enrich_job as EJ
 from gatewatch.plans import score_job
@@ -628,6 +629,34 @@ def flow_rules_join(spark, sf_dir):
         F.coalesce("n_hits", F.lit(0)).alias("n_hits"))
 
 
+# ------------------------------------------------------------------ F5 by the literal index
+
+@query("url_clean_index")
+def url_clean_index(spark, sf_dir):
+    """The anti-join of ``url_clean_antijoin`` through the index of necessary literals."""
+    c = Ctx(spark, sf_dir)
+    rules = R.url_filter_rules(c.tables.filter_rule)
+    return RI.regex_anti_join(c.access(), rules).select("event_id", "request")
+
+
+def _page_rules(pages: DataFrame) -> DataFrame:
+    """A rule per site name, one per article number, and two that no literal helps."""
+    site = F.regexp_extract("url", r"([a-z]+)\.example\.", 1)
+    number = F.regexp_extract("url", r"/[a-z]{2}/(\d+)", 1)
+    rules = [F.concat(F.lit(r"https?://([a-z]+\.)?"), site, F.lit(r"\.example\.(com|net)/.*")),
+             F.concat(F.lit(r"[^?#]*/"), number, F.lit(r"(\.html|/)?([?#].*)?")), F.lit(r".{45,}"), F.lit(r".*[?&]r?ef=[a-z]{1,3}")]
+    return pages.select(F.explode(F.array(*rules)).alias("expression")).distinct().withColumn("rule_id", F.md5("expression"))
+
+
+@query("url_rule_index")
+def url_rule_index(spark, sf_dir):
+    """whole-string rules, as many as there are sites and articles, on the page URLs."""
+    pages = Ctx(spark, sf_dir).table("pages")
+    rules = _page_rules(pages)
+    hits = RI.rule_hits(pages, rules, "url").groupBy("rule_id").agg(F.count(F.lit(1)).alias("n_urls"))
+    return rules.join(hits, "rule_id", "left").select("expression", F.coalesce("n_urls", F.lit(0)).alias("n_urls"))
+
+
 # ------------------------------------------------------------------ irregular input
 from gatewatch.plans.irregular import QUERIES as _IRREGULAR  # noqa: E402
 

@@ -459,6 +459,13 @@ ORACLES["batch_server_counts"] = _with(ACCESS, f"""SELECT epoch_us(ts) // {H} AS
 ORACLES["blacklist_store"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at) AS expire_at_us, l.value
   FROM latest l, (SELECT DISTINCT now FROM hn) n WHERE l.expire_at > n.now""")
 ORACLES["blacklist_store_buckets"] = ORACLES["blacklist_restore_job"] = ORACLES["blacklist_store"]
+ORACLES["url_clean_index"] = ORACLES["url_clean_filter"]
+ORACLES["url_rule_index"] = r"""
+WITH rules AS (SELECT DISTINCT unnest([
+  'https?://([a-z]+\.)?' || regexp_extract(url, '([a-z]+)\.example\.', 1) || '\.example\.(com|net)/.*',
+  '[^?#]*/' || regexp_extract(url, '/[a-z]{2}/(\d+)', 1) || '(\.html|/)?([?#].*)?', '.{45,}', '.*[?&]r?ef=[a-z]{1,3}']) AS expression FROM pages)
+SELECT expression, count(url) AS n_urls FROM rules LEFT JOIN (SELECT DISTINCT url FROM pages) u ON regexp_full_match(url, expression)
+GROUP BY expression"""
 # C3 in SQL: each escape or character on its own, joined again
 ORACLES["cookie_unescape"] = """SELECT page_id, title, array_to_string(list_transform(
     regexp_extract_all(title, '(?s)%u[0-9a-fA-F]{4}|%[0-9a-fA-F]{2}|.'),

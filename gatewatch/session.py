@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -75,6 +76,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def ship_code(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors, once per Spark context, so that Python functions
+    find it whatever the workers' path is."""
+    context = spark.sparkContext
+    if getattr(context, "_gatewatch_shipped", False):
+        return spark
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="gatewatch-code-"), "gatewatch_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    context.addPyFile(path)
+    context._gatewatch_shipped = True
+    return spark
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back:
     cuts the lineage (a lost executor recomputes from the files, not from the
