@@ -52,7 +52,7 @@ def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), FIELD_SEP, -1)
     ok = lines.withColumn("__p", parts).filter(F.size("__p") == len(WIRE_FIELDS))
     def field(i):
-        v = F.col("__p")[i]
+        v = F.get("__p", F.lit(i))
         return F.when(v == "NULL", F.lit(None).cast("string")).otherwise(v)
     out = []
     for i, f in enumerate(WIRE_FIELDS):
@@ -60,7 +60,7 @@ def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
         if f == "high_freq":
             v = v == "true"
         elif f == "ip":
-            v = F.col("__p")[i]
+            v = F.get("__p", F.lit(i))
         elif f == "query_json":
             v = F.from_json(v, QUERY_SCHEMA)
             f = "query"

@@ -21,8 +21,9 @@ def parse_access_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     ``time_iso8601``, NULL if unreadable) and the cookie session / user ids (C5)."""
     s = _split(lines, value_col).filter(F.size("__p") == len(RAW_FIELDS))
     keep = [c for c in lines.columns if c != value_col]
-    cols = [F.col("__p")[i].alias(name) for i, name in enumerate(RAW_FIELDS[:-1])]
-    cols.append(F.col("__p")[len(RAW_FIELDS) - 1].try_cast("int").alias("connection_active"))
+    # get: a later filter on a field may be evaluated before the width is
+    cols = [F.get("__p", F.lit(i)).alias(name) for i, name in enumerate(RAW_FIELDS[:-1])]
+    cols.append(F.get("__p", F.lit(len(RAW_FIELDS) - 1)).try_cast("int").alias("connection_active"))
     out = s.select(*keep, F.col(value_col).alias("source"), *cols)
     return out.withColumns({
         "ts": F.try_to_timestamp(F.col("time_iso8601")),

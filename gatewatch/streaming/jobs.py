@@ -23,11 +23,11 @@ import json
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from gatewatch.config import MONITOR_TTL_S, REFERENCE_WINDOW, Tables, WindowSpec
+from gatewatch.config import FIELD_SEP, MONITOR_TTL_S, REFERENCE_WINDOW, Tables, WindowSpec
 from gatewatch.operators import blacklist as B
 from gatewatch.operators import features as fe
 from gatewatch.operators import monitor as MO
@@ -36,6 +36,7 @@ from gatewatch.operators.ingest import parse_access_log, reject_rows
 from gatewatch.plans import enrich_job, score_job
 from gatewatch.session import prepare, quick_planning
 from gatewatch.sources import rules as R
+from gatewatch.sources.adapters import RAW_FIELDS
 from gatewatch.streaming import files, restore
 from gatewatch.streaming.store import KeyedStore
 
@@ -170,6 +171,15 @@ def link_snapshots(spark: SparkSession, monitor: str, now=None) -> DataFrame:
     return docs.select("batch_id", "snapshot_at", doc.alias("snapshot"), (F.col("batch_id") == last).alias("is_last"))
 
 
+def _metrics(seen: Observation) -> dict:
+    """Values of an observation; none if the input was empty and planned away with its counters."""
+    from py4j.protocol import Py4JJavaError
+    try:
+        return seen.get
+    except Py4JJavaError:  # a row without fields
+        return {}
+
+
 def _run_concurrently(fns) -> None:
     from concurrent.futures import ThreadPoolExecutor
     if len(fns) == 1:
@@ -180,10 +190,28 @@ def _run_concurrently(fns) -> None:
             f.result()
 
 
+OBSERVED = "access"
+SERVERS = 7_500  # servers a batch may have for its counts to be exact
+
+
+def observed(lines: DataFrame) -> DataFrame:
+    """A raw-line stream with named metrics (lines, rejects, requests per server), gathered by
+    the pass that reads the batch and carried by its progress event. The counts per server
+    are a frequent-items sketch, which is exact up to ``SERVERS`` different servers."""
+    fields = F.split(F.col("value"), FIELD_SEP, -1)
+    whole = F.coalesce(F.size(fields) == len(RAW_FIELDS), F.lit(False))
+    at = lambda name: F.get(fields, F.lit(RAW_FIELDS.index(name)))
+    server = F.when(whole, at("server_addr"))
+    readable = whole & F.try_to_timestamp(F.when(whole, at("time_iso8601"))).isNotNull()
+    return lines.observe(
+        OBSERVED, F.count(F.lit(1)).alias("rows"), F.count_if(~readable).alias("rejects"),
+        F.call_function("approx_top_k", server, F.lit(SERVERS), F.lit(10_000)).alias("servers"))
+
+
 def start_enrich_stream(lines: DataFrame, sink: EnrichSink, checkpoint: str,
                         trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False,
                         name: str = "gatewatch-enrich"):
-    w = lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).queryName(name)
+    w = observed(lines).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
@@ -240,16 +268,15 @@ class ScoreSink:
         try:
             prev = self._watermark_before(spark, batch_id)
             behind = F.col("ts").isNull() | (F.unix_micros("ts") < F.lit(prev if prev is not None else -2**62))
-            got = {}
-
-            def batch_stats():
-                got["stats"] = recs.agg(F.max(F.unix_micros("ts")).alias("max_us"), F.count_if(behind).alias("late")).first()
-
-            # independent jobs over the persisted batch: submitted together
-            _run_concurrently([batch_stats, lambda: _write_parts(recs.filter(~behind), self.records_path, batch_id, "pane")])
-            if got["stats"]["late"]:
+            # counted by the pass that writes the records
+            stats = Observation(f"score-{int(batch_id)}")
+            counted = recs.observe(stats, F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("max_us"),
+                                   F.count_if(behind).alias("late"))
+            _write_parts(counted.filter(~behind), self.records_path, batch_id, "pane")
+            got = _metrics(stats)
+            if got.get("late"):
                 _write_batch(recs.filter(behind), self.late_path, batch_id)
-            seen = got["stats"]["max_us"]
+            seen = got.get("max_us")
             wm = prev if seen is None else seen - fe.duration_us_of(self.lateness)
             wm = wm if prev is None or wm is None else max(wm, prev)
             if wm is not None:
@@ -258,7 +285,8 @@ class ScoreSink:
                 entries = self._entries(spark, tables, lo, (wm // w.slide_us) * w.slide_us)
                 if entries is not None:
                     self._publish(spark, entries, batch_id, wm)
-            files.write_json(spark, f"{self.progress_path}/{int(batch_id)}.json", {"batch_id": int(batch_id), "watermark_us": wm})
+            files.write_json(spark, f"{self.progress_path}/{int(batch_id)}.json", {
+                "batch_id": int(batch_id), "watermark_us": wm, "rows": got.get("rows", 0), "late": got.get("late", 0)})
             for n in files.children(spark, self.progress_path):
                 if n.endswith(".json") and int(n.removesuffix(".json")) <= batch_id - KEEP_PROGRESS:
                     files.delete(spark, f"{self.progress_path}/{n}")
@@ -368,8 +396,9 @@ class WireScoreSink:
 
 def windowed_features_stream(records: DataFrame, w: WindowSpec, watermark: str,
                              exact: bool = True, lg_k: int = 12) -> DataFrame:
-    """E1-E4, E7, E8 as a Structured Streaming windowed aggregation with a watermark
-    (append mode emits each window once, when the watermark passes its end).
+    """E2-E4, E7, E8 as one Structured Streaming windowed aggregation with a watermark (append
+    mode emits each window once, when the watermark passes its end); all eight indicators:
+    ``streaming.indicators``.
 
     Distinct counts (D7) are exact, ``size(collect_set)`` (streaming rejects
     ``count_distinct``), whose state grows with the distinct values. ``exact=False`` keeps an
@@ -407,11 +436,12 @@ def start_raw_archive(lines: DataFrame, path: str, checkpoint: str, available_no
 
 class ThroughputListener(StreamingQueryListener):
     """Per-batch row count, trigger time and rows per ms of the *same*
-    batch (fix 2.J-38), from the query progress events; no HTTP scraping. Each event is
-    written to ``path`` as one small file; nothing is kept in memory."""
+    batch (fix 2.J-38), from the query progress events; no HTTP scraping, no job of its own.
+    Streams with ``observed`` metrics also have their rejects and the requests per server.
+    Each event is written to ``path`` as one small file; nothing is kept in memory."""
 
     SCHEMA = ("query string, batch_id long, num_input_rows long, trigger_ms long, "
-              "rows_per_ms double, at string")
+              "rows_per_ms double, at string, n_rows long, n_rejects long, server_counts map<string,long>")
 
     def __init__(self, spark: SparkSession, path: str):
         self._spark, self.path = spark, path.rstrip("/")
@@ -425,6 +455,10 @@ class ThroughputListener(StreamingQueryListener):
         n = p.get("numInputRows") or 0
         row = {"query": p.get("name"), "batch_id": p.get("batchId"), "num_input_rows": n, "trigger_ms": dur,
                "rows_per_ms": (n / dur) if dur else None, "at": p.get("timestamp")}
+        seen = (p.get("observedMetrics") or {}).get(OBSERVED)
+        if seen:
+            row |= {"n_rows": seen["rows"], "n_rejects": seen["rejects"],
+                    "server_counts": {x["item"]: x["count"] for x in seen["servers"] or [] if x.get("item") is not None}}
         files.write_json(self._spark, f"{self.path}/{row['query']}-{row['batch_id']}.json", row)
 
     def onQueryIdle(self, event):
