@@ -30,6 +30,7 @@ from gatewatch.plans.context import Ctx
 from gatewatch.session import checkpoint_dir, materialize
 from gatewatch.sources import rules as R
 from gatewatch.streaming import restore
+from gatewatch.streaming.archive import Archive
 from gatewatch.streaming.store import KeyedStore
 
 QUERIES: dict = {}
@@ -629,6 +630,22 @@ def flow_rules_join(spark, sf_dir):
         F.coalesce("n_hits", F.lit(0)).alias("n_hits"))
 
 
+@query("archive_compacted")
+def archive_compacted(spark, sf_dir):
+    """The raw archive by day, appended in four batches of small files, compacted
+    after the second and the last, and read back."""
+    lines = materialize(Ctx(spark, sf_dir).raw_lines().withColumn("day", F.expr("coalesce(substring(split(value, '#CS#')[8], 1, 10), '-')")), "lines")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stores/archive-{uuid.uuid4().hex}"
+    archive = Archive(spark, root, "parquet", "event_id long, value string", "day")
+    for batch in range(4):
+        lines.filter(F.col("event_id") % 4 == batch).repartition(3).write.mode("append").partitionBy("day").parquet(root)
+        if batch % 2:
+            archive.compact(target_bytes=1 << 20)
+    archive.vacuum()
+    return archive.read().groupBy("day").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("event_id").alias("n_events"),
+                                             F.sum(F.length("value")).alias("n_chars"))
+
+
 # ------------------------------------------------------------------ F5 by the literal index
 
 @query("url_clean_index")

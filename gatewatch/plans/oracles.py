@@ -459,6 +459,8 @@ ORACLES["batch_server_counts"] = _with(ACCESS, f"""SELECT epoch_us(ts) // {H} AS
 ORACLES["blacklist_store"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at) AS expire_at_us, l.value
   FROM latest l, (SELECT DISTINCT now FROM hn) n WHERE l.expire_at > n.now""")
 ORACLES["blacklist_store_buckets"] = ORACLES["blacklist_restore_job"] = ORACLES["blacklist_store"]
+ORACLES["archive_compacted"] = _with(RAW, """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_lines,
+  count(DISTINCT event_id) AS n_events, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM raw GROUP BY day""")
 ORACLES["url_clean_index"] = ORACLES["url_clean_filter"]
 ORACLES["url_rule_index"] = r"""
 WITH rules AS (SELECT DISTINCT unnest([

@@ -23,6 +23,25 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def walk(spark: SparkSession, path: str) -> dict[str, int]:
+    """Data files below a folder, with their sizes; names starting with . or _ are not data."""
+    fs, p = _fs(spark, path)
+    out: dict[str, int] = {}
+    if not fs.exists(p):
+        return out
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if name.startswith((".", "_")):
+            continue
+        full = s.getPath().toString()
+        full = "/" + full.removeprefix("file:").lstrip("/") if full.startswith("file:") else full
+        if s.isDirectory():
+            out |= walk(spark, full)
+        else:
+            out[full] = s.getLen()
+    return out
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
