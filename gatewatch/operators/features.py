@@ -16,8 +16,8 @@ No row and no distinct value is expanded to the windows that contain it:
   it has left it again; the running sum of these changes is the distinct count;
 * accesses are first counted per (key, second), as gaps are measured in whole seconds: a
   second with m accesses has m - 1 gaps of 0. Seconds are reduced to (first, last, least
-  gap, fast gaps) per time bucket and per pane, so an address that sends half of all rows
-  is a few rows before it is ordered.
+  gap, fast gaps) inside (key, pane), so an address that sends half of all rows is a row
+  per second before it is ordered, and a row per pane before its panes are.
 
 State is evaluated at points (key, last pane): for scoring the panes in which the key has
 a record, for the window tables every window that holds one of its records. The ``direct``
@@ -74,10 +74,21 @@ def pane_end(ts: Column, w: WindowSpec) -> Column:
     return F.timestamp_micros((_floor_div(t_us, w.slide_us) + 1) * F.lit(w.slide_us))
 
 
-def _covering(points: DataFrame, w: WindowSpec, pane_col: str = "pane") -> DataFrame:
-    """Points (keys, pane with a record) -> every window that holds one, by its last pane."""
-    return (points.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(w.panes - 1))))
-            .withColumn(pane_col, F.col(pane_col) + F.col("__i")).drop("__i").distinct())
+_LEAD = "lead(IF({has}, pane, NULL)) IGNORE NULLS OVER (PARTITION BY {keys} ORDER BY pane)"
+
+
+def _cover(rows: DataFrame, keys: list[str], w: WindowSpec, values: list[str], has: str = "true") -> DataFrame:
+    """Rows (keys, pane, values) in the partitions of ``keys`` -> the same plus one row without
+    values for every other window that holds a row (with ``has``), named by its last pane:
+    those up to the key's next such row, so none twice and without an exchange. ``pt`` is
+    true at the windows' rows."""
+    nxt = F.expr(_LEAD.format(has=has, keys=", ".join(keys)))
+    last = F.least(F.col("pane") + w.panes - 1, F.coalesce(F.col("__next") - 1, F.lit(2**62)))
+    points = F.when(F.expr(has), F.sequence(F.col("pane"), last)).otherwise(F.array("pane"))
+    rows = rows.withColumn("__next", nxt).withColumn("__at", F.explode(points))
+    own = F.col("__at") == F.col("pane")
+    return rows.select(*keys, F.col("__at").alias("pane"), *[F.when(own, F.col(c)).alias(c) for c in values],
+                       F.expr(has).alias("pt"))
 
 
 def _frame(keys: list[str], w: WindowSpec):
@@ -94,10 +105,7 @@ def _end_us(w: WindowSpec) -> Column:
 def _counted(per_pane: DataFrame, keys: list[str], sums: list[str], w: WindowSpec, every: bool) -> DataFrame:
     """(keys, pane, sums) -> window sums at the points."""
     if every:
-        zero = [F.lit(0).cast("long").alias(c) for c in sums]
-        per_pane = per_pane.select(*keys, "pane", *sums).unionByName(
-            _covering(per_pane.select(*keys, "pane"), w).select(*keys, "pane", *zero))
-        per_pane = per_pane.groupBy(*keys, "pane").agg(*[F.sum(c).alias(c) for c in sums])
+        per_pane = _cover(per_pane, keys, w, sums)
     f = _frame(keys, w)
     return per_pane.select(*keys, "pane", *[F.sum(c).over(f).alias(c) for c in sums])
 
@@ -120,35 +128,48 @@ def _distinct_changes(values: DataFrame, w: WindowSpec) -> DataFrame:
 
 # ---------------------------------------------------------------- gaps
 
-def _pane_gaps(crit: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int) -> DataFrame:
-    """Accesses (keys, t_s) -> (keys, pane): least gap and fast gaps inside the pane, and the
-    gap to the previous pane with an access (``cross``, ``prev_pane``)."""
-    bu = w.bucket_us
-    sec = crit.groupBy(*keys, "t_s").agg(F.count(F.lit(1)).alias("m"))
-    sec = sec.withColumn("bucket", _floor_div(F.col("t_s") * US_PER_S, bu))
-    in_bucket = Window.partitionBy(*keys, "bucket").orderBy("t_s")
-    gap = (F.col("t_s") - F.lag("t_s").over(in_bucket)) * 1000
-    sec = sec.withColumn("gap", gap)
-    same = F.col("m") - 1  # gaps of 0
-    b = sec.groupBy(*keys, "bucket").agg(
-        F.min("t_s").alias("first_s"), F.max("t_s").alias("last_s"),
-        F.min(F.when(same > 0, F.lit(0)).otherwise(F.col("gap"))).alias("gmin"),
-        ((F.sum(same) if fast_ms > 0 else F.lit(0)) + F.count_if(F.col("gap") < fast_ms)).cast("long").alias("gfast"))
-    across = Window.partitionBy(*keys).orderBy("bucket")
-    b = (b.withColumn("pane", _floor_div(F.col("bucket") * F.lit(bu), w.slide_us))
-          .withColumn("cross", (F.col("first_s") - F.lag("last_s").over(across)) * 1000)
-          .withColumn("prev_pane", F.lag("pane").over(across)))
-    inner = F.when(F.col("prev_pane") == F.col("pane"), F.col("cross"))
-    outer = F.col("prev_pane") < F.col("pane")
-    return b.groupBy(*keys, "pane").agg(
-        F.min(F.least("gmin", inner)).alias("gmin"),
-        (F.sum("gfast") + F.count_if(inner < fast_ms)).cast("long").alias("gfast"),
-        F.max(F.when(outer, F.col("cross"))).alias("cross"), F.max(F.when(outer, F.col("prev_pane"))).alias("prev_pane"))
+def _before(keys: list[str], order: list[str], count: str) -> Column:
+    """The second of the access before this row's, in the order given inside (keys, pane)."""
+    o = Window.partitionBy(*keys, "pane").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.max(F.when(F.col(count) > 0, F.col("t_s"))).over(o)
+
+
+def _gap_aggs(count: str, before: str, fast_ms: int, least: str, fast: str) -> list[Column]:
+    """Least gap and fast gaps of seconds with ``count`` accesses (m of them: m - 1 gaps of 0)
+    and the second before."""
+    m, gap = F.col(count), (F.col("t_s") - F.col(before)) * 1000
+    zeros = F.sum(F.when(m > 0, m - 1)) if fast_ms > 0 else F.lit(0)
+    return [F.min(F.when(m > 1, F.lit(0)).when(m == 1, gap)).cast("long").alias(least),
+            (F.coalesce(zeros, F.lit(0)) + F.count_if((m > 0) & (gap < fast_ms))).cast("long").alias(fast)]
+
+
+def _ends(count: str) -> list[Column]:
+    at = F.when(F.col(count) > 0, F.col("t_s"))
+    return [F.min(at).alias("first_s"), F.max(at).alias("last_s")]
+
+
+def _pane_gaps(crit: DataFrame, keys: list[str], fast_ms: int) -> DataFrame:
+    """Accesses (keys, pane, t_s) -> (keys, pane): first and last second, least gap, fast gaps."""
+    sec = crit.groupBy(*keys, "pane", "t_s").agg(F.count(F.lit(1)).alias("m"))
+    sec = sec.withColumn("before", _before(keys, ["t_s"], "m"))
+    return sec.groupBy(*keys, "pane").agg(*_ends("m"), *_gap_aggs("m", "before", fast_ms, "gmin", "gfast"))
+
+
+_CROSS = ["cross", "prev_pane"]
+
+
+def _with_cross(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the gap from the pane before with an access (``cross``, ``prev_pane``); rows
+    without an access (``last_s`` null) are passed over."""
+    over = f"IGNORE NULLS OVER (PARTITION BY {', '.join(keys)} ORDER BY pane)"
+    return rows.withColumns({
+        "cross": F.expr(f"(first_s - lag(last_s) {over}) * 1000"),
+        "prev_pane": F.expr(f"IF(first_s IS NULL, NULL, lag(IF(last_s IS NULL, NULL, pane)) {over})")})
 
 
 def _window_gaps(keys: list[str], w: WindowSpec, fast_ms: int):
     """Columns (least gap or NULL, fast gaps) of the window ending with the row's pane, for
-    rows as from ``_pane_gaps``. A gap between panes counts if both lie in the window."""
+    rows with ``gmin``, ``gfast`` and the gaps across panes. These count if both ends lie in the window."""
     f = _frame(keys, w)
     across = F.collect_list(F.when(F.col("cross").isNotNull(), F.struct("prev_pane", "cross"))).over(f)
     first = F.col("pane") - (w.panes - 1)
@@ -158,18 +179,13 @@ def _window_gaps(keys: list[str], w: WindowSpec, fast_ms: int):
     return least, fast.cast("long")
 
 
-_NO_GAPS = {"gmin": "long", "gfast": "long", "cross": "long", "prev_pane": "long"}
-
-
 def gap_summary(df: DataFrame, keys: list[str], w: WindowSpec, fast_ms: int, every: bool = True) -> DataFrame:
     """Per (window end, keys): ``min_gap_ms`` (NULL under two accesses) and ``fast_count``
-    (gaps strictly below ``fast_ms``) over accesses truncated to seconds. ``every``: at
-    every window that holds an access, else at those ending with a pane that has one."""
-    g = _pane_gaps(df, keys, w, fast_ms)
+    (gaps strictly below ``fast_ms``) over accesses (keys, pane, t_s) truncated to seconds.
+    ``every``: at every window that holds an access, else at those ending with a pane that has one."""
+    g = _with_cross(_pane_gaps(df, keys, fast_ms), keys)
     if every:
-        none = [F.lit(None).cast(t).alias(c) for c, t in _NO_GAPS.items()]
-        g = g.unionByName(_covering(g.select(*keys, "pane"), w).select(*keys, "pane", *none))
-        g = g.groupBy(*keys, "pane").agg(*[F.max(c).alias(c) for c in _NO_GAPS])
+        g = _cover(g, keys, w, ["gmin", "gfast", *_CROSS])
     least, fast = _window_gaps(keys, w, fast_ms)
     return g.select(*keys, "pane", least.alias("min_gap_ms"), fast.alias("fast_count")).select(
         _end_us(w), *keys, "min_gap_ms", "fast_count")
@@ -199,36 +215,41 @@ def _prepared(records: DataFrame, w: WindowSpec) -> DataFrame:
         trip_key(F.col("dep_city"), F.col("arr_city")).alias("trip")), w)
 
 
-def _per_ip(b: DataFrame, w: WindowSpec, every: bool) -> DataFrame:
-    """E2-E5, E7, E8 at the points (we_us, ip): counts, distinct changes and pane gaps meet
-    in one row per (ip, pane), and one ordering per address turns them into window values."""
-    kinds = {"ua": "u", "trip": "t", "session": "s"}
-    names = ["pt", "n", "c", *kinds, *_NO_GAPS]
+_DISTINCT = {"ua": "u", "trip": "t", "session": "s"}
 
-    def part(df, **have):
-        cols = [have[x].alias(x) if x in have else F.lit(None).cast("long").alias(x) for x in names]
-        return df.select("ip", "pane", *cols)
 
-    counts = b.groupBy("pane", "ip").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("critical").cast("long")).alias("c"))
+def _value_changes(b: DataFrame, w: WindowSpec) -> DataFrame:
+    """(ip, pane, ua, trip, session): changes of the distinct counts."""
     values = b.select("pane", "ip", F.expr(_KINDS)).filter(F.col("v").isNotNull()).distinct()
-    changes = _distinct_changes(values, w)
-    gaps = _pane_gaps(b.filter("critical").select("ip", "t_s"), ["ip"], w, w.fast_repeat_ms)
-    one = F.lit(1).cast("long")
-    rows = (part(counts, n=F.col("n"), c=F.col("c"), **({} if every else {"pt": one}))
-            .unionByName(part(changes, **{x: F.when(F.col("kind") == k, F.col("d")) for x, k in kinds.items()}))
-            .unionByName(part(gaps, **{x: F.col(x) for x in _NO_GAPS})))
-    if every:
-        rows = rows.unionByName(part(_covering(counts.select("ip", "pane"), w), pt=one))
-    how = {x: F.max for x in ("pt", *_NO_GAPS)}
-    rows = rows.groupBy("ip", "pane").agg(*[how.get(x, F.sum)(x).alias(x) for x in names])
-    f, upto = _frame(["ip"], w), Window.partitionBy("ip").orderBy("pane").rangeBetween(Window.unboundedPreceding, 0)
+    return _distinct_changes(values, w).select(
+        "ip", "pane", *[F.when(F.col("kind") == k, F.col("d")).alias(x) for x, k in _DISTINCT.items()])
+
+
+def _seconds(b: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows and critical rows per (keys, pane, second), added up before the exchange."""
+    return b.groupBy(*keys, "pane", "t_s").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("critical").cast("long")).alias("c"))
+
+
+def _upto(c: str) -> Column:
+    o = Window.partitionBy("ip").orderBy("pane").rangeBetween(Window.unboundedPreceding, 0)
+    return F.coalesce(F.sum(c).over(o), F.lit(0)).alias(f"{c}_distinct")
+
+
+def _per_ip(b: DataFrame, w: WindowSpec) -> DataFrame:
+    """E2-E5, E7, E8 at every window (we_us, ip) that holds a record: counts, gaps and distinct
+    changes meet in the partitions of the address, which every later step keeps."""
+    sec = _seconds(b, ["ip"]).withColumn("before", _before(["ip"], ["t_s"], "c"))
+    panes = sec.groupBy("ip", "pane").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), *_ends("c"),
+                                          *_gap_aggs("c", "before", w.fast_repeat_ms, "gmin", "gfast"))
+    rows = panes.unionByName(_value_changes(b, w), allowMissingColumns=True).repartition("ip")
+    values = ["n", "c", *_DISTINCT, "gmin", "gfast", *_CROSS]
+    rows = _cover(_with_cross(rows, ["ip"]), ["ip"], w, values, "n IS NOT NULL")
+    f = _frame(["ip"], w)
     least, _ = _window_gaps(["ip"], w, w.fast_repeat_ms)
     out = rows.select(
         "ip", "pane", "pt", F.sum("n").over(f).alias("ip_count"), F.sum("c").over(f).alias("critical_count"),
-        F.coalesce(F.sum("ua").over(upto), F.lit(0)).alias("ua_distinct"), least.alias("min_gap_ms"),
-        F.coalesce(F.sum("trip").over(upto), F.lit(0)).alias("trip_distinct"),
-        F.coalesce(F.sum("session").over(upto), F.lit(0)).alias("session_distinct"))
-    return out.filter("pt = 1").drop("pt").withColumn("we_us", _end_us(w))
+        least.alias("min_gap_ms"), *[_upto(x) for x in _DISTINCT])
+    return out.filter("pt").drop("pt").withColumn("we_us", _end_us(w))
 
 
 def ip_features(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFrame:
@@ -250,7 +271,7 @@ def ip_features(records: DataFrame, w: WindowSpec, form: str = "pane") -> DataFr
         gaps = gap_summary_direct(b.filter("critical"), ["ip"], w, w.fast_repeat_ms)
         out = main.join(gaps.select("we_us", "ip", "min_gap_ms"), ["we_us", "ip"], "left")
     else:
-        out = _per_ip(b, w, every=True)
+        out = _per_ip(b, w)
     return out.select(
         F.timestamp_micros("we_us").alias("window_end"), "ip",
         F.col("ip_count").cast("long").alias("ip_count"),
@@ -329,28 +350,45 @@ def request_gaps(records: DataFrame, keys=("ip",), bucket: str = "1 minute") ->
 
 def window_features(records: DataFrame, w: WindowSpec) -> DataFrame:
     """All eight indicators for every (window_end, ip, request) a record is scored on: the
-    window that ends with the record's own pane. ``_per_ip`` gives E2-E5, E7, E8 at the panes
-    an address has, E1 comes from block counts per pane and E6 from the gaps per (ip,
-    request), each evaluated at existing panes only."""
+    window that ends with the record's own pane.
+
+    Records are counted per (ip, request, second) first. These rows meet by (ip, pane) for the gaps
+    inside a pane, of the address and of the request, and as one row per (ip, request, pane)
+    by address, together with the changes of the distinct counts, for everything that goes
+    over panes. Block counts are a small table of their own."""
     b = _prepared(records, w)
-    keys = b.groupBy("pane", "ip", "request").agg(F.count(F.lit(1)).alias("n"))
-    blocks = keys.groupBy(ip_block(F.col("ip")).alias("ip_block"), "pane").agg(F.sum("n").alias("block_count"))
+    keys = ["ip", "request"]
+    sec = _seconds(b, keys).repartition("ip", "pane")
+    # rows of one second and several requests are gaps of 0 of the address
+    sec = sec.withColumns({"before_ip": _before(["ip"], ["t_s", "request"], "c"), "before": _before(keys, ["t_s"], "c")})
+    panes = sec.groupBy(*keys, "pane").agg(
+        F.sum("n").alias("n"), F.sum("c").alias("c"), *_ends("c"), *_gap_aggs("c", "before", w.fast_repeat_ms, "gmin_r", "gfast_r"),
+        *_gap_aggs("c", "before_ip", w.fast_repeat_ms, "gmin_i", "gfast_i"))
+    rows = panes.unionByName(_value_changes(b, w), allowMissingColumns=True).repartition("ip")
+
+    # the address: one of a pane's rows stands for the pane
+    ip = Window.partitionBy("ip").orderBy("pane")
+    here, earlier, f = ip.rangeBetween(0, 0), ip.rangeBetween(Window.unboundedPreceding, -1), _frame(["ip"], w)
+    has = F.when(F.col("last_s").isNotNull(), F.col("pane"))
+    one = F.struct("request", "n")
+    rows = rows.select(
+        "*", F.min("first_s").over(here).alias("first_ip"), F.max("last_s").over(earlier).alias("last_ip"),
+        F.max(has).over(earlier).alias("prev_pane"), (F.min(F.when(F.col("n").isNotNull(), one)).over(here) == one).alias("stands"))
+    rows = rows.withColumns({
+        "cross": F.when(F.col("stands"), (F.col("first_ip") - F.col("last_ip")) * 1000), "gmin": F.col("gmin_i"), "gfast": F.col("gfast_i")})
+    least, _ = _window_gaps(["ip"], w, w.fast_repeat_ms)
+    rows = rows.select(
+        *keys, "pane", "n", "first_s", "last_s", F.col("gmin_r").alias("gmin"), F.col("gfast_r").alias("gfast"),
+        F.sum("n").over(f).alias("ip_count"), F.sum("c").over(f).alias("critical_count"), least.alias("min_interval_ms"),
+        *[_upto(x) for x in _DISTINCT]).filter("n IS NOT NULL")
+
+    # the request, in the same partitions
+    _, fast = _window_gaps(keys, w, w.fast_repeat_ms)
+    rows = _with_cross(rows, keys).withColumn("fast_repeats", F.when(F.col("last_s").isNotNull(), fast))
+
+    blocks = b.groupBy(ip_block(F.col("ip")).alias("ip_block"), "pane").agg(F.count(F.lit(1)).alias("block_count"))
     blocks = _counted(blocks, ["ip_block"], ["block_count"], w, every=False)
-    fast = gap_summary(b.filter("critical").select("ip", "request", "t_s"), ["ip", "request"], w, w.fast_repeat_ms, every=False)
-    fast = fast.select("we_us", "ip", "request", F.col("fast_count").alias("fast_repeats"))
-    per_ip = _per_ip(b, w, every=False).withColumn("ip_block", ip_block(F.col("ip")))
-    per_ip = per_ip.join(blocks, ["ip_block", "pane"], "left").drop("pane", "ip_block")
-    out = (keys.select(_end_us(w), "ip", "request")
-           .join(per_ip, ["we_us", "ip"], "left")
-           .join(fast, ["we_us", "ip", "request"], "left"))
-    zero = F.lit(0)
-    return out.select(
-        F.timestamp_micros("we_us").alias("window_end"), "ip", "request",
-        F.coalesce("block_count", zero).cast("long").alias("block_count"),
-        F.coalesce("ip_count", zero).cast("long").alias("ip_count"),
-        F.coalesce("critical_count", zero).cast("long").alias("critical_count"),
-        F.coalesce("ua_distinct", zero).cast("long").alias("ua_distinct"),
-        F.coalesce("min_gap_ms", zero).cast("long").alias("min_interval_ms"),
-        F.coalesce("trip_distinct", zero).cast("long").alias("trip_distinct"),
-        F.coalesce("session_distinct", zero).cast("long").alias("session_distinct"),
-        F.coalesce("fast_repeats", zero).cast("long").alias("fast_repeats"))
+    out = rows.withColumn("ip_block", ip_block(F.col("ip"))).join(blocks, ["ip_block", "pane"], "left")
+    names = ("block_count", "ip_count", "critical_count", "ua_distinct", "min_interval_ms", "trip_distinct", "session_distinct", "fast_repeats")
+    return out.select(F.timestamp_micros(_end_us(w)).alias("window_end"), *keys,
+                      *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names])
