@@ -102,17 +102,20 @@ def flow_table(rows: list) -> Column:
     return F.from_json(F.lit(json.dumps(list(by_flow.values()))), _FLOWS)
 
 
-def flow_scores(features: DataFrame, flow_config: DataFrame, rows: list | None = None) -> DataFrame:
+def flow_scores(features: DataFrame, flow_config: DataFrame | None = None, rows: list | None = None,
+                flows: Column | None = None) -> DataFrame:
     """One row per (input row, flow). The flows are a constant array of their rules,
-    so scoring is one narrow projection over the features, without join or shuffle."""
-    rows = rows if rows is not None else flow_config.collect()
+    so scoring is one narrow projection over the features, without join or shuffle.
+    ``flows`` gives that array itself, as an expression over the row."""
+    if flows is None:
+        flows = flow_table(rows if rows is not None else flow_config.collect())
     keep = [f"`{c}`" for c in features.columns]
     values = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0D)" for c in FEATURE_COLUMNS)
     # one pass over a flow's rules; an unknown indicator (slot -1) has the value 0. The sums
     # are made inside the generator, so nothing above it repeats them.
     hit = "(if(r.slot < 0, 0D, get(__v, greatest(r.slot, 0))) > r.thr)"
     s = f"if({hit}, r.score, 0D)"
-    x = features.withColumn("__flows", flow_table(rows)).selectExpr(*keep, "__flows", f"array({values}) AS __v")
+    x = features.withColumn("__flows", flows).selectExpr(*keep, "__flows", f"array({values}) AS __v")
     x = x.selectExpr(*keep, f"""explode(transform(__flows, f -> named_struct(
         'flow_id', f.flow_id, 'flow_limit', f.flow_limit, 'n', size(f.rules), 'a', aggregate(f.rules,
           named_struct('tot', 0D, 'esum', 0D, 'emax', CAST(NULL AS DOUBLE), 'hits', CAST(array() AS ARRAY<STRING>)),

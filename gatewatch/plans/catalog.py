@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gatewatch.config import WindowSpec
 from gatewatch.functions import classify as C
 from gatewatch.functions import masking as M
 from gatewatch.functions import params as P
@@ -20,12 +21,15 @@ from gatewatch.functions import xml as X
 from gatewatch.operators import blacklist as B
 from gatewatch.operators import features as fe
 from gatewatch.operators import ingest as I
+from gatewatch.operators import ip_set as IP
 from gatewatch.operators import lookup as L
 from gatewatch.operators import monitor as MO
 from gatewatch.operators import rule_index as RI
 from gatewatch.operators import scoring as S
+from gatewatch.operators import sketches as SK
 from gatewatch.plans import enrich_job as EJ
 from gatewatch.plans import score_job
+from gatewatch.plans import versions as VE
 from gatewatch.plans.context import Ctx
 from gatewatch.session import checkpoint_dir, materialize
 from gatewatch.sources import rules as R
@@ -646,6 +650,66 @@ def archive_compacted(spark, sf_dir):
                                              F.sum(F.length("value")).alias("n_chars"))
 
 
+# ------------------------------------------------------------------ address sets, sketches, rules as of event time
+
+@query("listed_ip_bitmap")
+def listed_ip_bitmap(spark, sf_dir):
+    """Addresses of every third user and two blocks, tested by bucket and bit."""
+    a = Ctx(spark, sf_dir).access()
+    last = F.element_at(F.split("remote_addr", r"\."), -1).cast("int")
+    listed = a.filter(last % 3 == 0).select(F.col("remote_addr").alias("ip_name")).distinct()
+    blocks = spark.createDataFrame([("10.3.0.0/16",), ("10.5.2.0/24",)], "ip_name string")
+    return IP.flag_in_set(a.select("event_id", "remote_addr"), IP.ip_set(listed.unionByName(blocks)))
+
+
+def _sketch_windows(spark, sf_dir, w) -> DataFrame:
+    table = materialize(SK.sketch_table(_recs(Ctx(spark, sf_dir)), "2 hours"), "sketches")
+    return SK.window_distincts(table, w, "2 hours").select(_us("window_end"), "ip", *SK.KINDS.values())
+
+
+@query("sketch_distincts")
+def sketch_distincts(spark, sf_dir):
+    """Distinct counts of the windows from a table of two-hour sketches."""
+    return _sketch_windows(spark, sf_dir, Ctx(spark, sf_dir).window)
+
+
+@query("sketch_distincts_half_day")
+def sketch_distincts_half_day(spark, sf_dir):
+    """The same sketches for tumbling windows of twelve hours."""
+    return _sketch_windows(spark, sf_dir, WindowSpec("12 hours", "12 hours"))
+
+
+#: Start of the second rule version of the fixture: 2024-01-15, inside the events.
+SECOND_VERSION_US = 1_705_276_800_000_000
+
+
+def _versions(c: Ctx) -> list:
+    """The fixture rules, and from the 15th on all pages critical and a limit of 5 for each flow."""
+    later = R.fixture_rules(c.spark)
+    later.critical_page = c.spark.createDataFrame([("/air/.*",)], R.CRITICAL_PAGE_SCHEMA)
+    later.strategy = later.strategy.withColumn("crawler_blacklist_thresholds", F.lit(5.0))
+    return [VE.RuleVersion(0, c.tables), VE.RuleVersion(SECOND_VERSION_US, later)]
+
+
+@query("score_job_versions")
+def score_job_versions(spark, sf_dir):
+    """H3 / H4 / H7: the score job as a replay, each record and window by the rules of its time."""
+    c = Ctx(spark, sf_dir)
+    e = VE.blacklist_asof(c.processed(), _versions(c), c.window)
+    return e.select(_us("window_end"), "ip", "flow_id", F.round("flow_score", 6).alias("flow_score"), "flow_limit", "hit_rules", "bl_key")
+
+
+@query("flag_listed_asof")
+def flag_listed_asof(spark, sf_dir):
+    """Whether an address was listed at the time of its request; addresses are listed by
+    their error requests and taken off by a purchase."""
+    e = Ctx(spark, sf_dir)
+    a = e.access().select("event_id", "remote_addr", "ts", "request")
+    change = F.when(F.col("request").startswith("/static"), True).when(F.col("request").startswith("/air/book"), False)
+    changes = a.select(F.col("remote_addr").alias("ip_name"), F.col("ts").alias("valid_from"), change.alias("listed")).filter("listed IS NOT NULL")
+    return VE.flag_listed_asof(a, changes).select("event_id", "listed")
+
+
 # ------------------------------------------------------------------ F5 by the literal index
 
 @query("url_clean_index")

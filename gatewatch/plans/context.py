@@ -59,8 +59,10 @@ class Ctx:
     def hand_over(self) -> DataFrame:
         """Runs the data job: writes the processed records to the shared folder, where
         ``processed`` finds them from now on in this session."""
-        from gatewatch.session import materialize
-        table = materialize(self.processed(), "processed")
-        self.spark.catalog.clearCache()
+        from gatewatch.session import materialize, quick_planning
+        frame = self.processed()
+        with quick_planning(self.spark):
+            table = materialize(frame, "processed")
+        frame.unpersist()
         self.spark.conf.set(HANDOVER + self.sf_dir, table.inputFiles()[0].rsplit("/", 1)[0])
         return table

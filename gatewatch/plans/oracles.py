@@ -459,6 +459,24 @@ ORACLES["batch_server_counts"] = _with(ACCESS, f"""SELECT epoch_us(ts) // {H} AS
 ORACLES["blacklist_store"] = _with(HIST, """SELECT l.key, epoch_us(l.expire_at) AS expire_at_us, l.value
   FROM latest l, (SELECT DISTINCT now FROM hn) n WHERE l.expire_at > n.now""")
 ORACLES["blacklist_store_buckets"] = ORACLES["blacklist_restore_job"] = ORACLES["blacklist_store"]
+ORACLES["listed_ip_bitmap"] = _with(ACCESS, """SELECT event_id, ip AS remote_addr,
+  CAST(split_part(ip, '.', 4) AS INTEGER) % 3 = 0
+  OR (CAST(split_part(ip, '.', 4) AS INTEGER) <= 255 AND (ip LIKE '10.3.%' OR ip LIKE '10.5.2.%')) AS listed FROM access""")
+ORACLES["sketch_distincts"] = _with(IPF, "SELECT we AS window_end_us, ip, ua_distinct, trip_distinct, session_distinct FROM ipf")
+ORACLES["sketch_distincts_half_day"] = _with(PROC, """SELECT (t_us // 43200000000 + 1) * 43200000000 AS window_end_us, ip,
+  count(DISTINCT user_agent) AS ua_distinct, count(DISTINCT trip) AS trip_distinct,
+  count(DISTINCT CASE WHEN critical THEN session_id END) AS session_distinct FROM recs GROUP BY ALL""")
+_SECOND = 1_705_276_800_000_000  # 2024-01-15
+_VERSIONED = SCORED.replace(
+    "regexp_full_match(request, '/air/(intl/)?search.*') AS critical",
+    f"regexp_full_match(request, CASE WHEN epoch_us(ts) >= {_SECOND} THEN '/air/.*' ELSE '/air/(intl/)?search.*' END) AS critical").replace(
+    "any_value(flow_limit) AS flow_limit", f"CASE WHEN we >= {_SECOND} THEN 5.0 ELSE any_value(flow_limit) END AS flow_limit")
+ORACLES["score_job_versions"] = _with(_VERSIONED, """SELECT we AS window_end_us, ip, flow_id, round(flow_score, 6) AS flow_score,
+  CAST(flow_limit AS DOUBLE) AS flow_limit, hit_rules, 'CSANTI_ANTI_BLACK' || ip || ':' || flow_id AS bl_key FROM dedup""")
+ORACLES["flag_listed_asof"] = _with(ACCESS + """,
+changes AS (SELECT ip, ts, bool_or(request LIKE '/static%') AS listed FROM access
+            WHERE request LIKE '/static%' OR request LIKE '/air/book%' GROUP BY ip, ts)
+""", """SELECT a.event_id, coalesce(c.listed, FALSE) AS listed FROM access a ASOF LEFT JOIN changes c ON a.ip = c.ip AND a.ts >= c.ts""")
 ORACLES["archive_compacted"] = _with(RAW, """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_lines,
   count(DISTINCT event_id) AS n_events, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM raw GROUP BY day""")
 ORACLES["url_clean_index"] = ORACLES["url_clean_filter"]

@@ -56,10 +56,22 @@ class RuleSource:
         self.version, self.tables = None, None
 
     @staticmethod
-    def publish(tables: Tables, base: str, version: int) -> None:
+    def publish(tables: Tables, base: str, version: int, valid_from_us: int | None = None) -> None:
+        """``valid_from_us``: event time from which the version holds in a replay (now)."""
         base = base.rstrip("/")
         R.write_rules(tables, f"{base}/v={version}")
-        files.write_json(tables.rule.sparkSession, f"{base}/published/{version}.json", {"version": version})
+        since = int(time.time() * 1_000_000) if valid_from_us is None else int(valid_from_us)
+        files.write_json(tables.rule.sparkSession, f"{base}/published/{version}.json", {"version": version, "valid_from_us": since})
+
+    def history(self) -> list:
+        """Every published version with the time from which it holds, for ``plans.versions``."""
+        from gatewatch.plans.versions import RuleVersion
+        found = []
+        for n in files.children(self.spark, f"{self.base}/published"):
+            if n.endswith(".json"):
+                p = files.read_json(self.spark, f"{self.base}/published/{n}")
+                found.append((p.get("valid_from_us", 0), p["version"]))
+        return [RuleVersion(t, R.read_rules(self.spark, f"{self.base}/v={v}")) for t, v in sorted(found)]
 
     def get(self) -> Tables:
         names = [n for n in files.children(self.spark, f"{self.base}/published") if n.endswith(".json")]
