@@ -33,7 +33,9 @@ from gatewatch.plans import versions as VE
 from gatewatch.plans.context import Ctx
 from gatewatch.session import checkpoint_dir, materialize
 from gatewatch.sources import rules as R
+from gatewatch.streaming import indicators as IN
 from gatewatch.streaming import restore
+from gatewatch.streaming import sink as SI
 from gatewatch.streaming.archive import Archive
 from gatewatch.streaming.store import KeyedStore
 
@@ -710,6 +712,67 @@ def flag_listed_asof(spark, sf_dir):
     return VE.flag_listed_asof(a, changes).select("event_id", "listed")
 
 
+# ------------------------------------------------------------------ streams run to their end
+
+def _stream(spark, table: DataFrame, partitions: int = 4) -> tuple:
+    """A stream over the files of a table, and a function that runs a stream to its end (all
+    data available now) into a table. State is kept in few partitions: the queries are one batch."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stores/stream-{uuid.uuid4().hex}"
+    table.write.parquet(f"{root}/in")
+
+    def run(df: DataFrame) -> DataFrame:
+        key = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(min(partitions, int(before))))
+        try:
+            q = (df.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
+                 .outputMode("append").trigger(availableNow=True).start())
+            q.awaitTermination()
+        finally:
+            spark.conf.set(key, before)
+        return spark.read.schema(df.schema).parquet(f"{root}/out")
+
+    return spark.readStream.schema(table.schema).parquet(f"{root}/in"), run
+
+
+@query("stream_ip_features")
+def stream_ip_features(spark, sf_dir):
+    """E2-E5, E7, E8 as chained stateful aggregates: the windows the watermark has passed."""
+    c = Ctx(spark, sf_dir)
+    src, run = _stream(spark, _recs(c))
+    out = run(IN.ip_features_stream(src, c.window, "0 seconds"))
+    return out.select(_us("window_end"), "ip", "ip_count", "critical_count", "ua_distinct", "min_interval_ms", "trip_distinct", "session_distinct")
+
+
+@query("stream_fast_repeats")
+def stream_fast_repeats(spark, sf_dir):
+    """E6 as chained stateful aggregates: the windows the watermark has passed."""
+    c = Ctx(spark, sf_dir)
+    src, run = _stream(spark, _recs(c))
+    return run(IN.fast_repeats_stream(src, c.window, "0 seconds")).select(_us("window_end"), "ip", "request", "fast_repeats")
+
+
+@query("stream_attach_features")
+def stream_attach_features(spark, sf_dir):
+    """F1 / E1-E8 as stream-stream outer joins: the keys whose window the watermark has passed."""
+    c = Ctx(spark, sf_dir)
+    src, run = _stream(spark, _recs(c), 2)
+    return run(IN.attach_features_stream(src, c.window, "0 seconds")).select(_us("window_end"), "ip", "request", *S.FEATURE_COLUMNS)
+
+
+@query("blacklist_sink")
+def blacklist_sink(spark, sf_dir):
+    """The history streamed through the sink with the commit protocol, latest entry per key
+    of what it has published."""
+    SI.register(spark)
+    h = _history(Ctx(spark, sf_dir)).select("key", "expire_at", "value")
+    src, _ = _stream(spark, h)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stores/sink-{uuid.uuid4().hex}"
+    q = (src.writeStream.format("gatewatch_store").option("path", path).option("checkpointLocation", f"{path}-ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return B.latest_per_key(SI.read_published(spark, path, B.STORE_SCHEMA)).select("key", _us("expire_at"), "value")
+
+
 # ------------------------------------------------------------------ F5 by the literal index
 
 @query("url_clean_index")

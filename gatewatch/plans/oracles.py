@@ -466,6 +466,13 @@ ORACLES["sketch_distincts"] = _with(IPF, "SELECT we AS window_end_us, ip, ua_dis
 ORACLES["sketch_distincts_half_day"] = _with(PROC, """SELECT (t_us // 43200000000 + 1) * 43200000000 AS window_end_us, ip,
   count(DISTINCT user_agent) AS ua_distinct, count(DISTINCT trip) AS trip_distinct,
   count(DISTINCT CASE WHEN critical THEN session_id END) AS session_distinct FROM recs GROUP BY ALL""")
+_CLOSED = "(SELECT max(t_us) // 1000 * 1000 FROM recs)"  # the watermark, in ms
+ORACLES["stream_ip_features"] = _with(IPF, f"""SELECT we AS window_end_us, ip, ip_count, critical_count, ua_distinct,
+  min_interval_ms, trip_distinct, session_distinct FROM ipf WHERE we <= {_CLOSED}""")
+ORACLES["stream_fast_repeats"] = _with(IPF, f"SELECT we AS window_end_us, ip, request, fast_repeats FROM fast WHERE we <= {_CLOSED}")
+ORACLES["stream_attach_features"] = _with(SCORED, f"""SELECT we AS window_end_us, ip, request, block_count, ip_count,
+  critical_count, ua_distinct, min_interval_ms, trip_distinct, session_distinct, fast_repeats FROM feats WHERE we <= {_CLOSED}""")
+ORACLES["blacklist_sink"] = ORACLES["blacklist_latest"]
 _SECOND = 1_705_276_800_000_000  # 2024-01-15
 _VERSIONED = SCORED.replace(
     "regexp_full_match(request, '/air/(intl/)?search.*') AS critical",
