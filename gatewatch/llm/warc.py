@@ -25,12 +25,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.llm.common import ship_code
+from gatewatch.llm.common import broadcast_if_small, materialize, ship_code
 from gatewatch.session import checkpoint_dir
 
 ARCHIVE_BYTES = 256 * 1024 * 1024
 GAP = 64 * 1024
 READ = 8 * 1024 * 1024
+TASK = 16 * 1024 * 1024  # archive bytes of a reader task
 DATE = "1970-01-01T00:00:00Z"
 INDEX = "file string, offset long, length long, page_id long, url string, digest string, type string"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -49,9 +50,11 @@ def typed(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, payload, payload_digest, type and refers_to of every row."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     p = p.withColumn("payload_digest", digest_column(F.col("payload")))
-    best = p.select("payload_digest", "page_id").groupBy("payload_digest").agg(F.max("page_id").alias("best"))
-    p = p.join(best, "payload_digest")
-    first = (F.octet_length("payload") < least_bytes) | F.col("page_id").eqNullSafe(F.col("best"))
+    # only digests that several rows have; their table is broadcast after a count, so payloads stay where they are
+    best = p.groupBy(F.col("payload_digest").alias("__d")).agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    best = broadcast_if_small(materialize(best, "repeated_digests"))
+    p = p.join(best, F.col("payload_digest") == F.col("__d"), "left")
+    first = F.col("__d").isNull() | (F.octet_length("payload") < least_bytes) | F.col("page_id").eqNullSafe(F.col("best"))
     return p.select("page_id", "url", "payload", "payload_digest", F.when(first, "response").otherwise("revisit").alias("type"),
                     F.when(~first, F.col("best")).alias("refers_to"))
 
@@ -185,5 +188,9 @@ def read_records(selected: DataFrame) -> DataFrame:
             opened[1].close()
 
     ship_code(selected.sparkSession)
-    placed = selected.select("root", "file", "offset", "length", "url").repartition("file").sortWithinPartitions("root", "file", "offset")
+    # tasks by the bytes they fetch, not by the bytes of the index
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    stretch = F.floor(F.col("offset") / TASK)
+    placed = (selected.select("root", "file", "offset", "length", "url").repartition(max(1, 2 * -(-total // TASK)), "root", "file", stretch)
+              .sortWithinPartitions("root", "file", "offset"))
     return placed.mapInArrow(fetch, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")

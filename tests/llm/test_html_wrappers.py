@@ -121,3 +121,19 @@ def test_repeats_of_any_length():
         assert got == brute_fold(keys)
     long = [f"t{i}" for i in range(500)] * 3
     assert len(H.fold_repeats([[k, None, 1, 0, 0, 0] for k in long])) == 500
+
+
+def test_archive_reader_tasks_follow_the_bytes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from gatewatch.llm import warc
+    monkeypatch.setattr(warc, "TASK", 2_000)
+    rows = spark.range(300).select(F.col("id").alias("page_id"), F.lit("http://a/b").alias("url"), F.when(F.col("id") % 3 > 0, F.repeat(F.sha2(F.col("id").cast("string"), 256), 20)).alias("html"))
+    index = warc.write_archives(rows.repartition(2))
+    got = warc.read_records(index)
+    tasks = got.select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks >= 8
+    kinds = {r["record_type"]: r["n"] for r in got.groupBy("record_type").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"response": 201, "revisit": 99}
+    plan = warc.typed(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(payload_digest" not in plan
