@@ -9,7 +9,8 @@ fitted on it. As the kernel to a landmark is a matrix product of presence vector
 of texts is scored by one product with the folded matrix landmarks' x weights.
 
 The classifier is fitted on a bounded sample: at most ``per_language`` labelled texts of each
-language (``MAX_LANGUAGES`` at most), chosen by a hash of the id; extraction runs on the
+language (fewer each, if there are so many languages that it would be over ``MAX_ROWS`` in
+all; every language is learned), chosen by a hash of the id; extraction runs on the
 executors and the driver gets bitmaps of ``FEATURES / 8`` bytes. Predictions read whole
 texts.
 
@@ -43,7 +44,7 @@ FEATURES = 1 << 15
 GRAMS = (2, 3, 4)
 PER_LANGUAGE = 200
 LANDMARKS = 50
-MAX_LANGUAGES = 500
+MAX_ROWS = 50_000
 RIDGE = 1e-2
 UNKNOWN = "und"
 #: The pipeline drops documents without a language (see above), and those whose best score is
@@ -175,7 +176,8 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
     narrow pass; the exact number is taken from what is left, a few texts per language."""
     ship_code(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = labelled.groupBy("lang").count().orderBy("lang").collect()  # a row per language
+    per_language = max(1, min(per_language, MAX_ROWS // max(1, len(counts))))
     spread = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     rate = F.lit(0.0)
     if counts:

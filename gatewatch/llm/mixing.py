@@ -7,8 +7,8 @@ form: caps bind in order of size / weight). A source first gives whole epochs (e
 document once per epoch); the rest of its target is drawn without replacement by the
 exponential keys ``-ln(u) / quality``, u from a hash of the document, so reruns agree.
 
-No source is sorted in one task: keys are cut into ``BUCKETS`` slices per source, slice
-totals are prefix-summed (a bounded table), and rows are ordered inside their slice
+No source is sorted in one task: keys are cut into even slices per source (``BUCKETS``, more
+above ``SLICE_ROWS`` rows each), slice totals are prefix-summed (a bounded table), and rows are ordered inside their slice
 only. The document at the border is taken when that brings the source nearer to its
 target. Rows equal in id, source and text are taken together. Null text has size 0; a
 source of size 0 has target 0; an empty table gives no rows."""
@@ -23,6 +23,7 @@ from gatewatch.llm.common import broadcast_if_small, materialize, row_key
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 BUCKETS = 1024
+SLICE_ROWS = 100_000
 SEED = "mix-1"
 #: Quality weight of a document by its label; unlabelled ones are in between.
 QUALITY = {1: 1.0, 0: 0.25, None: 0.6}
@@ -56,8 +57,19 @@ def units(docs: DataFrame, quality: DataFrame | None) -> DataFrame:
     else:
         rows = rows.withColumn("__q", F.lit(None).cast("int"))
     weight = F.when(F.col("__q") == 1, QUALITY[1]).when(F.col("__q") == 0, QUALITY[0]).otherwise(QUALITY[None])
-    rows = rows.withColumn("key", -F.log("u") / weight)
-    return rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * BUCKETS).cast("int")).drop("u", "__q")
+    return rows.withColumn("w", F.lit(1.0) * weight).withColumn("key", -F.log("u") / F.col("w")).drop("u", "__q")
+
+
+def sliced(rows: DataFrame, least: int = BUCKETS) -> DataFrame:
+    """Adds ``slice``: the key's place in the distribution of the source's keys, which is that
+    of its quality classes mixed by their shares. It rises with the key, and slices are even
+    whatever the weights; their number follows the source's rows."""
+    classes = sorted(set(QUALITY.values()))
+    share = rows.groupBy("__src").agg(F.count(F.lit(1)).alias("__n"), *[F.avg((F.col("w") == c).cast("double")).alias(f"__share{i}") for i, c in enumerate(classes)])
+    rows = rows.join(broadcast_if_small(share), "__src")
+    below = sum(F.col(f"__share{i}") * (1 - F.exp(-c * F.col("key"))) for i, c in enumerate(classes))
+    number = F.greatest(F.lit(least), F.ceil(F.col("__n") / SLICE_ROWS))
+    return rows.withColumn("slice", F.floor(below * number).cast("int")).drop("w", "__n", *[f"__share{i}" for i in range(len(classes))])
 
 
 def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
@@ -66,7 +78,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
     and the row key. ``quality``: (doc_id, quality 0/1), for the sampling weights."""
     rows = materialize(units(docs, quality), "mix_units")
     src = F.struct(F.col("source").isNull().alias("n"), F.coalesce("source", F.lit("")).alias("s"))
-    rows = rows.withColumn("__src", src)
+    rows = sliced(rows.withColumn("__src", src))
     per = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     per = (per.withColumn("__src", src).drop("source")
            .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
