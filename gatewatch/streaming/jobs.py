@@ -184,7 +184,7 @@ def link_snapshots(spark: SparkSession, monitor: str, now=None) -> DataFrame:
 
 
 def _metrics(seen: Observation) -> dict:
-    """Values of an observation; none if the input was empty and planned away with its counters."""
+    """Values of an observation; none if nothing was left to write and the counters were planned away."""
     from py4j.protocol import Py4JJavaError
     try:
         return seen.get
@@ -282,10 +282,10 @@ class ScoreSink:
             behind = F.col("ts").isNull() | (F.unix_micros("ts") < F.lit(prev if prev is not None else -2**62))
             # counted by the pass that writes the records
             stats = Observation(f"score-{int(batch_id)}")
-            counted = recs.observe(stats, F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("max_us"),
-                                   F.count_if(behind).alias("late"))
-            _write_parts(counted.filter(~behind), self.records_path, batch_id, "pane")
-            got = _metrics(stats)
+            counts = [F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("max_us"), F.count_if(behind).alias("late")]
+            _write_parts(recs.observe(stats, *counts).filter(~behind), self.records_path, batch_id, "pane")
+            # a batch that leaves nothing to write (empty, or all late) may be planned without its counters
+            got = _metrics(stats) or recs.agg(*counts).first().asDict()
             if got.get("late"):
                 _write_batch(recs.filter(behind), self.late_path, batch_id)
             seen = got.get("max_us")

@@ -1,6 +1,7 @@
 """Address sets as bitmaps (F7, A8, C32) and stored sketches."""
 
 import ipaddress
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -48,9 +49,9 @@ def test_dense_buckets_are_bitmaps(spark):
     assert got.filter(F.col("listed") != ((F.col("id") % 3 == 0) & (F.col("id") < 200_000))).count() == 0
 
 
-def test_ten_million_addresses_without_their_strings(spark):
-    """A list of ten million single addresses in ten thousand networks: 306 buckets."""
-    n = 10_000_000
+def test_many_addresses_without_their_strings(spark):
+    """A long list of single addresses in dense networks (GATEWATCH_LISTED: ten million take 100 s)."""
+    n = int(os.environ.get("GATEWATCH_LISTED", "1000000"))
     ip = F.concat_ws(".", F.expr("100 + id div 16777216"), F.expr("id div 65536 % 256"), F.expr("id div 256 % 256"), F.expr("id % 256"))
     sets = IP.ip_set(spark.range(n).select(ip.alias("ip_name")))
     assert sets.buckets.count() == -(-n // 32768)
