@@ -243,6 +243,29 @@ def test_a_hot_repeated_row_is_split(spark):
     assert max(r.b for r in size) <= 900
 
 
+def test_shards_of_a_small_limit_shuffle_no_text(spark):
+    rows = [(i, "x" * (i % 700)) for i in range(3000)] + [(5000, "copy")] * 600
+    got = sharding.shard(docs(spark, rows), 300)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert got.where("shard_depth > 12").count() > 0 and got.count() == len(rows)
+
+
+def test_a_directory_beyond_the_broadcast_bound_gives_the_same_shards(spark, monkeypatch):
+    rows = [(i, "x" * (i % 700)) for i in range(500)]
+    want = sorted(sharding.shard(docs(spark, rows), 2000).select("doc_id", "shard").collect())
+    monkeypatch.setattr(sharding, "MAX_LEAVES", 0)
+    assert sorted(sharding.shard(docs(spark, rows), 2000).select("doc_id", "shard").collect()) == want
+
+
+def test_the_bits_of_copies_are_stored_once(spark):
+    """Reading the result twice, dealt anew, gives every row of a group of copies the same shard."""
+    rows = spark.createDataFrame([(1, "same text", i) for i in range(500)], "doc_id long, text string, n int")
+    got = sharding.shard(rows.repartition(7), 90)
+    first = {r.n: r.shard for r in got.collect()}
+    assert {r.n: r.shard for r in got.repartition(3).collect()} == first and len(set(first.values())) >= 50
+
+
 # -- WARC ----------------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string"
