@@ -1,36 +1,42 @@
 """Language ID by string kernels.
 
-A text is the set of its letter n-grams (2 to 4 letters, word borders included, lower
-case), hashed to ``FEATURES`` bits: presence, not counts. The blended-spectrum kernel of two
-texts is the size of their common set over the geometric mean of their sizes. Nystrom:
-the kernel to ``landmarks`` training texts, whitened by their own kernel matrix, is the
-feature vector; one ridge regression per language (that language against the rest) is
+A text is cut into pieces of at most ``PIECE`` letters (nearly equal ones; every n-gram is in
+exactly one). A piece is the set of its letter n-grams (2 to 4 letters, word borders
+included, lower case), hashed to ``FEATURES`` bits: presence, not counts. The blended-spectrum
+kernel of two pieces is the size of their common set over the geometric mean of their sizes;
+that of a text is the mean over its pieces, so features don't fill up, however long it is.
+Nystrom: the kernel to ``landmarks`` training pieces, whitened by their own kernel matrix, is
+the feature vector; one ridge regression per language (that language against the rest) is
 fitted on it. As the kernel to a landmark is a matrix product of presence vectors, a batch
-of texts is scored by one product with the folded matrix landmarks' x weights.
+of pieces is scored by one product with the folded matrix landmarks' x weights, whose further
+columns give the coverage below.
 
 The classifier is fitted on a bounded sample: at most ``per_language`` labelled texts of each
 language (fewer each, if there are so many languages that it would be over ``MAX_ROWS`` in
-all; every language is learned), chosen by a hash of the id; extraction runs on the
-executors and the driver gets bitmaps of ``FEATURES / 8`` bytes. Predictions read whole
-texts.
+all; every language is learned), chosen by a hash of the id, with one piece of each, chosen
+by another; extraction runs on the executors and the driver gets bitmaps of
+``FEATURES / 8`` bytes. Predictions read whole texts.
 
 The scores alone can't tell that a text is in no learned language: those of one text sum to
 2 - languages, so the best is at least 1 / languages once scaled to 0..1, and the intercept
 lifts it further. So a text must also be covered: a language's vocabulary is the features
-that most of its sample texts have (at most a ``VOCABULARY`` share of all), and the coverage
-of a text is the share of its n-grams in there, less what chance gives (0: as random
+that most of its sample pieces have (at most a ``VOCABULARY`` share of all), and the coverage
+of a text is the share of its pieces' features in there, less what chance gives (0: as random
 features, 1: all). Each language's floor is ``FLOOR_SHARE`` of the ``FLOOR_QUANTILE`` of the
-coverage of its own sample texts, each by the vocabulary of the others. A text that none of
+coverage of its own sample pieces, each by the vocabulary of the others. A text that none of
 its ``CANDIDATES`` best languages covers is ``und`` with score 0. Texts of a few letters have
 few n-grams, so junk of that length may pass; a language of very few sample texts has a
 floor near 0.
 
-Null texts and texts without a letter are ``und`` with score 0. Without labelled
-texts everything is ``und``. A null id is never learned from (it counts as held out)."""
+Null and empty texts and texts without a letter are ``und`` with score 0. Without labelled
+texts, as in an empty table, everything is ``und``. A null id is never learned from (it counts
+as held out). Of equal best scores the language that sorts first is predicted. Repeated rows
+get equal predictions; in the sample each counts as a row."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -42,6 +48,7 @@ from gatewatch.llm.common import ship_code
 
 FEATURES = 1 << 15
 GRAMS = (2, 3, 4)
+PIECE = 4096
 PER_LANGUAGE = 200
 LANDMARKS = 50
 MAX_ROWS = 50_000
@@ -55,34 +62,46 @@ FLOOR_SHARE = 0.5
 FLOOR_QUANTILE = 0.01
 CANDIDATES = 3
 BATCH = 64
-_LETTER = regex.compile(r"\p{L}")
-_BORDERS = regex.compile(r"[^\p{L}]+")
-
-
-def codes(text: str | None) -> np.ndarray | None:
-    """The features of the text's n-grams, one each, repeated as they are; None if it has no
-    letter."""
-    if not text or not _LETTER.search(text):
-        return None
-    letters = " " + _BORDERS.sub(" ", text.lower()) + " "
-    c = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), np.uint32)
-    h, out = c, []
+_LETTERS = regex.compile(r"\p{L}+")
+
+
+@cache
+def _letter_table() -> np.ndarray:
+    """Whether a code point is a letter."""
+    out = np.zeros(0x110000, bool)
+    for first, last in ((0, 0xD800), (0xE000, 0x110000)):
+        for m in _LETTERS.finditer("".join(map(chr, range(first, last)))):
+            out[first + m.start():first + m.end()] = True
+    return out
+
+
+def pieces(text: str | None) -> list[np.ndarray]:
+    """The features of the n-grams of each piece, repeated as they are; none without a letter."""
+    if not text:
+        return []
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _letter_table()[c]
+    if not letter.any():
+        return []
+    # runs of other characters become one space, with one at either end
+    c = np.concatenate(([np.uint32(32)], np.where(letter, c, np.uint32(32)), [np.uint32(32)]))
+    letter = np.concatenate(([False], letter, [False]))
+    first = letter.copy()
+    first[0] = True
+    first[1:] |= letter[:-1]
+    h = c = c[first]
+    count = -(-len(c) // PIECE)
+    cuts = np.arange(1, count) * len(c) // count
+    out = [[] for _ in range(count)]
     for n in range(2, max(GRAMS) + 1):
         if len(c) < n:
             break
         h = h[:-1] * np.uint32(0x01000193) ^ c[n - 1:]
         if n in GRAMS:
-            out.append((h * np.uint32(0x9E3779B1)) >> np.uint32(32 - FEATURES.bit_length() + 1))
-    return np.concatenate(out)
-
-
-def presence(text: str | None, out: np.ndarray) -> bool:
-    """Sets the text's features in ``out`` (FEATURES bytes); False if it has no letter."""
-    c = codes(text)
-    if c is None:
-        return False
-    out[c] = 1
-    return True
+            grams = (h * np.uint32(0x9E3779B1)) >> np.uint32(32 - FEATURES.bit_length() + 1)
+            for part, own in zip(out, np.split(grams, cuts), strict=True):
+                part.append(own)
+    return [np.concatenate(part) for part in out]
 
 
 @dataclass
@@ -93,37 +112,54 @@ class Model:
     vocabulary: np.ndarray = field(default_factory=lambda: np.zeros((0, FEATURES), bool))  # languages x FEATURES
     floor: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def covered(self, c: np.ndarray, scores: np.ndarray) -> bool:
-        """Whether one of the best languages by score covers the n-grams as its floor asks."""
-        for k in np.argsort(-scores)[:CANDIDATES]:
-            chance = self.vocabulary[k].mean()
-            if self.vocabulary[k][c].mean() - chance >= self.floor[k] * (1 - chance):
-                return True
-        return False
+    def __post_init__(self):
+        self.both = np.concatenate([self.weights, self.vocabulary.T.astype(np.float32)], axis=1)
+        self.chance = self.vocabulary.mean(axis=1)
+
+    def batch(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Presence vectors (rows of 0/1) -> one-versus-rest scores, about -1 to 1, and the share
+        of the features in each vocabulary."""
+        size = np.maximum(x.sum(axis=1, dtype=np.float32), 1)[:, None]
+        got, n = x.astype(np.float32, copy=False) @ self.both, len(self.languages)
+        return got[:, :n] / np.sqrt(size) + self.bias, got[:, n:] / size
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Presence vectors (rows of 0/1) -> one-versus-rest scores, about -1 to 1."""
-        norm = np.sqrt(np.maximum(x.sum(axis=1, dtype=np.float32), 1))[:, None]
-        return x.astype(np.float32) @ self.weights / norm + self.bias
+        return self.batch(x)[0]
+
+    def means(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of pieces of each text, and the means of their scores and shares. At most BATCH
+        presence vectors are held."""
+        n = np.zeros(len(texts))
+        sums = np.zeros((2, len(texts), len(self.languages)))
+        x, owner = np.zeros((BATCH, FEATURES), np.float32), []
+
+        def flush():
+            got = self.batch(x[:len(owner)])
+            for i in (0, 1):
+                np.add.at(sums[i], owner, got[i])
+            x[:len(owner)] = 0
+            owner.clear()
+
+        for i, text in enumerate(texts):
+            for grams in pieces(text):
+                x[len(owner), grams] = 1
+                owner.append(i)
+                n[i] += 1
+                if len(owner) == BATCH:
+                    flush()
+        flush()
+        return n, *(sums / np.maximum(n, 1)[:, None])
 
     def predict(self, texts) -> tuple[list[str], np.ndarray]:
         names, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if not self.languages:
             return names, best
-        for at in range(0, len(texts), BATCH):
-            part = texts[at:at + BATCH]
-            x = np.zeros((len(part), FEATURES), np.uint8)
-            grams = [codes(t) for t in part]
-            known = [i for i, c in enumerate(grams) if c is not None]
-            if known:
-                for i in known:
-                    x[i][grams[i]] = 1
-                s = self.score(x[known])
-                for i, row in zip(known, s, strict=True):
-                    if not self.covered(grams[i], row):
-                        continue
-                    k = int(np.argmax(row))
-                    names[at + i], best[at + i] = self.languages[k], float(np.clip((row[k] + 1) / 2, 0, 1))
+        n, scores, shares = self.means(texts)
+        covered = shares - self.chance >= self.floor * (1 - self.chance)
+        order = np.argsort(-scores, axis=1, kind="stable")[:, :CANDIDATES]
+        for i in np.flatnonzero((n > 0) & np.take_along_axis(covered, order, axis=1).any(axis=1)):
+            k = order[i, 0]
+            names[i], best[i] = self.languages[k], float(np.clip((scores[i, k] + 1) / 2, 0, 1))
         return names, best
 
 
@@ -185,14 +221,18 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
         rate = F.coalesce(F.try_element_at(table, F.col("lang")), F.lit(0.0))
 
     @F.pandas_udf("binary")
-    def bits(texts: pd.Series) -> pd.Series:
+    def bits(texts: pd.Series, share: pd.Series) -> pd.Series:
         out = []
-        for t in texts:
+        for t, u in zip(texts, share, strict=True):
+            own = pieces(t)
             x = np.zeros(FEATURES, np.uint8)
-            out.append(np.packbits(x).tobytes() if presence(t, x) else None)
+            if own:
+                x[own[int(u * len(own))]] = 1
+            out.append(np.packbits(x).tobytes() if own else None)
         return pd.Series(out, dtype=object)
 
-    cut = labelled.where(spread < rate).select("lang", "doc_id", spread.alias("h"), bits("text").alias("bits")).where("bits is not null")
+    which = F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(1 << 30)) / float(1 << 30)
+    cut = labelled.where(spread < rate).select("lang", "doc_id", spread.alias("h"), bits("text", which).alias("bits")).where("bits is not null")
     order = Window.partitionBy("lang").orderBy("h", "doc_id", "bits")
     return cut.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("lang", "n", "bits")
 

@@ -182,18 +182,90 @@ def test_texts_in_no_learned_language_are_dropped(spark):
     assert model.predict(junk) == ([language_id.UNKNOWN] * len(junk), pytest.approx([0.0] * len(junk)))
 
 
-def test_folded_product_equals_kernel_form():
+def kernel_ridge(sample, labels, texts, marks, ridge):
+    """The method from its definition, with sets of n-gram features in place of bitmaps and
+    matrices of kernel values in place of the folded product."""
     import numpy as np
-    rng = np.random.default_rng(0)
-    x = (rng.random((60, language_id.FEATURES)) < 0.01).astype(np.uint8)
-    x[:30, :200] |= (rng.random((30, 200)) < 0.5).astype(np.uint8)
-    model = language_id.fit(np.packbits(x, axis=1), ["a"] * 30 + ["b"] * 30, landmarks=10)
-    names = [model.languages[k] for k in model.score(x).argmax(axis=1)]
-    assert names == ["a"] * 30 + ["b"] * 30
-    a, b = x[0].astype(float), x[40].astype(float)
-    mixed = model.score(np.array([x[0]]))[0]
-    assert mixed[0] == pytest.approx(-mixed[1], abs=1e-4)
-    assert a @ b / np.sqrt(a.sum() * b.sum()) <= 1
+
+    def kernel(a, b):
+        return len(a & b) / np.sqrt(len(a) * len(b))
+
+    sets = [set(p.tolist()) for t in sample for p in language_id.pieces(t)]
+    assert len(sets) == len(sample)  # a piece each
+    names = sorted(set(labels))
+    chosen = [s for k in names for s in [s for s, v in zip(sets, labels, strict=True) if v == k][:marks]]
+    value, vector = np.linalg.eigh(np.array([[kernel(a, b) for b in chosen] for a in chosen]))
+    good = value > 1e-8 * value[-1]
+    root = vector[:, good] @ np.diag(value[good] ** -0.5) @ vector[:, good].T
+
+    def features(own):
+        return np.mean([[kernel(a, b) for b in chosen] for a in own], axis=0) @ root
+
+    phi = np.array([features([s]) for s in sets])
+    weight = np.array([len(labels) / len(names) / labels.count(v) for v in labels])
+    out = []
+    for name in names:  # weighted ridge regression of one language against the rest
+        y = np.array([1.0 if v == name else -1.0 for v in labels])
+        mean_x, mean_y = np.average(phi, axis=0, weights=weight), np.average(y, weights=weight)
+        x, c = phi - mean_x, weight[:, None]
+        w = np.linalg.solve((c * x).T @ x + ridge * np.eye(x.shape[1]), (c * x).T @ (y - mean_y))
+        out.append([(features([set(p.tolist()) for p in language_id.pieces(t)]) - mean_x) @ w + mean_y for t in texts])
+    return np.array(out).T
+
+
+def test_scores_equal_the_kernel_form(spark):
+    import numpy as np
+    rows = [r for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect() if r.text and r.lang and len(r.text) < 3000][:60]
+    sample, labels = [r.text for r in rows[:45]], [r.lang for r in rows[:45]]
+    bits = []
+    for t in sample:
+        x = np.zeros(language_id.FEATURES, np.uint8)
+        x[language_id.pieces(t)[0]] = 1
+        bits.append(np.packbits(x))
+    model = language_id.fit(np.array(bits), labels, landmarks=4, ridge=0.1)
+    texts = [r.text for r in rows[45:]] + [" ".join(r.text for r in rows)]  # the last one has many pieces
+    n, scores, shares = model.means(texts)
+    assert n[-1] > 5 and np.allclose(scores, kernel_ridge(sample, labels, texts, 4, 0.1), atol=2e-3)
+    for k, own in enumerate(model.vocabulary):
+        mean = np.mean([own[np.unique(p)].mean() for p in language_id.pieces(texts[-1])])
+        assert shares[-1, k] == pytest.approx(mean, abs=1e-5)
+
+
+def brute_pieces(text, size):
+    """n-grams by slicing strings; the cuts are between start positions."""
+    import regex
+    letters = " " + regex.sub(r"[^\p{L}]+", " ", text.lower()).strip(" ") + " "
+    count = -(-len(letters) // size)
+    cut = [j * len(letters) // count for j in range(count)] + [len(letters)]
+    return [[letters[i:i + n] for n in language_id.GRAMS for i in range(cut[j], min(cut[j + 1], len(letters) - n + 1))] for j in range(count)]
+
+
+@pytest.mark.parametrize("size", [7, 64, 4096])
+def test_pieces_hold_every_gram_once(monkeypatch, size):
+    monkeypatch.setattr(language_id, "PIECE", size)
+    for text in ["a", "ab1", "Straße, 12 Bäume\n\nund ÉTÉ", "  \u4e00\u4e8c x" * 30, "İstanbul", "x" * 500]:
+        got, want = language_id.pieces(text), brute_pieces(text, size)
+        seen = {}
+        assert [len(p) for p in got] == [len(p) for p in want]
+        for p, q in zip(got, want, strict=True):
+            assert all(seen.setdefault(g, f) == f for f, g in zip(p.tolist(), q, strict=True))
+    assert language_id.pieces(None) == language_id.pieces("") == language_id.pieces("12 ½²") == []
+
+
+def test_long_mixed_texts_keep_their_language(spark):
+    data = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, rng = language_id.train(data), random.Random(1)
+    rows = data.where(language_id.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).collect()
+    texts = []
+    for lang in model.languages:
+        words = [w for r in rows if r.lang == lang for w in r.text.split()]
+        noise = lambda w: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in w)
+        long = [noise(w) if rng.random() < 0.2 else w for w in rng.choices(words, k=150_000)]
+        texts += [" ".join(long[:400]), " ".join(long)]
+    names, best = model.predict(texts)
+    assert min(map(len, texts[1::2])) > 400_000
+    assert names == [x for v in model.languages for x in (v, v)]
+    assert all(abs(a - b) < 0.1 for a, b in zip(best[::2], best[1::2], strict=True))
 
 
 def test_no_labels_and_no_rows(spark):
