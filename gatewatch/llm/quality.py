@@ -5,6 +5,10 @@ bit per rule; a policy is a versioned set of rules, so applying it is one bitwis
 what a rule alone removes (its ablation) is counted from a table of distinct masks.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null and empty texts have no words and fail the length rule.
+An empty table gives no rows, and repeated rows get equal entries; other columns are kept, but
+those named as measurements or ``failed`` are replaced. Texts are measured whole, one at a time,
+with a few arrays of one number per word. A measurement equal to a rule's bound does not fail.
+
 Repeated windows are found by doubling: ids of 1, 2, 4 and 8 consecutive words, exact at
 each step, so no hash decides; a text with no repeated hash skips it."""
 

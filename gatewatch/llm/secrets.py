@@ -12,6 +12,11 @@ of two), as the tests' power grows with length; tokens shorter than ``MIN_BITS``
 encoding are not judged. What is not rejected is reported as kind ``random``, unless it
 overlaps a base span, and base spans always stay.
 
+What the level bounds: as randomness is the null hypothesis, it is the share of real random
+tokens among those that are cleared. False alarms are not bounded by it: a token that the tests can't
+tell from a random one is reported, mostly short ones near ``MIN_BITS``. Tokens of less (16
+characters of base62 or base64, under 25 of hex, under 20 of base32 or base36) are never reported as random.
+
 Thresholds come from counts of p-values in ``BINS`` logarithmic bins per class: a table of
 bounded size, so nothing is sorted globally. One pass over the texts writes spans and
 candidates of all rows (short) to the shared folder; thresholds and output read that. Null

@@ -9,7 +9,12 @@ and no piece is ever built: the popped counts add up to the length in pieces.
 Words are ``[^\\x20\\x09-\\x0D]+``; each is read with a space before it, as vocabularies of
 byte-level tokenizers mark the start of a word (a piece with the space is word-initial,
 one without continues a word). Every single byte must be a token, so all text has a
-count. Null and empty texts have 0 words and 0 tokens."""
+count; a vocabulary that lacks one, or has over ``MAX_TOKENS`` tokens, is refused.
+
+Null and empty texts have 0 words and 0 tokens. Texts and words of any length are read whole,
+in time linear in their bytes; a word's pieces are never held. The longest match is unique, so
+there are no ties; a token listed twice counts as one. Repeated rows get equal counts, an empty
+table gives no rows, other columns are kept."""
 
 from __future__ import annotations
 

@@ -98,6 +98,36 @@ def test_components_of_long_chains_and_stars(spark):
     assert got == {i: 0 for i in range(1, 61)} | {i: 1000 for i in range(1001, 1050)}
 
 
+@pytest.mark.parametrize("hub", [0, 3, 200])
+def test_components_with_hubs_equal_brute_force(spark, monkeypatch, hub):
+    monkeypatch.setattr(graph, "HUB_LINKS", hub)
+    rng = random.Random(hub)
+    links = [(0, i) for i in range(1, 500)] + [(9000, 5000 + i) for i in range(400)] + [(7000 + i, 5000 + i) for i in range(0, 400, 7)]
+    links += [(rng.randrange(600, 900), rng.randrange(600, 900)) for _ in range(160)] + links[:50]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    odd = [(None, 3), (4, None), (None, None), (8000, 8000)]
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(links + odd, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in root if find(x) != x}
+
+
+def test_the_links_of_a_hub_are_not_shuffled_by_node(spark):
+    from gatewatch.session import materialize
+    rows = materialize(spark.createDataFrame([(7, i) for i in range(5000)] + [(i, 7) for i in range(3000)], "u long, v long"), "hub")
+    spread = graph._with_least(rows, F.min("v"), 8000)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and spread.count() == 8000
+    assert spread.where("u = 7 and m = 0").count() == 5001 and spread.where("u <> 7 and m = 7").count() == 2999
+
+
 # -- decontamination -----------------------------------------------------------
 
 def brute_contamination(rows, items):
