@@ -36,7 +36,7 @@ get equal predictions; in the sample each counts as a row."""
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -112,9 +112,14 @@ class Model:
     vocabulary: np.ndarray = field(default_factory=lambda: np.zeros((0, FEATURES), bool))  # languages x FEATURES
     floor: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def __post_init__(self):
-        self.both = np.concatenate([self.weights, self.vocabulary.T.astype(np.float32)], axis=1)
-        self.chance = self.vocabulary.mean(axis=1)
+    @cached_property
+    def both(self) -> np.ndarray:
+        """Made where it is used; the broadcast model goes without."""
+        return np.concatenate([self.weights, self.vocabulary.T.astype(np.float32)], axis=1)
+
+    @cached_property
+    def chance(self) -> np.ndarray:
+        return self.vocabulary.mean(axis=1)
 
     def batch(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Presence vectors (rows of 0/1) -> one-versus-rest scores, about -1 to 1, and the share
