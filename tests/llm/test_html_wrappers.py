@@ -137,3 +137,22 @@ def test_archive_reader_tasks_follow_the_bytes(spark, monkeypatch):
     assert kinds == {"response": 201, "revisit": 99}
     plan = warc.typed(rows)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(payload_digest" not in plan
+
+
+def _stream(s):
+    return [[k, None, 1, 0, 0, 0] for k in s]
+
+
+def test_lists_of_lists_fold_to_one_group():
+    """u(i)+ of different lengths: the inner repetitions first, then the outer one."""
+    got = H.fold_nested(_stream("uiiuiiiuix"))
+    assert [e[0] for e in got] == ["u", "i", "x"]
+    assert [bool(e[5] & H.REPEATED) for e in got] == [True, True, False]
+    assert [e[0] for e in H.align(H.fold_nested(_stream("uiiuiiix")), H.fold_nested(_stream("uiuiix")))] == ["u", "i", "x"]
+
+
+def test_a_long_wrapper_keeps_what_one_page_has():
+    """An optional element of one page in 40 stays, also in a wrapper of over 20,000 elements."""
+    long = [[f"<{i}", None, 40, 0, 0, 0] for i in range(21_000)]
+    got = H.align(long, [[*e[:2], 1, 0, 0, 0] for e in long[:100]] + [["<rare", None, 1, 0, 0, 0]] + [[*e[:2], 1, 0, 0, 0] for e in long[100:]])
+    assert "<rare" in [e[0] for e in got] and len(got) == 21_001
