@@ -7,9 +7,10 @@ that meet are tested, first for the literal and then by the rule's own pattern,
 made follow the matches and not values times rules. Rules without a literal of q characters
 are folded as before.
 
-Each distinct value is evaluated once, whatever the number of its rows. The grams of the
-rules are broadcast by Spark if they are below its byte threshold, else both joins shuffle
-by gram."""
+Each distinct value is evaluated once, whatever the number of its rows. Of up to ``FEW_RULES``
+rules the grams are broadcast by Spark if they are below its byte threshold; those of more rules
+meet the values in joins that shuffle by gram, so that nothing which grows with the rules
+passes through the driver."""
 
 from __future__ import annotations
 
@@ -24,6 +25,7 @@ from gatewatch.functions.regex import anchored, collect_patterns, matches_any, m
 from gatewatch.session import materialize, ship_code
 
 Q = 4
+FEW_RULES = 5_000
 
 
 def grams(text: Column, q: int = Q) -> Column:
@@ -47,16 +49,21 @@ def _with_literals(rules: DataFrame, rule_id: str, pattern: str, q: int) -> Data
 
 def candidates(values: DataFrame, rules: DataFrame, q: int = Q) -> DataFrame:
     """Distinct (value, rule_id, pattern) whose value contains the literal's rarest gram and
-    the literal. ``values``: distinct ``value``; ``rules``: as from ``_with_literals``."""
+    the literal. ``values``: distinct ``value``; ``rules``: as from ``_with_literals``, written."""
+    few = rules.limit(FEW_RULES + 1).count() <= FEW_RULES
+
+    def side(df: DataFrame) -> DataFrame:
+        return df if few else df.hint("merge")
+
     lit = rules.select("rule_id", "pattern", F.explode("literals").alias("literal"))
     found = values.select("value", F.explode(grams(F.col("value"), q)).alias("gram"))
     mine = lit.select("literal").distinct().select("literal", F.explode(grams(F.col("literal"), q)).alias("gram"))
-    seen = found.select("gram").join(mine.select("gram").distinct(), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    seen = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).join(side(mine.select("gram").distinct()), "gram")
     # a gram that no value has rules its literals out: they get no row
-    rarest = (mine.join(seen, "gram", "left").groupBy("literal").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
+    rarest = (mine.join(side(seen), "gram", "left").groupBy("literal").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
               .filter("r.n > 0").select("literal", "r.gram"))
-    index = lit.join(rarest, "literal")
-    near = found.join(index, "gram").filter(F.contains(F.col("value"), F.col("literal")))
+    index = lit.join(side(rarest), "literal")
+    near = found.join(side(index), "gram").filter(F.contains(F.col("value"), F.col("literal")))
     return near.select("value", "rule_id", "pattern").distinct()
 
 

@@ -71,3 +71,13 @@ def test_ten_thousand_rules_without_a_nested_loop(spark):
     assert hits.count() == 1000
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_many_rules_are_not_broadcast(spark, monkeypatch):
+    urls = spark.createDataFrame([(f"/shop/item{i}/x",) for i in range(30)] + [(None,), ("/other",)], "request string")
+    rules = spark.createDataFrame([(i, f"/shop/item{i}/.*") for i in range(20)] + [(99, None)], "rule_id long, expression string")
+    few = sorted(map(tuple, RI.rule_hits(urls, rules).collect()))
+    monkeypatch.setattr(RI, "FEW_RULES", 5)
+    hits = RI.rule_hits(urls, rules)
+    assert sorted(map(tuple, hits.collect())) == few and len(few) == 20
+    assert "BroadcastHashJoin" not in hits._jdf.queryExecution().executedPlan().toString()
