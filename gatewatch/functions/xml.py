@@ -29,14 +29,29 @@ def from_page(xml: Column) -> Column:
     return F.when(i > 0, F.substring(xml, i, 1 << 30))
 
 
+def document(xml: Column) -> Column:
+    """The text if it is well formed, else NULL: tested once for all reads of a document."""
+    return F.when(well_formed(xml), xml)
+
+
+def text_at(doc: Column, path: str) -> Column:
+    """Text of the first node at a literal path of a ``document``."""
+    return F.xpath_string(doc, F.lit(path))
+
+
+def nodes_at(doc: Column, path: str) -> Column:
+    """Text of every node at a literal path of a ``document``, in document order."""
+    return F.xpath(doc, F.lit(path))
+
+
 def xml_text(xml: Column, path: str) -> Column:
     """C20 / C22 scalar read: text of the first node at a literal path."""
-    return F.when(well_formed(xml), F.xpath_string(xml, F.lit(path)))
+    return F.when(well_formed(xml), text_at(xml, path))
 
 
 def xml_nodes(xml: Column, path: str) -> Column:
     """Text of every node at a literal path, in document order."""
-    return F.when(well_formed(xml), F.xpath(xml, F.lit(path)))
+    return F.when(well_formed(xml), nodes_at(xml, path))
 
 
 def xml_travel_type(xml: Column) -> Column:

@@ -113,7 +113,7 @@ def query_steps(rules: list, request: str = "request", content_type: str = "cont
         "__qpairs": F.when(qb == "get", P.get_params(F.col(request))).when(qb == "form", P.form_params(b)),
         "__qjson": F.when(qb == "json_form", P.json_in_form(b, _pr("form_data_field")))
                     .when(qb == "json_body", b),
-        "__qxml": F.when(qb == "xml", X.from_page(b)),
+        "__qxml": F.when(qb == "xml", X.document(X.from_page(b))),
     })
 
     def read(f):
@@ -121,7 +121,7 @@ def query_steps(rules: list, request: str = "request", content_type: str = "cont
         return (F.when(qb.isin("get", "form"), P.param(F.col("__qpairs"), key))
                 .when(qb.isin("json_form", "json_body"), P.json_field(F.col("__qjson"), key))
                 .when(qb == "xml",
-                      _xml_case(rules, BEHAVIOR["Query"], f"query_{f}", F.col("__qxml"), X.xml_text)))
+                      _xml_case(rules, BEHAVIOR["Query"], f"query_{f}", F.col("__qxml"), X.text_at)))
 
     fields = [f for f in QUERY_FIELDS if f != "traveltype"]
     steps.append({f"__q_{f}": F.coalesce(read(f).cast("string"), F.lit("")) for f in fields})
@@ -157,15 +157,15 @@ def book_steps(rules: list, content_type: str = "content_type", body: str = "req
     steps.append({"__bdoc": F.when(bb == "json_body", P.strip_escaped_quotes(b))
                   .when(bb == "json_form", P.strip_escaped_quotes(
                       P.strip_brackets(P.json_in_form(b, _pr("form_data_field")))))
-                  .when(bb == "xml", X.from_page(b))})
+                  .when(bb == "xml", X.document(X.from_page(b)))})
     doc = F.col("__bdoc")
 
     def read_list(f):
-        return (F.when(bb == "xml", _xml_case(rules, BEHAVIOR["Book"], f"book_{f}", doc, X.xml_nodes))
+        return (F.when(bb == "xml", _xml_case(rules, BEHAVIOR["Book"], f"book_{f}", doc, X.nodes_at))
                 .otherwise(P.json_list(doc, _pr(f"book_{f}"))).cast("array<string>"))
 
     def read_one(f, post=None):
-        x = _xml_case(rules, BEHAVIOR["Book"], f"book_{f}", doc, X.xml_text)
+        x = _xml_case(rules, BEHAVIOR["Book"], f"book_{f}", doc, X.text_at)
         if post is not None:
             x = post(x)
         return F.when(bb == "xml", x).otherwise(P.json_field(doc, _pr(f"book_{f}"))).cast("string")

@@ -5,6 +5,7 @@ query starts no job but the reads of the rule tables."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gatewatch.config import FIXTURE_WINDOW
 from gatewatch.session import prepare
@@ -14,6 +15,7 @@ from gatewatch.sources.tables import read_table
 
 WINDOW = FIXTURE_WINDOW
 HANDOVER = "gatewatch.processed:"
+DEAL_BYTES = 1 << 20  # of the events' files for a task: tens of thousands of rows
 
 
 class Ctx:
@@ -33,28 +35,50 @@ class Ctx:
     def events(self) -> DataFrame:
         return self.table("events")
 
+    def dealt_events(self) -> DataFrame:
+        """The events, dealt out before lines are made of them. The driver's tables are one file
+        of one row group, which one task reads, so that task does no more than pass the narrow
+        rows on: to as many partitions as the files have ``DEAL_BYTES`` (files are listed, nothing
+        is read). A table of more files than that is taken as it is. Rows go by their place in the
+        scan, which a retry finds again: unlike a round robin, no sort of the whole task. Filters
+        are not moved before a column that depends on the partition, so that what they test (the
+        parsed lines) is made by the tasks after the exchange."""
+        size = int(self.events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        n = max(self.spark.sparkContext.defaultParallelism, -(-size // DEAL_BYTES))
+        if len(self.events.inputFiles()) >= n:
+            return self.events
+        dealt = self.events.withColumn("__at", F.monotonically_increasing_id()).repartition(n, "__at").drop("__at")
+        return dealt.withColumn("event_id", F.when(F.spark_partition_id() >= 0, F.col("event_id")))
+
     def raw_lines(self) -> DataFrame:
-        """Wire lines of the adapter. The driver's tables are one file of one row group, so
-        a scan of fewer files than cores is dealt out first (files are listed, nothing is
-        read); a table of many files is taken as it is."""
-        lines, cores = raw_lines(self.events), self.spark.sparkContext.defaultParallelism
-        return lines.repartition(cores) if len(self.events.inputFiles()) < cores else lines
+        """Wire lines of the adapter."""
+        return raw_lines(self.dealt_events())
 
     def access(self) -> DataFrame:
         """Parsed access log (C1) over the wire lines of the adapter."""
         from gatewatch.operators.ingest import parse_access_log
         return parse_access_log(self.raw_lines())
 
+    def _processed(self, *cols: str) -> DataFrame:
+        from gatewatch.plans.enrich_job import enrich_lines
+        path = self.spark.conf.get(HANDOVER + self.sf_dir, None)
+        if path:
+            return self.spark.read.parquet(path)
+        found = enrich_lines(self.raw_lines(), self.tables)
+        return (found.select(*cols) if cols else found).persist()
+
     def processed(self) -> DataFrame:
         """Processed records (H6 output), the hand-over between the data job and the score
         job: the table named by ``hand_over`` if the data job has written one, else computed
         from the raw lines. These are marked for caching: the first action computes them,
         equal plans share them."""
-        from gatewatch.plans.enrich_job import enrich_lines
-        path = self.spark.conf.get(HANDOVER + self.sf_dir, None)
-        if path:
-            return self.spark.read.parquet(path)
-        return enrich_lines(self.raw_lines(), self.tables).persist()
+        return self._processed()
+
+    def score_input(self) -> DataFrame:
+        """The processed records for the score job: of those computed from the raw lines, the
+        columns that it reads, so that no others are made and cached."""
+        from gatewatch.plans.score_job import INPUT
+        return self._processed(*INPUT)
 
     def hand_over(self) -> DataFrame:
         """Runs the data job: writes the processed records to the shared folder, where

@@ -15,11 +15,11 @@ from gatewatch.sources.irregular import irregular_lines, irregular_tables
 
 
 def _lines(c: Ctx) -> DataFrame:
-    return irregular_lines(c.events)
+    return irregular_lines(c.dealt_events())
 
 
 def _booked(c: Ctx) -> DataFrame:
-    return enrich_job.enrich_lines(_lines(c), irregular_tables(c.spark)).persist()
+    return enrich_job.enrich_lines(_lines(c), irregular_tables(c.spark))
 
 
 def irregular_cookies(spark, sf_dir):

@@ -12,6 +12,10 @@ from gatewatch.operators import scoring as S
 from gatewatch.sources import rules as R
 
 
+#: The columns of the processed records that ``indicator_records`` reads.
+INPUT = ("ip", "request", "user_agent", "session_hash", "dep_city", "arr_city", "ts")
+
+
 def indicator_records(processed: DataFrame, tables: Tables) -> DataFrame:
     """The columns the indicators read, with the critical-page flag (E13) computed
     once as a column from the folded page regexes (refreshable, fix 2.J-29)."""
