@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewatch.config import FIXTURE_WINDOW
-from gatewatch.session import prepare
+from gatewatch.session import prepare, shuffle_finely
 from gatewatch.sources.adapters import raw_lines
 from gatewatch.sources.rules import fixture_rules
 from gatewatch.sources.tables import read_table
@@ -45,6 +45,7 @@ class Ctx:
         parsed lines) is made by the tasks after the exchange."""
         size = int(self.events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         n = max(self.spark.sparkContext.defaultParallelism, -(-size // DEAL_BYTES))
+        shuffle_finely(self.spark, n)
         if len(self.events.inputFiles()) >= n:
             return self.events
         dealt = self.events.withColumn("__at", F.monotonically_increasing_id()).repartition(n, "__at").drop("__at")
