@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gatewatch.operators import blacklist as B
 from gatewatch.operators import scoring as S
+from gatewatch.sources import rules as R
 
 CFG = "flow_id string, flow_limit double, rule_id string, indicator string, rule_status int, arg0 double, arg1 double, rule_score int"
 
@@ -59,6 +60,27 @@ def test_compiled_equals_relational(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+def test_hits_of_a_rule_and_scores_of_a_flow_are_many_tasks_work(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "100")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    feats = session.range(4000).repartition(16).select(
+        F.col("id").alias("k"), *[((F.col("id") + i) % 50 * 1000000).alias(c) for i, c in enumerate(S.FEATURE_COLUMNS)])
+    config = R.flow_config(R.fixture_rules(session))  # a join, whose size Spark doesn't know
+    hits = S.rule_hits(feats, ["k"], config)
+    rules = config.collect()
+    got = hits.filter("hit").withColumn("at", F.spark_partition_id()).collect()
+    at = list(S.INDICATOR_COLUMNS)
+    want = [(k, r.flow_id, r.rule_id, float(v), r.rule_score) for k in range(4000) for r in rules
+            if (v := (k + S.FEATURE_COLUMNS.index(S.INDICATOR_COLUMNS[r.indicator])) % 50 * 1000000)
+            > (r.arg1 if r.indicator == at[-1] else r.arg0)]
+    assert sorted((h.k, h.flow_id, h.rule_id, h.value, h.s) for h in got) == sorted(want)
+    assert min(len({h["at"] for h in got if h.rule_id == r.rule_id}) for r in rules) == 16
+    scores = S.flow_scores_relational(hits, ["k"], config).withColumn("at", F.spark_partition_id()).collect()
+    assert len(scores) == 4000 * 2
+    assert min(len({s["at"] for s in scores if s.flow_id == f}) for f in ("P1", "P2")) > 50
+
+
 def test_latest_per_key_and_restore(spark):
     t = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
     h = spark.createDataFrame([
