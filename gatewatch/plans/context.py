@@ -16,6 +16,7 @@ from gatewatch.sources.tables import read_table
 WINDOW = FIXTURE_WINDOW
 HANDOVER = "gatewatch.processed:"
 DEAL_BYTES = 1 << 20  # of the events' files for a task: tens of thousands of rows
+DEAL_AT_ONCE = 200  # Spark's bypassMergeThreshold: for more partitions a task holds all its rows, to sort them by partition
 
 
 class Ctx:
@@ -42,14 +43,18 @@ class Ctx:
         is read). A table of more files than that is taken as it is. Rows go by their place in the
         scan, which a retry finds again: unlike a round robin, no sort of the whole task. Filters
         are not moved before a column that depends on the partition, so that what they test (the
-        parsed lines) is made by the tasks after the exchange."""
+        parsed lines) is made by the tasks after the exchange. More than ``DEAL_AT_ONCE`` partitions
+        are dealt out in two steps, so that the reading task passes rows on without holding them."""
         size = int(self.events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         n = max(self.spark.sparkContext.defaultParallelism, -(-size // DEAL_BYTES))
         shuffle_finely(self.spark, n)
         if len(self.events.inputFiles()) >= n:
             return self.events
-        dealt = self.events.withColumn("__at", F.monotonically_increasing_id()).repartition(n, "__at").drop("__at")
-        return dealt.withColumn("event_id", F.when(F.spark_partition_id() >= 0, F.col("event_id")))
+        dealt = self.events.withColumn("__at", F.monotonically_increasing_id())
+        here = F.when(F.spark_partition_id() >= 0, F.col("event_id"))
+        if n > DEAL_AT_ONCE:
+            dealt = dealt.repartition(DEAL_AT_ONCE, "__at").withColumn("event_id", here)
+        return dealt.repartition(n, "__at").drop("__at").withColumn("event_id", here)
 
     def raw_lines(self) -> DataFrame:
         """Wire lines of the adapter."""

@@ -38,6 +38,19 @@ def test_lines_are_made_after_the_exchange(spark, tmp_path):
     assert "concat_ws" not in plan[plan.rindex("Exchange hashpartitioning(__at"):]
 
 
+def test_many_partitions_are_dealt_in_two_steps(spark, tmp_path, monkeypatch):
+    from gatewatch.plans import context
+    rows = _events(spark, tmp_path)
+    monkeypatch.setattr(context, "DEAL_AT_ONCE", 3)
+    dealt = Ctx(spark, str(tmp_path)).dealt_events()
+    n = max(4, spark.sparkContext.defaultParallelism)
+    plan = _plan(dealt)
+    assert dealt.rdd.getNumPartitions() >= n
+    assert plan.count("Exchange hashpartitioning(__at") == 2
+    assert ", 3), " in plan[plan.rindex("Exchange hashpartitioning(__at"):]
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, spark.createDataFrame(rows, EVENTS).collect()))
+
+
 def test_only_the_columns_of_the_score_job_are_cached(spark, tmp_path):
     from gatewatch.plans.score_job import INPUT
     _events(spark, tmp_path)
