@@ -99,3 +99,45 @@ def test_attached_features_with_late_rows(spark, few_partitions):
     equal(got, want)
     # keys without a critical access have no row in the E6 stream: their value is the default
     assert got.filter("fast_repeats = 0 and min_interval_ms = 0").count() > 0
+
+
+def test_large_input_comes_in_triggers_and_gives_the_same(spark, tmp_path, monkeypatch):
+    import datetime
+
+    from gatewatch.plans import catalog
+    from gatewatch.session import checkpoint_dir
+    from gatewatch.streaming import files
+    at = datetime.datetime(2024, 1, 1)
+    # not in the order of time, equal times, a row without a time and one that comes twice
+    events = [(i, at + datetime.timedelta(minutes=(i * 37) % 400 * 13), i % 9, ("view", "click", "purchase")[i % 3], i / 7, '{"k": 1}') for i in range(600)]
+    events += [(7, None, 3, "view", 1.0, None), events[0]]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    stores = f"{checkpoint_dir(spark).rstrip('/')}/stores"
+    names = ("stream_attach_features", "stream_ip_features", "stream_fast_repeats")
+    conf = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.minBatchesToRetain")}
+
+    def run(rows):
+        monkeypatch.setattr(catalog, "TRIGGER_ROWS", rows, raising=False)
+        before = set(files.children(spark, stores))
+        found, triggers = {}, {}
+        for name in names:
+            found[name] = sorted(map(str, catalog.QUERIES[name](spark, str(tmp_path)).collect()))
+            (new,) = set(files.children(spark, stores)) - before
+            before.add(new)
+            triggers[name] = 1 + max(int(n) for n in files.children(spark, f"{stores}/{new}/ck/commits") if n.isdigit())
+        return found, triggers
+
+    whole, few = run(10_000)
+    parts, many = run(100)
+    assert parts == whole and all(len(whole[n]) > 50 for n in names)
+    assert all(many[n] >= 6 > 2 >= few[n] for n in names)  # the last one has no rows
+    assert conf == {k: spark.conf.get(k, None) for k in conf}
+
+
+def test_a_folder_is_read_in_the_order_of_names(spark, tmp_path):
+    from gatewatch.streaming import files
+    spark.range(40).repartitionByRange(8, "id").write.parquet(f"{tmp_path}/in")
+    files.in_order(spark, f"{tmp_path}/in")
+    found = sorted((tmp_path / "in").glob("part-*"))
+    times = [f.stat().st_mtime for f in found]
+    assert len(found) > 4 and times == sorted(set(times))
