@@ -156,3 +156,43 @@ def test_a_long_wrapper_keeps_what_one_page_has():
     long = [[f"<{i}", None, 40, 0, 0, 0] for i in range(21_000)]
     got = H.align(long, [[*e[:2], 1, 0, 0, 0] for e in long[:100]] + [["<rare", None, 1, 0, 0, 0]] + [[*e[:2], 1, 0, 0, 0] for e in long[100:]])
     assert "<rare" in [e[0] for e in got] and len(got) == 21_001
+
+
+def test_slots_are_data_however_many_pages_share_their_text(spark):
+    """Seven of ten pages share a text that the wrapper has as a slot; the fixed texts and the menu go."""
+    def who(i):
+        return "Ann" if i < 7 else "Bob"
+
+    def post(i):
+        menu = "".join(f"<li>{x}</li>" for x in ("Start", "World", "Sport"))
+        return (f"<body><div class=top><ul>{menu}</ul></div><div class=post><h1>Title {i}</h1><p class=by>Written by {who(i)}.</p><div class=body><p>Words of page {i} and more of them.</p>"
+                f"</div></div><div class=low><p>Printed by the press</p></div></body>")
+    want = [f"Title {i}\nWritten by {who(i)}.\nWords of page {i} and more of them." for i in range(10)]
+    assert extracted(spark, [post(i) for i in range(10)]) == want == extracted(spark, [post(i) for i in range(10)], 5)
+
+    def article(i):
+        return (f"<body><article><h1>Title {i}</h1><p>Words of page {i} and more of them.</p><p class=press>Printed by the press.</p>"
+                f"<div class=author><p>Written by {who(i)}.</p></div></article></body>")
+    got = extracted(spark, [article(i) for i in range(10)])
+    assert got == [f"Title {i}\nWords of page {i} and more of them.\nPrinted by the press.\nWritten by {who(i)}." for i in range(10)]
+
+
+def test_the_wrapper_decides_what_is_template():
+    pages = [f"<div class=a><p>Same</p></div><div class=b><p>{'Most' if i < 8 else i}</p></div><ul><li>One</li><li>Two</li><li>{i}</li></ul>" for i in range(10)]
+    w = None
+    for x in map(H.Page, pages):
+        w = H.page_wrapper(x) if w is None else H.align(w, H.page_wrapper(x))
+    count = {}
+    for path, text, _, _ in (b for x in pages for b in H.Page(x).blocks):
+        count[path, text] = count.get((path, text), 0) + 1
+    common = [{"path": p, "mark": H._mark(p, t), "pages": n} for (p, t), n in count.items() if n >= 5]
+    found, sure = H.template_texts(*H.structure(w, 10), common)
+    assert {t for p, t in count if H._mark(p, t) in found} == {"Same", "One", "Two"} and found == sure
+    few = [{**x, "pages": 2} for x in common]
+    found, sure = H.template_texts(*H.structure(w, 10), few)
+    assert {t for p, t in count if H._mark(p, t) in found} == {"Same"} and sure == []
+
+
+def test_a_fixed_text_in_several_places_counts_as_one():
+    a = [["#/p", "T", 3, 1, 0, 0], ["#/q", None, 10, 1, 0, H.SLOT], ["#/p", "T", 4, 1, 0, H.OPTIONAL]]
+    assert H.structure(a, 12)[0] == [H._mark("/p", "T")] and H.structure(a, 15)[0] == []
